@@ -82,6 +82,20 @@ def prefix_sums(
     )
 
 
+def suffix_minimum(
+    df: DataFrame, order: str, value: str, out: str, keys: list[str] = (), ranges: int | None = None
+) -> DataFrame:
+    """Add ``out``: the minimum of ``value`` over all rows with order >= the row's (per key)."""
+    tagged, on = _keyed(with_range(df, order, ranges=ranges), list(keys))
+    lows = tagged.groupBy(*on).agg(F.min(name_col(value)).alias("_low"))
+    later = lows.select(*on, F.min("_low").over(_before(on, descending=True)).alias("_later"))
+    inside = Window.partitionBy(*on).orderBy(name_col(order).desc())
+    return _attach(tagged, later, on).select(
+        *[name_col(c) for c in df.columns],
+        F.least(F.min(name_col(value)).over(inside), F.col("_later")).alias(out),
+    )
+
+
 def sequence_numbers(
     df: DataFrame, keys: list[str], order: str, out: str = "seq", tie: str | None = None, ranges: int | None = None
 ) -> DataFrame:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from statloom.plans import describe_queries  # noqa: F401
+from statloom.plans import (  # noqa: F401
+    cleaning_queries,
+    describe_queries,
+    profile_queries,
+    statistics_queries,
+)
 from statloom.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
