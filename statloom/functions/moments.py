@@ -22,11 +22,20 @@ def adjusted_kurtosis(g2: Column, n: Column, constant: Column) -> Column:
     )
 
 
-def skew_kurt(c: Column, n: Column | None = None) -> tuple[Column, Column]:
-    """Aggregate expressions (G1, G2) for one column."""
-    n = F.count(c) if n is None else n
-    constant = F.min(c) == F.max(c)
-    return (
-        adjusted_skewness(F.skewness(c), n, constant),
-        adjusted_kurtosis(F.kurtosis(c), n, constant),
-    )
+def power_sums(c: Column, shift: float, tag: str) -> list[Column]:
+    """Sums of the first four powers of ``c - shift``.
+
+    With a shift near the mean they lose no precision, and plain sums keep the generated
+    aggregation code small however many columns share the scan.
+    """
+    d = c - F.lit(float(shift))
+    return [F.sum(x).alias(f"p{k}_{tag}") for k, x in enumerate([d, d * d, d * d * d, d * d * d * d], start=1)]
+
+
+def central_moments(n: Column, tag: str) -> tuple[Column, Column, Column]:
+    """Second, third and fourth central moments from shifted power sums."""
+    a, b, c, d = (F.try_divide(F.col(f"p{k}_{tag}"), n) for k in (1, 2, 3, 4))
+    m2 = F.greatest(F.lit(0.0), b - a * a)
+    m3 = c - 3 * a * b + 2 * a * a * a
+    m4 = d - 4 * a * c + 6 * a * a * b - 3 * a * a * a * a
+    return m2, m3, m4

@@ -14,43 +14,91 @@ from statloom.functions.roles import numeric_columns
 from statloom.functions.skew import attach_by_key
 from statloom.session import settle
 
-PAIRS_PER_SCAN = 300  # correlation aggregates fused into one scan
+PAIRS_PER_SCAN = 500  # correlation sums fused into one scan
 RANK_BROADCAST_LIMIT = 200_000  # distinct values whose rank table may be broadcast
 DIGIT_BITS = 4  # Kendall counts inversions digit by digit, 16 counters per row
 
 
-def _undefined_as_null(c: Column) -> Column:
-    return F.nanvl(c, F.lit(None).cast("double"))
-
-
 def _empty(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, r double, n long")
 
 
 def pearson_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """``(feature_a, feature_b, r, n)`` over pairwise complete rows, many pairs per scan."""
+    """``(feature_a, feature_b, r, n)`` over pairwise complete rows.
+
+    A first scan finds means, ranges and gaps. The second sums centred products: one sum
+    per pair of complete columns, six for a pair with gaps. Very wide complete tables use
+    the Gram matrix of centred vectors instead, still a single scan.
+    """
+    if not pairs:
+        return _empty(df)
+    names = list(dict.fromkeys(c for p in pairs for c in p))
+    at = {n: i for i, n in enumerate(names)}
+    facts = df.agg(
+        F.count("*").alias("n"),
+        *[
+            f(number(df, c)).alias(f"{label}{i}")
+            for c, i in at.items()
+            for label, f in (("k", F.count), ("m", F.avg), ("lo", F.min), ("hi", F.max))
+        ],
+    ).first()
+    n = facts["n"]
+    whole = {c for c, i in at.items() if facts[f"k{i}"] == n}
+    flat = {c for c, i in at.items() if facts[f"lo{i}"] is None or facts[f"lo{i}"] == facts[f"hi{i}"]}
+    centred = df.select(*[(number(df, c) - F.lit(float(facts[f"m{i}"] or 0.0))).alias(f"x{i}") for c, i in at.items()])
+    if len(pairs) > PAIRS_PER_SCAN and whole == set(names):
+        return _gram_pairs(centred, pairs, at, flat, n)
     out = None
     for start in range(0, len(pairs), PAIRS_PER_SCAN):
         chunk = pairs[start : start + PAIRS_PER_SCAN]
-        aggs = []
-        for i, (a, b) in enumerate(chunk):
-            x, y = number(df, a), number(df, b)
-            both = x.isNotNull() & y.isNotNull()
-            # a constant side has no correlation; checked by range, not by rounding error
-            flat = (F.min(F.when(both, x)) == F.max(F.when(both, x))) | (
-                F.min(F.when(both, y)) == F.max(F.when(both, y))
-            )
-            aggs += [
-                F.when(flat, None).otherwise(F.corr(x, y)).alias(f"r{i}"),
-                F.count_if(both).alias(f"n{i}"),
-            ]
-        rows = [
-            [F.lit(a), F.lit(b), _undefined_as_null(F.col(f"r{i}")), F.col(f"n{i}")]
-            for i, (a, b) in enumerate(chunk)
-        ]
-        part = stack_rows(df.agg(*aggs), rows, ["feature_a", "feature_b", "r", "n"])
+        used = sorted({at[c] for p in chunk for c in p})
+        aggs = [f(F.col(f"x{i}")).alias(f"{label}{i}") for i in used for label, f in (("s", F.sum), ("ss", _square_sum))]
+        rows = []
+        for k, (a, b) in enumerate(chunk):
+            i, j = at[a], at[b]
+            x, y = F.col(f"x{i}"), F.col(f"x{j}")
+            aggs.append(F.sum(x * y).alias(f"xy{k}"))
+            if a in whole and b in whole:
+                sums = (F.lit(float(n)), F.col(f"s{i}"), F.col(f"s{j}"), F.col(f"ss{i}"), F.col(f"ss{j}"), F.col(f"xy{k}"))
+                constant = F.lit(a in flat or b in flat)
+                size = F.lit(n).cast("long")
+            else:
+                both = x.isNotNull() & y.isNotNull()
+                px, py = F.when(both, x), F.when(both, y)
+                for label, e in (
+                    ("n", F.count(px)), ("sx", F.sum(px)), ("sy", F.sum(py)), ("sxx", _square_sum(px)),
+                    ("syy", _square_sum(py)), ("flat", (F.min(px) == F.max(px)) | (F.min(py) == F.max(py))),
+                ):
+                    aggs.append(e.alias(f"{label}_{k}"))
+                sums = (*[F.col(f"{x}_{k}") for x in ("n", "sx", "sy", "sxx", "syy")], F.col(f"xy{k}"))
+                constant = F.coalesce(F.col(f"flat_{k}"), F.lit(True))
+                size = F.col(f"n_{k}")
+            rows.append([F.lit(a), F.lit(b), F.when(~constant, _r(*sums)), size])
+        part = stack_rows(centred.agg(*aggs), rows, ["feature_a", "feature_b", "r", "n"])
         out = part if out is None else out.unionByName(part)
-    return _empty(df) if out is None else out
+    return out
+
+
+def _square_sum(c: Column) -> Column:
+    return F.sum(c * c)
+
+
+def _r(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
+    return F.try_divide(sxy - sx * sy / n, F.sqrt((sxx - sx * sx / n) * (syy - sy * sy / n)))
+
+
+def _gram_pairs(centred: DataFrame, pairs, at: dict[str, int], flat: set[str], n: int) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    keep = [c for c in at if c not in flat]
+    vectors = VectorAssembler(inputCols=[f"x{at[c]}" for c in keep], outputCol="v").transform(centred).select("v")
+    matrix = Correlation.corr(vectors, "v").first()[0].toArray()  # columns x columns
+    place = {c: i for i, c in enumerate(keep)}
+    rows = [
+        (a, b, float(matrix[place[a], place[b]]) if a in place and b in place else None, n) for a, b in pairs
+    ]
+    return centred.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double, n long")
 
 
 def average_ranks(df: DataFrame, name: str) -> DataFrame:

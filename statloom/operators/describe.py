@@ -6,67 +6,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.exprs import name_col, number, ratio, rnd, stack_rows
-from statloom.functions.moments import skew_kurt
-from statloom.functions.quantiles import QUARTILES, column_quantiles, group_quantiles
+from statloom.functions.moments import adjusted_kurtosis, adjusted_skewness, central_moments, power_sums
+from statloom.functions.quantiles import QUARTILES, column_quantiles, group_quantiles, quantile_columns
 from statloom.functions.roles import is_numeric, numeric_columns
 
-WIDE_LIMIT = 50  # columns per aggregate before expressions are split over several
+def _moment_rows(df: DataFrame, names: list[str]) -> DataFrame:
+    """Two scans for any number of columns: sizes, means and ranges; then shape and quartiles."""
+    first = df.agg(
+        F.count("*").alias("rows"),
+        *[
+            f(number(df, n)).alias(f"{label}{i}")
+            for i, n in enumerate(names)
+            for label, f in (("n", F.count), ("m", F.avg), ("lo", F.min), ("hi", F.max))
+        ],
+        *[F.approx_count_distinct(number(df, n), 0.05).alias(f"d{i}") for i, n in enumerate(names)],
+    ).first()
+    filled = {i: n for i, n in enumerate(names) if first[f"n{i}"] > 0}
+    distinct = {n: first[f"d{i}"] for i, n in filled.items()}
+    quartiles = quantile_columns(df, list(filled.values()), QUARTILES, distinct)
+    second = df.agg(
+        *[p for i, n in filled.items() for p in power_sums(number(df, n), first[f"m{i}"], str(i))],
+        *[quartiles[n].alias(f"q{i}") for i, n in filled.items()],
+    )
+    rows = []
+    for i, name in filled.items():
+        count = F.lit(first[f"n{i}"])
+        n = count.cast("double")
+        m2, m3, m4 = central_moments(n, str(i))
+        constant = F.lit(first[f"lo{i}"] == first[f"hi{i}"])
+        variance = F.when(constant, 0.0).otherwise(m2 * n / (n - 1)) if first[f"n{i}"] > 1 else F.lit(None).cast("double")
+        rows.append(
+            [
+                F.lit(name),
+                count.cast("long"),
+                F.lit(first["rows"] - first[f"n{i}"]).cast("long"),
+                F.lit(float(first[f"m{i}"])),
+                F.sqrt(variance),
+                F.lit(float(first[f"lo{i}"])),
+                F.lit(float(first[f"hi{i}"])),
+                adjusted_skewness(F.try_divide(m3, m2 * F.sqrt(m2)), n, constant),
+                adjusted_kurtosis(F.try_divide(m4, m2 * m2) - 3, n, constant),
+                *[F.col(f"q{i}")[k] for k in range(3)],
+            ]
+        )
+    return stack_rows(second, rows, MOMENT_COLUMNS) if rows else None
 
 
-def _moment_rows(df: DataFrame, names: list[str]) -> DataFrame:
-    """One scan: per column count, missing, mean, std, min, max, adjusted moments."""
-    parts = []
-    for start in range(0, len(names), WIDE_LIMIT):
-        chunk = names[start : start + WIDE_LIMIT]
-        aggs = []
-        for i, n in enumerate(chunk):
-            c = number(df, n)
-            skew, kurt = skew_kurt(c)
-            aggs.append(
-                F.struct(
-                    F.lit(n).alias("feature"),
-                    F.count(c).alias("count"),
-                    (F.count("*") - F.count(c)).alias("missing"),
-                    F.avg(c).alias("mean"),
-                    F.stddev_samp(c).alias("std"),
-                    F.min(c).alias("min"),
-                    F.max(c).alias("max"),
-                    skew.alias("skewness"),
-                    kurt.alias("kurtosis"),
-                ).alias(f"s{i}")
-            )
-        wide = df.agg(*aggs)
-        parts.append(wide.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(chunk))]))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+MOMENT_COLUMNS = [
+    "feature", "count", "missing", "mean", "std", "min", "max", "skewness", "kurtosis", "q1", "median", "q3",
+]
 
 
 def numeric_profile(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Unrounded statistics per numeric column; all-null columns are left out."""
     names = numeric_columns(df) if names is None else names
-    if not names:
-        return df.sparkSession.createDataFrame(
-            [],
-            "feature string, count long, missing long, mean double, std double, min double, max double,"
-            " skewness double, kurtosis double, q1 double, median double, q3 double, iqr double, cv double",
-        )
-    quartiles = column_quantiles(df, names, QUARTILES)
-    # quartiles are three numbers per column, carried into the plan as a literal map
-    entries = [
-        part
-        for n in names
-        for part in (F.lit(n), F.array(*[F.lit(q).cast("double") for q in quartiles[n]]))
-    ]
-    q = F.element_at(F.create_map(*entries), F.col("feature"))
-    return (
-        _moment_rows(df, names)
-        .filter(F.col("count") > 0)
-        .withColumns({"q1": q[0], "median": q[1], "q3": q[2]})
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
-        .withColumn("cv", ratio(F.col("std"), F.col("mean")))
-    )
+    rows = _moment_rows(df, names) if names else None
+    if rows is None:
+        kinds = ["string", "long", "long"] + ["double"] * 9
+        rows = df.sparkSession.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in zip(MOMENT_COLUMNS, kinds)))
+    return rows.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn("cv", ratio(F.col("std"), F.col("mean")))
 
 
 # Result columns in reporting order.
@@ -129,13 +127,18 @@ def five_numbers(df: DataFrame, digits: int = 2) -> DataFrame:
 
 def _bounds(df: DataFrame, names: list[str], z: float) -> dict[str, dict[str, float | None]]:
     """Per column: IQR fences, mean and sample deviation (a few numbers per column)."""
-    quartiles = column_quantiles(df, names, [0.25, 0.75])
     row = df.agg(
         *[
-            F.struct(F.avg(number(df, n)).alias("mean"), F.stddev_samp(number(df, n)).alias("std")).alias(f"s{i}")
+            F.struct(
+                F.avg(number(df, n)).alias("mean"),
+                F.stddev_samp(number(df, n)).alias("std"),
+                F.approx_count_distinct(number(df, n), 0.05).alias("distinct"),
+            ).alias(f"s{i}")
             for i, n in enumerate(names)
         ]
     ).first()
+    distinct = {n: row[i]["distinct"] for i, n in enumerate(names)}
+    quartiles = column_quantiles(df, names, [0.25, 0.75], distinct=distinct)
     out = {}
     for i, n in enumerate(names):
         q1, q3 = quartiles[n]

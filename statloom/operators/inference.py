@@ -12,6 +12,7 @@ from statloom.functions.exprs import ALPHA, melt, name_col, number, present, rat
 from statloom.functions.prefix import prefix_sums, suffix_minimum
 from statloom.functions.quantiles import GROUP_BROADCAST_LIMIT, group_quantiles
 from statloom.functions.roles import LOW_CARDINALITY, numeric_columns
+from statloom.session import settle
 from statloom.operators.normality import normality
 from statloom.operators.correlation import pearson_pairs
 
@@ -301,7 +302,8 @@ def correct_pvalues(table: DataFrame, p: str = "p_value", method: str = "fdr_bh"
 
 def corrected_screen(df: DataFrame, target: str, method: str = "fdr_bh", alpha: float = ALPHA) -> DataFrame:
     """The feature screen with adjusted p-values and the decision after correction."""
-    return correct_pvalues(feature_target_screen(df, target, alpha), "p_value", method, alpha)
+    screen = settle(feature_target_screen(df, target, alpha), "screen")  # one row per feature
+    return correct_pvalues(screen, "p_value", method, alpha)
 
 
 def assumption_checks(df: DataFrame, value: str, group: str, alpha: float = ALPHA) -> DataFrame:

@@ -45,11 +45,14 @@ def test_selected_quantiles_match_pandas(spark, skewed, monkeypatch, accuracy):
         assert np.allclose(q, want.loc[k].to_numpy())
 
 
-def test_missed_bracket_falls_back_to_whole_range(spark, skewed, monkeypatch):
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 3)  # brackets that cannot be trusted
-    df = _frame(spark, skewed).select(F.lit("x").alias("feature"), F.col("x").alias("v"))
-    q = select_quantiles(df, ["feature"], "v", [0.25, 0.5], 1).first()["q"]
-    assert np.allclose(q, skewed["x"].quantile([0.25, 0.5]).to_numpy())
+def test_missed_brackets_are_ordered_in_full(spark, skewed, monkeypatch):
+    monkeypatch.setattr(quantiles, "_brackets", lambda probs: [0.6] * len(probs) + [0.61] * len(probs))
+    probs = [0.25, 0.5]
+    df = _frame(spark, skewed)
+    assert np.allclose(column_quantiles(df, ["x"], probs, limit=10)["x"], skewed["x"].quantile(probs))
+    by_key = {r["k"]: r["q"] for r in select_quantiles(df.select("k", "x"), ["k"], "x", probs, 41).collect()}
+    want = skewed.groupby("k")["x"].quantile(probs).unstack()
+    assert all(np.allclose(by_key[k], want.loc[k]) for k in want.index)
 
 
 def test_ranges_follow_the_order(spark, skewed):
