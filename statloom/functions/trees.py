@@ -1 +1,48 @@
-"""Vectorised helpers for decision trees (filled by the explainability operators)."""
+"""Batch attribution of tree ensembles (path-dependent Shapley values).
+
+A leaf contributes ``value`` when the row meets all of the leaf's conditions; a feature
+that is left out counts with the share of training rows that met its conditions. For
+such a product the Shapley weights are the integral over t in [0, 1] of the product of
+``met * t + share * (1 - t)`` over the other features, a polynomial that a short
+Gauss-Legendre rule integrates exactly.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+LEAVES_PER_STEP = 64
+
+
+class Leaves:
+    """All leaves of an ensemble: per condition a feature, an interval and a share."""
+
+    def __init__(self, feature, low, high, share, value, width: int) -> None:
+        self.feature = np.asarray(feature, dtype=np.int64)  # -1 marks an unused position
+        self.low, self.high = np.asarray(low, dtype=float), np.asarray(high, dtype=float)
+        self.share, self.value = np.asarray(share, dtype=float), np.asarray(value, dtype=float)
+        self.width = width
+        points, weights = np.polynomial.legendre.leggauss(max(1, (self.feature.shape[1] + 1) // 2))
+        self.points, self.weights = (points + 1) / 2, weights / 2
+
+    @property
+    def base(self) -> float:
+        """Expected output: leaf values weighted by the share of training rows."""
+        return float((self.value * self.share.prod(axis=1)).sum())
+
+    def attribute(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((rows.shape[0], self.width))
+        t = self.points
+        for start in range(0, len(self.value), LEAVES_PER_STEP):
+            part = slice(start, start + LEAVES_PER_STEP)
+            feature, share = self.feature[part], self.share[part]
+            used = feature >= 0
+            x = rows[:, np.where(used, feature, 0)]
+            met = np.where(used, (x > self.low[part]) & (x <= self.high[part]), True).astype(float)
+            factor = met[..., None] * t + share[..., None] * (1 - t)
+            others = factor.prod(axis=2, keepdims=True) / factor
+            gain = (others * self.weights).sum(axis=-1) * (met - share) * self.value[part][None, :, None]
+            columns = np.zeros((feature.size, self.width))
+            columns[np.arange(feature.size), np.where(used, feature, 0).ravel()] = used.ravel()
+            out += gain.reshape(rows.shape[0], -1) @ columns
+        return out

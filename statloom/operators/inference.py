@@ -27,9 +27,13 @@ def group_stats(long: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
-def mean_tests(stats: DataFrame, by: list[str], group: str, min_size: int = 2) -> DataFrame:
+def mean_tests(
+    stats: DataFrame, by: list[str], group: str, min_size: int = 2, always_f: bool = False
+) -> DataFrame:
     """Welch t (two groups) or one-way ANOVA (more) for each ``by`` from group statistics.
 
+    ``always_f`` keeps the F test for two groups as well.
+
     ``stats`` has ``(by..., group, n, mean, var)``. Also returns eta squared, which
     counts the groups below ``min_size`` as well.
     """
@@ -63,7 +67,7 @@ def mean_tests(stats: DataFrame, by: list[str], group: str, min_size: int = 2) -
     f = F.when(
         F.col("ssw") > 0, F.try_divide(F.col("ssb") / (k - 1), F.try_divide(F.col("ssw"), (total - k).cast("double")))
     ).when(F.col("ssb") > 0, infinite)
-    two = k == 2
+    two = (k == 2) & F.lit(not always_f)
     scored = agg.filter(k >= 2).select(
         *by,
         F.when(two, "Welch t-test").otherwise("one-way ANOVA").alias("test"),
@@ -316,25 +320,9 @@ def assumption_checks(df: DataFrame, value: str, group: str, alpha: float = ALPH
         kept = F.broadcast(kept)
     rows = pairs.join(kept, "group")
     centred = rows.withColumn("dev", F.abs(F.col("v") - F.col("median")))
-    # Levene's statistic is the ANOVA F also for two groups, so no Welch branch here
-    stats = group_stats(centred, ["group"], "dev")
-    grand = stats.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("g"), F.sum("n").alias("total"), F.count("*").alias("k"))
-    f = (
-        stats.crossJoin(F.broadcast(grand))  # one row
-        .groupBy("total", "k")
-        .agg(
-            F.sum(F.col("n") * (F.col("mean") - F.col("g")) ** 2).alias("ssb"),
-            F.sum((F.col("n") - 1) * F.col("var")).alias("ssw"),
-        )
-    )
-    d1, d2 = F.col("k") - 1.0, (F.col("total") - F.col("k")).cast("double")
-    levene = f.filter("k >= 2").select(
-        F.col("k").alias("n_groups"),
-        F.try_divide(F.col("ssb") / d1, F.col("ssw") / d2).alias("levene_statistic"),
-        d1.alias("d1"),
-        d2.alias("d2"),
+    levene = mean_tests(group_stats(centred, ["group"], "dev"), [], "group", always_f=True).select(
+        "n_groups", F.col("statistic").alias("levene_statistic"), F.col("p_value").alias("levene_p")
     )
-    levene = levene.withColumn("levene_p", tails.f_upper(F.col("levene_statistic"), F.col("d1"), F.col("d2")))
     normal = normality(rows, ["v"], ["group"], min_n=3).agg(
         F.min(F.col("p_value") >= alpha).alias("all_groups_normal")
     )
