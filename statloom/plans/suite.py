@@ -5,6 +5,8 @@ from __future__ import annotations
 from statloom.plans import (  # noqa: F401
     cleaning_queries,
     describe_queries,
+    event_queries,
+    model_queries,
     profile_queries,
     statistics_queries,
 )
