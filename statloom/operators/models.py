@@ -167,10 +167,24 @@ def fit_model(
 def score(problem: Problem, predicted: DataFrame) -> float | None:
     """Headline score of predictions: weighted F1 or R squared."""
     if problem.task == "classification":
-        return metrics.classification_metrics(predicted, problem.target, "prediction", 12).first()["f1"]
+        return _weighted_f1(metrics.confusion_counts(predicted, problem.target, "prediction"))
     return metrics.regression_metrics(predicted, problem.target, "prediction", 12).first()["r2"]
 
 
+def _weighted_f1(cells: DataFrame) -> float:
+    """Weighted F1 from the confusion counts (a row per pair of classes)."""
+    true: dict[str, int] = {}
+    guessed: dict[str, int] = {}
+    hits: dict[str, int] = {}
+    for r in cells.collect():
+        true[r["label"]] = true.get(r["label"], 0) + r["count"]
+        guessed[r["prediction"]] = guessed.get(r["prediction"], 0) + r["count"]
+        if r["label"] == r["prediction"]:
+            hits[r["label"]] = r["count"]
+    total = sum(true.values())
+    return sum(t * 2 * hits.get(k, 0) / (t + guessed.get(k, 0)) for k, t in true.items()) / total if total else 0.0
+
+
 def fold_count(problem: Problem, train: DataFrame, wanted: int = 5) -> int:
     if problem.task == "regression":
         return max(2, wanted)

@@ -110,35 +110,44 @@ def _sql_text(value: str) -> str:
 def fit_preparation(train: DataFrame, features: list[str], out: str = "features") -> Preparation:
     """Median-impute and standardise numbers, mode-impute and one-hot everything else.
 
-    Unknown levels become all zeros, as does a level that was never seen in training.
-    Moments after imputation follow from the moments before it, so numbers need one
-    aggregate besides their medians.
+    Unknown levels become all zeros. Moments after imputation follow from the moments
+    before it, so numbers need one aggregate besides their medians.
     """
     nums = [f for f in features if f in numeric_columns(train)]
     cats = [f for f in features if f not in nums]
-    medians = {n: (q[0] or 0.0) for n, q in column_quantiles(train, nums, [0.5]).items()}
+    # one scan: sizes, moments, distinct estimates of the numbers; gaps of the levels
+    facts = train.agg(
+        F.count("*").alias("rows"),
+        *[
+            f(number(train, n)).alias(f"{t}{i}")
+            for i, n in enumerate(nums)
+            for t, f in (("k", F.count), ("m", F.avg), ("v", F.var_pop))
+        ],
+        *[F.approx_count_distinct(number(train, n), 0.05).alias(f"d{i}") for i, n in enumerate(nums)],
+        *[F.count(present(train, c)).alias(f"c{i}") for i, c in enumerate(cats)],
+    ).first()
+    total = max(facts["rows"], 1)
+    distinct = {n: facts[f"d{i}"] for i, n in enumerate(nums)}
+    medians = {n: (q[0] or 0.0) for n, q in column_quantiles(train, nums, [0.5], distinct=distinct).items()}
     stats: dict[str, tuple[float, float, float]] = {}
-    if nums:
-        row = train.agg(
-            F.count("*").alias("rows"),
-            *[f(number(train, n)).alias(f"{t}{i}") for i, n in enumerate(nums) for t, f in (("k", F.count), ("m", F.avg), ("v", F.var_pop))],
-        ).first()
-        for i, n in enumerate(nums):
-            k, total = row[f"k{i}"], max(row["rows"], 1)
-            mean, var = row[f"m{i}"] or 0.0, row[f"v{i}"] or 0.0
-            centre = (k * mean + (total - k) * medians[n]) / total
-            spread = (k * (var + (mean - centre) ** 2) + (total - k) * (medians[n] - centre) ** 2) / total
-            stats[n] = (medians[n], centre, spread**0.5 or 1.0)
-    text = train.select(*[present(train, c).cast("string").alias(c) for c in cats]) if cats else None
-    modes = text_modes(text, cats) if cats else {}
-    cats = [c for c in cats if c in modes]  # a column without values carries nothing
+    for i, n in enumerate(nums):
+        k, mean, var = facts[f"k{i}"], facts[f"m{i}"] or 0.0, facts[f"v{i}"] or 0.0
+        centre = (k * mean + (total - k) * medians[n]) / total
+        spread = (k * (var + (mean - centre) ** 2) + (total - k) * (medians[n] - centre) ** 2) / total
+        stats[n] = (float(medians[n]), centre, spread**0.5 or 1.0)
+    # a column without values carries nothing; modes are needed only where there are gaps
+    filled = {c: facts[f"c{i}"] for i, c in enumerate(cats) if facts[f"c{i}"]}
+    cats = list(filled)
+    gaps = [c for c in cats if filled[c] < facts["rows"]]
+    modes = text_modes(train.select(*[present(train, c).cast("string").alias(c) for c in gaps]), gaps) if gaps else {}
 
     cells = [
         f"(coalesce(nanvl(CAST({_sql_name(n)} AS DOUBLE), NULL), {med!r}D) - {mean!r}D) / {sd!r}D AS {_sql_name('_n_' + str(i))}"
         for i, (n, (med, mean, sd)) in enumerate(stats.items())
     ]
     cells += [
-        f"coalesce(CAST({_sql_name(c)} AS STRING), {_sql_text(modes[c])}) AS {_sql_name('_c_' + str(i))}" for i, c in enumerate(cats)
+        f"coalesce(CAST({_sql_name(c)} AS STRING), {_sql_text(modes.get(c, ''))}) AS {_sql_name('_c_' + str(i))}"
+        for i, c in enumerate(cats)
     ]
     impute = SQLTransformer(statement=f"SELECT *, {', '.join(cells)} FROM __THIS__")
     prepared = impute.transform(train)
