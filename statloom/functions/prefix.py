@@ -27,13 +27,17 @@ def order_position(df: DataFrame, order: str) -> Column:
     return c.cast("double")
 
 
+def range_count(rows: int) -> int:
+    """How many ranges keep about ``ROWS_PER_RANGE`` rows each."""
+    return min(MAX_RANGES, int(rows) // ROWS_PER_RANGE + 1)
+
+
 def with_range(df: DataFrame, order: str, out: str = "_range", ranges: int | None = None) -> DataFrame:
     """Tag rows with the value range of ``order``; ranges hold about equally many rows."""
     # rows without a position come first
     tagged = df.withColumn("_pos", F.coalesce(order_position(df, order), F.lit(float("-inf"))))
     if ranges is None:
-        n = df.count()
-        ranges = min(MAX_RANGES, n // ROWS_PER_RANGE + 1)
+        ranges = range_count(df.count())
     inner: list[float] = []
     if ranges > 1:
         probs = [i / ranges for i in range(1, ranges)]

@@ -16,7 +16,8 @@ from statloom.functions.exprs import any_of, melt, number
 from statloom.functions.prefix import prefix_sums
 from statloom.session import settle
 
-BUFFER_LIMIT = 50_000  # distinct values one percentile buffer may hold
+BUFFER_LIMIT = 200_000  # distinct values one percentile buffer may hold
+GROUP_BUFFER_LIMIT = 100_000  # the same where a task may hold buffers of several groups
 SKETCH_ACCURACY = 50_000  # rank error of the bracketing sketch is n / accuracy
 GROUP_BROADCAST_LIMIT = 100_000  # groups whose brackets may be broadcast
 QUARTILES = [0.25, 0.5, 0.75]
@@ -167,7 +168,7 @@ def group_quantiles(
     Groups with few distinct values are aggregated directly; the others (few, since each
     holds more than ``limit`` distinct values) go through distributed selection.
     """
-    limit = BUFFER_LIMIT if limit is None else limit
+    limit = GROUP_BUFFER_LIMIT if limit is None else limit
     base = df.select(*keys, number(df, value).alias("v")).filter(F.col("v").isNotNull())
     sizes = base.groupBy(*keys).agg(F.approx_count_distinct("v", 0.05).alias("d"))
     wide = F.col("d") * 1.2 > limit

@@ -49,12 +49,17 @@ ARRAY_BLOCK = r"(\[[\s\S]*\])"
 
 def tag_intent(text: Column) -> Column:
     """First intent, in priority order, with one of its fragments in the message."""
-    message = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    out = None
-    for intent, words in INTENT_WORDS.items():
-        hit = any_of([F.contains(message, F.lit(w)) for w in words])
-        out = F.when(hit, intent) if out is None else out.when(hit, intent)
-    return F.when(text.isNotNull(), out.otherwise(DEFAULT_INTENT))
+
+    def decide(message: Column) -> Column:
+        out = None
+        for intent, words in INTENT_WORDS.items():
+            hit = any_of([F.contains(message, F.lit(w)) for w in words])
+            out = F.when(hit, intent) if out is None else out.when(hit, intent)
+        return out.otherwise(DEFAULT_INTENT)
+
+    # the one-element array binds the lower-cased text, so it is computed once per row
+    lowered = F.array(F.concat(F.lit(" "), F.lower(text), F.lit(" ")))
+    return F.when(text.isNotNull(), F.element_at(F.transform(lowered, decide), 1))
 
 
 def _valid_json(candidate: Column) -> Column:

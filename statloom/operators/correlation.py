@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions import tails
 from statloom.functions.exprs import ALPHA, all_of, number, rnd, stack_rows, verdict
-from statloom.functions.prefix import prefix_sums
+from statloom.functions.prefix import prefix_sums, range_count
 from statloom.functions.roles import numeric_columns
 from statloom.functions.skew import attach_by_key
 from statloom.session import settle
@@ -34,14 +34,28 @@ def pearson_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
         return _empty(df)
     names = list(dict.fromkeys(c for p in pairs for c in p))
     at = {n: i for i, n in enumerate(names)}
-    facts = df.agg(
-        F.count("*").alias("n"),
-        *[
-            f(number(df, c)).alias(f"{label}{i}")
-            for c, i in at.items()
-            for label, f in (("k", F.count), ("m", F.avg), ("lo", F.min), ("hi", F.max))
-        ],
-    ).first()
+    facts = _column_facts(df, names)
+    return _centred_pairs(df, pairs, at, facts)
+
+
+def _column_facts(df: DataFrame, names: list[str]) -> dict[str, float | None]:
+    return (
+        df.agg(
+            F.count("*").alias("n"),
+            *[
+                f(number(df, c)).alias(f"{label}{i}")
+                for i, c in enumerate(names)
+                for label, f in (("k", F.count), ("m", F.avg), ("lo", F.min), ("hi", F.max))
+            ],
+        )
+        .first()
+        .asDict()
+    )
+
+
+def _centred_pairs(df: DataFrame, pairs, at: dict[str, int], facts: dict[str, float | None]) -> DataFrame:
+    """Correlations from centred sums, given each column's size, mean and range."""
+    names = list(at)
     n = facts["n"]
     whole = {c for c, i in at.items() if facts[f"k{i}"] == n}
     flat = {c for c, i in at.items() if facts[f"lo{i}"] is None or facts[f"lo{i}"] == facts[f"hi{i}"]}
@@ -101,27 +115,42 @@ def _gram_pairs(centred: DataFrame, pairs, at: dict[str, int], flat: set[str], n
     return centred.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double, n long")
 
 
-def average_ranks(df: DataFrame, name: str) -> DataFrame:
-    """``(name, rank, count)``: tie-averaged rank of every distinct value."""
+def average_ranks(df: DataFrame, name: str, distinct: int) -> DataFrame:
+    """``(name, <name>_rank, count)``: tie-averaged rank of every distinct value."""
     counts = df.groupBy(F.col(name)).agg(F.count("*").alias("_c"))
-    ranked = prefix_sums(counts, name, ["_c"])
+    ranked = prefix_sums(counts, name, ["_c"], ranges=range_count(distinct))
     return ranked.select(name, (F.col("_c_upto") - (F.col("_c") - 1) / 2).alias(f"{name}_rank"), F.col("_c").alias("count"))
 
 
-def with_ranks(df: DataFrame, names: list[str]) -> DataFrame:
+def with_ranks(df: DataFrame, names: list[str], distinct: dict[str, int], total: int) -> DataFrame:
     """Replace complete columns by their tie-averaged ranks over the whole table."""
-    total = df.count()
-    out = df
+    out = df.select(*names)
     for name in names:
-        ranks = average_ranks(df, name)
-        distinct = df.agg(F.approx_count_distinct(name).alias("d")).first()["d"]
-        if distinct <= RANK_BROADCAST_LIMIT:
+        ranks = average_ranks(df, name, distinct[name])
+        if distinct[name] <= RANK_BROADCAST_LIMIT:
             out = out.join(F.broadcast(ranks.drop("count")), name)
         else:
             out = attach_by_key(out, ranks, [name], "count", total)
     return out.select(*[F.col(f"{n}_rank").alias(n) for n in names])
 
 
+def _rank_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Spearman over complete columns. Ranks average (n + 1) / 2, so the ranked table,
+    the expensive part, is evaluated once."""
+    names = list(dict.fromkeys(c for p in pairs for c in p))
+    row = df.agg(
+        F.count("*").alias("n"),
+        *[F.approx_count_distinct(n).alias(f"d{i}") for i, n in enumerate(names)],
+        *[f(n).alias(f"{label}{i}") for i, n in enumerate(names) for label, f in (("lo", F.min), ("hi", F.max))],
+    ).first()
+    n = row["n"]
+    facts: dict[str, float | None] = {"n": n}
+    for i in range(len(names)):
+        facts.update({f"k{i}": n, f"m{i}": (n + 1) / 2, f"lo{i}": row[f"lo{i}"], f"hi{i}": row[f"hi{i}"]})
+    ranked = with_ranks(df, names, {c: row[f"d{i}"] for i, c in enumerate(names)}, n)
+    return _centred_pairs(ranked, pairs, {c: i for i, c in enumerate(names)}, facts)
+
+
 def spearman_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Pearson on ranks; columns with gaps are re-ranked over each pair's complete rows."""
     names = list(dict.fromkeys(c for p in pairs for c in p))
@@ -135,12 +164,9 @@ def spearman_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     back = F.create_map(*[x for n in names for x in (F.lit(alias[n]), F.lit(n))])
     parts = []
     if complete:
-        used = list(dict.fromkeys(alias[c] for p in complete for c in p))
-        ranked = with_ranks(work.select(*used), used)
-        parts.append(pearson_pairs(ranked, [(alias[a], alias[b]) for a, b in complete]))
+        parts.append(_rank_pairs(work, [(alias[a], alias[b]) for a, b in complete]))
     for a, b in partial:
-        both = work.select(alias[a], alias[b]).dropna()
-        parts.append(pearson_pairs(with_ranks(both, [alias[a], alias[b]]), [(alias[a], alias[b])]))
+        parts.append(_rank_pairs(work.select(alias[a], alias[b]).dropna(), [(alias[a], alias[b])]))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -166,11 +192,13 @@ def kendall_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     )
     cells = settle(cells, "kendall")
     ys = cells.groupBy("y").agg(F.sum("w").alias("t")).withColumn("one", F.lit(1))
-    facts = cells.agg(F.sum("w").alias("n"), F.count("*").alias("cells")).first()
-    levels_of_y = ys.count()
+    facts = cells.agg(
+        F.sum("w").alias("n"), F.count("*").alias("cells"), F.countDistinct("y").alias("levels")
+    ).first()
+    levels_of_y = facts["levels"]
     if not facts["n"]:
         return _empty(df)
-    codes = prefix_sums(ys, "y", ["one"]).select("y", (F.col("one_upto") - 1).alias("code"))
+    codes = prefix_sums(ys, "y", ["one"], ranges=range_count(levels_of_y)).select("y", (F.col("one_upto") - 1).alias("code"))
     coded = cells.join(codes, "y")
     levels = max(1, -(-max(levels_of_y - 1, 1).bit_length() // DIGIT_BITS))
     base = 1 << DIGIT_BITS
@@ -186,7 +214,8 @@ def kendall_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     rows = digits.groupBy("level", "prefix", "x").agg(
         *[F.sum(F.when(F.col("digit") == i, F.col("w")).otherwise(0.0)).alias(names[i]) for i in range(base)]
     )
-    scanned = prefix_sums(rows, "x", names, ["level", "prefix"])
+    # a group of rows sharing a prefix has at most `cells` distinct x
+    scanned = prefix_sums(rows, "x", names, ["level", "prefix"], ranges=range_count(facts["cells"]))
     before = [F.col(f"{n}_upto") - F.col(n) for n in names]
     score = F.lit(0.0)
     lower, total = F.lit(0.0), sum(before[1:], before[0])

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statloom.functions.exprs import present
 from statloom.functions.roles import LOW_CARDINALITY, is_categorical, is_numeric
 from statloom.operators.profile import value_counts
 
@@ -29,6 +30,7 @@ TARGET_WORDS = [
 ID_NAMES = ["id", "index", "uuid"]
 ID_NAME_SHARE = 0.9
 ID_VALUE_SHARE = 0.98
+SKETCH_ERROR = 0.05
 
 
 @dataclass(frozen=True)
@@ -37,25 +39,46 @@ class ColumnFacts:
     distinct: dict[str, int]
 
 
-def column_facts(df: DataFrame) -> ColumnFacts:
-    """Row count and exact distinct counts of all columns in one job."""
-    counts = value_counts(df, df.columns).groupBy("feature")
-    rows = counts.agg(F.count("value").alias("d"), F.sum("count").alias("n")).collect()  # a row per column
-    return ColumnFacts(max((r["n"] for r in rows), default=0), {r["feature"]: r["d"] for r in rows})
+def column_facts(df: DataFrame, exact: bool = False) -> ColumnFacts:
+    """Row count and distinct counts of all columns.
+
+    A sketch pass settles every column that is clearly on one side of the limits used
+    here; only the others (or all with ``exact``) are counted exactly, in one more job.
+    """
+    estimate = df.agg(
+        F.count("*").alias("n"),
+        *[F.approx_count_distinct(present(df, c), SKETCH_ERROR).alias(f"d{i}") for i, c in enumerate(df.columns)],
+    ).first()
+    rows = estimate["n"]
+    guess = {c: estimate[f"d{i}"] for i, c in enumerate(df.columns)}
+    close = 1 + 5 * SKETCH_ERROR
+    few = LOW_CARDINALITY * close
+    many = min(ID_NAME_SHARE, ID_VALUE_SHARE) * rows / close
+    unsure = [c for c, d in guess.items() if exact or d <= few or d >= many]
+    if not exact:
+        # numbers are never identifiers by value, so many distinct ones need no count
+        unsure = [c for c in unsure if guess[c] <= few or not is_numeric(df.schema[c].dataType) or _id_name(c)]
+    if unsure:
+        counts = value_counts(df, unsure).groupBy("feature").agg(F.count("value").alias("d"))
+        guess.update({r["feature"]: r["d"] for r in counts.collect()})  # a row per column
+    return ColumnFacts(rows, guess)
+
+
+def _id_name(column: str) -> bool:
+    return column.lower() in ID_NAMES or column.lower().endswith("id")
 
 
 def looks_like_id(df: DataFrame, column: str, facts: ColumnFacts) -> bool:
     """Identifier by name (and mostly distinct) or by nearly distinct non-numeric values."""
     distinct, rows = facts.distinct.get(column, 0), facts.rows
-    if column.lower() in ID_NAMES or column.lower().endswith("id"):
-        if distinct > ID_NAME_SHARE * rows:
-            return True
+    if _id_name(column) and distinct > ID_NAME_SHARE * rows:
+        return True
     return not is_numeric(df.schema[column].dataType) and rows > 10 and distinct >= ID_VALUE_SHARE * rows
 
 
 def identifier_columns(df: DataFrame, facts: ColumnFacts | None = None) -> DataFrame:
     """One row per column: distinct values and whether it looks like an identifier."""
-    facts = facts or column_facts(df)
+    facts = facts or column_facts(df, exact=True)
     rows = [(c, facts.distinct.get(c, 0), looks_like_id(df, c, facts)) for c in df.columns]
     return df.sparkSession.createDataFrame(rows, "feature string, n_unique long, looks_like_id boolean")
 
@@ -98,6 +121,4 @@ def suggest_target(df: DataFrame, facts: ColumnFacts | None = None, legacy: bool
 
 
 def with_known_target(df: DataFrame, target: str) -> DataFrame:
-    from statloom.functions.exprs import present
-
     return df.filter(present(df, target).isNotNull())

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Recording the Python call site of every expression costs several round trips to the
+# JVM per call, which dominates the building of wide aggregates.
+CALL_SITES_KEY = "spark.python.sql.dataFrameDebugging.enabled"
 
 
 def build_session(app: str = "statloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,6 +25,7 @@ def build_session(app: str = "statloom", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        CALL_SITES_KEY: "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
@@ -30,8 +34,9 @@ def build_session(app: str = "statloom", master: str | None = None, **conf: str)
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the time zone (tables carry zone-less timestamps) on a foreign session."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, value in (("spark.sql.session.timeZone", "UTC"), (CALL_SITES_KEY, "false")):
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
