@@ -11,11 +11,18 @@ import math
 import numpy as np
 import pandas as pd
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
-_erfc = np.vectorize(math.erfc, otypes=[float])
 _TINY = 1e-300
 
 
+# Plain functions: a module-level vectorised object cannot be shipped once it was used.
+def _lgamma(x):
+    return np.vectorize(math.lgamma, otypes=[float])(x)
+
+
+def _erfc(x):
+    return np.vectorize(math.erfc, otypes=[float])(x)
+
+
 def _beta_fraction(a, b, x):
     c = np.ones_like(x)
     d = 1.0 - (a + b) * x / (a + 1.0)

@@ -10,7 +10,7 @@ from statloom.functions.moments import adjusted_kurtosis, adjusted_skewness, cen
 from statloom.functions.quantiles import QUARTILES, column_quantiles, group_quantiles, quantile_columns
 from statloom.functions.roles import is_numeric, numeric_columns
 
-def _moment_rows(df: DataFrame, names: list[str]) -> DataFrame:
+def _moment_rows(df: DataFrame, names: list[str]) -> DataFrame | None:
     """Two scans for any number of columns: sizes, means and ranges; then shape and quartiles."""
     first = df.agg(
         F.count("*").alias("rows"),
@@ -22,6 +22,8 @@ def _moment_rows(df: DataFrame, names: list[str]) -> DataFrame:
         *[F.approx_count_distinct(number(df, n), 0.05).alias(f"d{i}") for i, n in enumerate(names)],
     ).first()
     filled = {i: n for i, n in enumerate(names) if first[f"n{i}"] > 0}
+    if not filled:
+        return None
     distinct = {n: first[f"d{i}"] for i, n in filled.items()}
     quartiles = quantile_columns(df, list(filled.values()), QUARTILES, distinct)
     second = df.agg(
@@ -49,7 +51,7 @@ def _moment_rows(df: DataFrame, names: list[str]) -> DataFrame:
                 *[F.col(f"q{i}")[k] for k in range(3)],
             ]
         )
-    return stack_rows(second, rows, MOMENT_COLUMNS) if rows else None
+    return stack_rows(second, rows, MOMENT_COLUMNS)
 
 
 MOMENT_COLUMNS = [

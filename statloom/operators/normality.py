@@ -95,24 +95,33 @@ def shapiro_wilk(long: DataFrame, keys: list[str], value: str) -> DataFrame:
     return g.select(*keys, "n", "statistic", p.alias("p_value"))
 
 
-def dagostino_pearson(n: Column, g1: Column, g2: Column) -> tuple[Column, Column]:
-    """(K squared, p) from population skewness and excess kurtosis."""
+def skewness_z(n: Column, g1: Column) -> Column:
+    """Normal score of the population skewness."""
     n = n.cast("double")
     y = g1 * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
     beta2 = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
     w2 = -1 + F.sqrt(2 * (beta2 - 1))
     delta = 1 / F.sqrt(0.5 * F.log(w2))
     alpha = F.sqrt(2 / (w2 - 1))
-    y = F.when(y == 0, 1.0).otherwise(y)
-    z1 = delta * F.asinh(y / alpha)
+    y = F.when(y == 0, 1.0).otherwise(y)  # convention for exact symmetry
+    return delta * F.asinh(y / alpha)
+
+
+def kurtosis_z(n: Column, g2: Column) -> Column:
+    """Normal score of the population excess kurtosis."""
+    n = n.cast("double")
     mean = 3 * (n - 1) / (n + 1)
     variance = 24 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5))
     x = (g2 + 3 - mean) / F.sqrt(variance)
     beta1 = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
     a = 6 + 8 / beta1 * (2 / beta1 + F.sqrt(1 + 4 / beta1**2))
     inner = F.try_divide(1 - 2 / a, 1 + x * F.sqrt(2 / (a - 4)))
-    z2 = (1 - 2 / (9 * a) - F.cbrt(inner)) / F.sqrt(2 / (9 * a))
-    k2 = z1 * z1 + z2 * z2
+    return (1 - 2 / (9 * a) - F.cbrt(inner)) / F.sqrt(2 / (9 * a))
+
+
+def dagostino_pearson(n: Column, g1: Column, g2: Column) -> tuple[Column, Column]:
+    """(K squared, p) from population skewness and excess kurtosis."""
+    k2 = skewness_z(n, g1) ** 2 + kurtosis_z(n, g2) ** 2
     return k2, F.exp(-k2 / 2)
 
 

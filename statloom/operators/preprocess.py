@@ -5,14 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.exprs import SEED, name_col, number, present
 from statloom.functions.quantiles import column_quantiles, group_quantiles
 from statloom.functions.roles import numeric_columns
-from statloom.operators.cleaning import text_modes
+from statloom.operators.profile import value_counts
 
 
 def unit_hash(key: list[str], seed: int = SEED) -> Column:
@@ -115,7 +115,7 @@ def fit_preparation(train: DataFrame, features: list[str], out: str = "features"
     """
     nums = [f for f in features if f in numeric_columns(train)]
     cats = [f for f in features if f not in nums]
-    # one scan: sizes, moments, distinct estimates of the numbers; gaps of the levels
+    # one scan for the numbers: sizes, moments, distinct estimates
     facts = train.agg(
         F.count("*").alias("rows"),
         *[
@@ -124,7 +124,6 @@ def fit_preparation(train: DataFrame, features: list[str], out: str = "features"
             for t, f in (("k", F.count), ("m", F.avg), ("v", F.var_pop))
         ],
         *[F.approx_count_distinct(number(train, n), 0.05).alias(f"d{i}") for i, n in enumerate(nums)],
-        *[F.count(present(train, c)).alias(f"c{i}") for i, c in enumerate(cats)],
     ).first()
     total = max(facts["rows"], 1)
     distinct = {n: facts[f"d{i}"] for i, n in enumerate(nums)}
@@ -135,18 +134,28 @@ def fit_preparation(train: DataFrame, features: list[str], out: str = "features"
         centre = (k * mean + (total - k) * medians[n]) / total
         spread = (k * (var + (mean - centre) ** 2) + (total - k) * (medians[n] - centre) ** 2) / total
         stats[n] = (float(medians[n]), centre, spread**0.5 or 1.0)
-    # a column without values carries nothing; modes are needed only where there are gaps
-    filled = {c: facts[f"c{i}"] for i, c in enumerate(cats) if facts[f"c{i}"]}
-    cats = list(filled)
-    gaps = [c for c in cats if filled[c] < facts["rows"]]
-    modes = text_modes(train.select(*[present(train, c).cast("string").alias(c) for c in gaps]), gaps) if gaps else {}
+    # one group-by for everything else: sorted levels and mode of every column
+    levels: dict[str, list[str]] = {}
+    modes: dict[str, str] = {}
+    if cats:
+        seen = value_counts(train, cats).filter(F.col("value").isNotNull())
+        for r in (
+            seen.groupBy("feature")
+            .agg(
+                F.array_sort(F.collect_list("value")).alias("levels"),
+                F.min_by("value", F.struct((-F.col("count")).alias("c"), "value")).alias("mode"),
+            )
+            .collect()
+        ):
+            levels[r["feature"]], modes[r["feature"]] = r["levels"], r["mode"]
+    cats = [c for c in cats if c in levels]  # a column without values carries nothing
 
     cells = [
         f"(coalesce(nanvl(CAST({_sql_name(n)} AS DOUBLE), NULL), {med!r}D) - {mean!r}D) / {sd!r}D AS {_sql_name('_n_' + str(i))}"
         for i, (n, (med, mean, sd)) in enumerate(stats.items())
     ]
     cells += [
-        f"coalesce(CAST({_sql_name(c)} AS STRING), {_sql_text(modes.get(c, ''))}) AS {_sql_name('_c_' + str(i))}"
+        f"coalesce(CAST({_sql_name(c)} AS STRING), {_sql_text(modes[c])}) AS {_sql_name('_c_' + str(i))}"
         for i, c in enumerate(cats)
     ]
     impute = SQLTransformer(statement=f"SELECT *, {', '.join(cells)} FROM __THIS__")
@@ -154,20 +163,20 @@ def fit_preparation(train: DataFrame, features: list[str], out: str = "features"
     stages = [impute]
     slots, owners = list(stats), list(stats)
     if cats:
-        indexer = StringIndexer(
+        indexer = StringIndexerModel.from_arrays_of_labels(
+            [levels[c] for c in cats],
             inputCols=[f"_c_{i}" for i in range(len(cats))],
             outputCols=[f"_i_{i}" for i in range(len(cats))],
             handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        ).fit(prepared)
+        )
         # 'keep' adds one slot for unknown levels; dropLast then removes exactly that slot
         encoder = OneHotEncoder(
             inputCols=[f"_i_{i}" for i in range(len(cats))], outputCols=[f"_o_{i}" for i in range(len(cats))], dropLast=True
         ).fit(indexer.transform(prepared))
         stages += [indexer, encoder]
-        for c, levels in zip(cats, indexer.labelsArray):
-            slots += [f"{c}_{level}" for level in levels]
-            owners += [c] * len(levels)
+        for c in cats:
+            slots += [f"{c}_{level}" for level in levels[c]]
+            owners += [c] * len(levels[c])
     stages.append(
         VectorAssembler(
             inputCols=[f"_n_{i}" for i in range(len(stats))] + [f"_o_{i}" for i in range(len(cats))], outputCol=out

@@ -68,11 +68,11 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited text: short rows are padded with NULL, rows with extra fields skipped.
 
-    Without an encoding the file is tested once for undecodable UTF-8 (Spark marks
-    such bytes with U+FFFD) and read as Latin-1 if any turn up.
+    Without an encoding the file is tested once for undecodable UTF-8 and read as
+    Latin-1 if any turns up.
     """
     if encoding is None:
-        broken = spark.read.text(path).filter(F.col("value").contains("\ufffd")).limit(1).count()
+        broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count()
         encoding = ENCODINGS[1] if broken else ENCODINGS[0]
     options = {"header": True, "sep": sep, "encoding": encoding}
     if schema is None:
