@@ -163,17 +163,16 @@ def fit_preparation(train: DataFrame, features: list[str], out: str = "features"
     stages = [impute]
     slots, owners = list(stats), list(stats)
     if cats:
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [levels[c] for c in cats],
-            inputCols=[f"_c_{i}" for i in range(len(cats))],
-            outputCols=[f"_i_{i}" for i in range(len(cats))],
-            handleInvalid="keep",
-        )
+        indexers = [
+            StringIndexerModel.from_labels(levels[c], inputCol=f"_c_{i}", outputCol=f"_i_{i}", handleInvalid="keep")
+            for i, c in enumerate(cats)
+        ]
+        prepared = PipelineModel(indexers).transform(prepared)
         # 'keep' adds one slot for unknown levels; dropLast then removes exactly that slot
         encoder = OneHotEncoder(
             inputCols=[f"_i_{i}" for i in range(len(cats))], outputCols=[f"_o_{i}" for i in range(len(cats))], dropLast=True
-        ).fit(indexer.transform(prepared))
-        stages += [indexer, encoder]
+        ).fit(prepared)
+        stages += [*indexers, encoder]
         for c in cats:
             slots += [f"{c}_{level}" for level in levels[c]]
             owners += [c] * len(levels[c])

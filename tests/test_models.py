@@ -73,6 +73,14 @@ def test_preparation(spark, staff):
     assert empty[0] == pytest.approx((pdf["age"].median() - filled.mean()) / filled.std(ddof=0))
 
 
+def test_columns_with_different_numbers_of_levels(staff):
+    prep = preprocess.fit_preparation(staff, ["promoted", "department"])
+    assert prep.slots == ["promoted_No", "promoted_Yes", "department_Eng", "department_HR", "department_Ops"]
+    sums = prep.transform(staff).select(vector_to_array("features").alias("x"))
+    totals = [sums.agg(F.sum(F.col("x")[i])).first()[0] for i in range(5)]
+    assert sum(totals[:2]) == sum(totals[2:]) == 120
+
+
 @pytest.fixture(scope="module")
 def trained(staff):
     return models.train_and_evaluate(
