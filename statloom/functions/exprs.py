@@ -104,3 +104,12 @@ def all_of(conditions: list[Column]) -> Column:
 
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
+
+
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the values of a one-row table (an ungrouped aggregate) to every row.
+
+    The other side is a single row by construction, so this is a projection in effect:
+    nothing is shuffled and no pairs are formed.
+    """
+    return df.crossJoin(F.broadcast(one_row))

@@ -41,6 +41,7 @@ INTENT_WORDS = {
     ],
 }
 DEFAULT_INTENT = "chat"
+# Patterns of target phrases and of JSON inside prose.
 TARGET_PHRASE = r"(?U)(?:predict|model|target|classify|forecast)\s+(?:the\s+)?([\w ]+)"
 FENCED_BLOCK = r"(?i)```(?:json)?\s*\n?([\s\S]*?)\n?```"
 OBJECT_BLOCK = r"(\{[\s\S]*\})"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.functions.exprs import SEED, name_col, number, present, rnd
+from statloom.functions.exprs import SEED, name_col, number, present, rnd, with_scalars
 from statloom.functions.quantiles import GROUP_BROADCAST_LIMIT, QUARTILES, group_quantiles
 from statloom.functions.roles import categorical_columns, numeric_columns
 from statloom.operators.correlation import correlation_matrix
@@ -63,7 +63,7 @@ def pie_shares(df: DataFrame, category: str) -> DataFrame:
     """Count and share of every category."""
     counts = value_counts(df, [category]).filter(F.col("value").isNotNull())
     total = counts.agg(F.sum("count").alias("n"))
-    return counts.crossJoin(F.broadcast(total)).select(  # one row
+    return counts.transform(with_scalars, total).select(  # one row
         F.col("value").alias("category"), "count", rnd(100 * F.col("count") / F.col("n"), 2).alias("share_pct")
     )
 

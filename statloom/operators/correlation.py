@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions import tails
-from statloom.functions.exprs import ALPHA, all_of, number, rnd, stack_rows, verdict
+from statloom.functions.exprs import ALPHA, all_of, number, rnd, stack_rows, verdict, with_scalars
 from statloom.functions.prefix import prefix_sums, range_count
 from statloom.functions.roles import numeric_columns
 from statloom.functions.skew import attach_by_key
@@ -232,8 +232,8 @@ def kendall_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     pairs = n * (n - 1) / 2
     tau = F.try_divide(F.col("s"), F.sqrt((F.lit(pairs) - F.col("tie_x")) * (F.lit(pairs) - F.col("tie_y"))))
     return (
-        s.crossJoin(F.broadcast(ties("x")))  # three one-row sides
-        .crossJoin(F.broadcast(ties("y")))
+        s.transform(with_scalars, ties("x"))  # three one-row sides
+        .transform(with_scalars, ties("y"))
         .select(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), tau.alias("r"), F.lit(int(n)).cast("long").alias("n"))
     )
 

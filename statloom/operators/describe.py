@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.functions.exprs import name_col, number, ratio, rnd, stack_rows
+from statloom.functions.exprs import name_col, number, ratio, rnd, stack_rows, with_scalars
 from statloom.functions.moments import adjusted_kurtosis, adjusted_skewness, central_moments, power_sums
 from statloom.functions.quantiles import QUARTILES, column_quantiles, group_quantiles, quantile_columns
 from statloom.functions.roles import is_numeric, numeric_columns
@@ -216,7 +216,7 @@ def detect_anomalies(df: DataFrame, column: str, order_by: list[str] | None = No
     first = df.filter(outside).select(F.struct(*order, c.alias("_v")).alias("s")).orderBy("s").limit(5)
     examples = first.agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["_v"]).alias("example_anomalies"))
     share = F.col("iqr_outliers_count") / F.greatest(F.col("n"), F.lit(1))
-    return counts.crossJoin(F.broadcast(examples)).select(  # both sides are one row
+    return counts.transform(with_scalars, examples).select(  # both sides are one row
         F.lit(column).alias("column"),
         "iqr_outliers_count",
         "zscore_outliers_count",
@@ -245,7 +245,7 @@ def group_comparison(df: DataFrame, group: str, value: str) -> DataFrame:
     diff = rnd(100 * (F.col("mean") - F.col("overall_mean")) / F.col("overall_mean"), 2)
     return (
         stats.join(medians, "group", "left")
-        .crossJoin(F.broadcast(overall))  # one row
+        .transform(with_scalars, overall)  # one row
         .select(
             F.col("group").cast("string").alias("group"),
             "count",

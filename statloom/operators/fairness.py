@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.functions.exprs import name_col, rnd, stack_rows
+from statloom.functions.exprs import name_col, rnd, stack_rows, with_scalars
 
 MIN_GROUP = 5
 MAX_GROUPS = 10
@@ -91,7 +91,7 @@ def group_metrics(df: DataFrame, label: str, prediction: str, group: str, positi
     rate = F.col("selected") / F.col("n")
     return (
         counts.filter((F.col("n") >= MIN_GROUP) & F.col("group").isNotNull())
-        .crossJoin(F.broadcast(overall))  # one row
+        .transform(with_scalars, overall)  # one row
         .select(
             "group",
             "n",

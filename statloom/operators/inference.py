@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statloom.functions import tails
-from statloom.functions.exprs import ALPHA, melt, name_col, number, present, ratio, rnd, stack_rows, verdict
+from statloom.functions.exprs import ALPHA, melt, name_col, number, present, ratio, rnd, stack_rows, verdict, with_scalars
 from statloom.functions.prefix import prefix_sums, suffix_minimum
 from statloom.functions.quantiles import GROUP_BROADCAST_LIMIT, group_quantiles
 from statloom.functions.roles import LOW_CARDINALITY, numeric_columns
@@ -43,7 +43,7 @@ def mean_tests(
         (F.sum(F.when(used, n * mean)) / F.sum(F.when(used, n))).alias("grand_used"),
         (F.sum(n * mean) / F.sum(n)).alias("grand_all"),
     )
-    joined = stats.join(F.broadcast(grand), by) if by else stats.crossJoin(F.broadcast(grand))
+    joined = stats.join(F.broadcast(grand), by) if by else stats.transform(with_scalars, grand)
 
     def side(pick) -> Column:
         return pick(F.struct("n", "mean", "var"), F.when(used, name_col(group)))
@@ -111,7 +111,7 @@ def eta_squared(df: DataFrame, value: str, group: str) -> DataFrame:
     grand = tested.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"))
     ssb = F.sum(F.col("n") * (F.col("mean") - F.col("grand")) ** 2)
     ssw = F.sum((F.col("n") - 1) * F.coalesce("var", F.lit(0.0)))
-    return tested.crossJoin(F.broadcast(grand)).agg(ratio(ssb, ssb + ssw).alias("eta_squared"))  # one row
+    return tested.transform(with_scalars, grand).agg(ratio(ssb, ssb + ssw).alias("eta_squared"))  # one row
 
 
 def cohens_d(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
@@ -170,8 +170,8 @@ def chi_square_tests(cells: DataFrame, by: list[str]) -> DataFrame:
         sizes = shape.join(F.broadcast(shape_c), by)
         joined = cells.join(rows, [*by, "a"]).join(cols, [*by, "b"]).join(F.broadcast(sizes), by)
     else:
-        sizes = shape.crossJoin(F.broadcast(shape_c))
-        joined = cells.join(rows, "a").join(cols, "b").crossJoin(F.broadcast(sizes))  # one row
+        sizes = shape.transform(with_scalars, shape_c)
+        joined = cells.join(rows, "a").join(cols, "b").transform(with_scalars, sizes)  # one row
     e = F.col("row_total") * F.col("col_total") / F.col("n")
     dev = F.abs(F.col("o") - e)
     agg = joined.groupBy(*by).agg(
@@ -289,14 +289,14 @@ def correct_pvalues(table: DataFrame, p: str = "p_value", method: str = "fdr_bh"
     """
     if method == "bonferroni":
         total = table.agg(F.count(p).alias("_n"))
-        out = table.crossJoin(F.broadcast(total))  # one row
+        out = table.transform(with_scalars, total)  # one row
         adjusted = F.least(name_col(p) * F.col("_n"), F.lit(1.0))
         return out.withColumn("p_adjusted", adjusted).drop("_n").withColumn("reject", F.col("p_adjusted") < alpha)
     if method != "fdr_bh":
         raise ValueError(f"unknown method '{method}'")
     counts = table.filter(name_col(p).isNotNull()).groupBy(name_col(p).alias("_p")).agg(F.count("*").alias("_c"))
     total = counts.agg(F.sum("_c").alias("_n"))
-    ranked = prefix_sums(counts, "_p", ["_c"]).crossJoin(F.broadcast(total))  # one row
+    ranked = prefix_sums(counts, "_p", ["_c"]).transform(with_scalars, total)  # one row
     stepped = ranked.withColumn("_s", F.col("_p") * F.col("_n") / F.col("_c_upto"))
     adjusted = suffix_minimum(stepped, "_p", "_s", "_adj").select(
         F.col("_p").alias(p), F.least(F.col("_adj"), F.lit(1.0)).alias("p_adjusted")
@@ -333,7 +333,7 @@ def assumption_checks(df: DataFrame, value: str, group: str, alpha: float = ALPH
         .when(two, F.when(equal, "Student t-test").otherwise("Welch t-test"))
         .otherwise(F.when(equal, "one-way ANOVA").otherwise("Welch ANOVA"))
     )
-    return levene.crossJoin(F.broadcast(normal)).select(  # one row each
+    return levene.transform(with_scalars, normal).select(  # one row each
         "n_groups",
         "all_groups_normal",
         equal.alias("equal_variance"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.functions.exprs import name_col, ratio, rnd
+from statloom.functions.exprs import name_col, ratio, rnd, with_scalars
 from statloom.functions.prefix import prefix_sums
 
 MACHINE_EPSILON = 2.220446049250313e-16
@@ -75,7 +75,7 @@ def ranking_metrics(df: DataFrame, positive: Column, score: Column, keys: list[s
     """Exact ROC-AUC and average precision from the distinct scores."""
     s = score_counts(df, positive, score, keys)
     totals = s.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    joined = s.join(F.broadcast(totals), list(keys)) if keys else s.crossJoin(F.broadcast(totals))  # a row per key
+    joined = s.join(F.broadcast(totals), list(keys)) if keys else s.transform(with_scalars, totals)  # a row per key
     neg_below = F.col("neg_upto") - F.col("neg")
     tp = F.col("P") - F.col("pos_upto") + F.col("pos")
     fp = F.col("N") - F.col("neg_upto") + F.col("neg")
@@ -115,7 +115,7 @@ def curve_points(df: DataFrame, positive: Column, score: Column, keys: list[str]
     """ROC and precision-recall points, one per distinct score plus the empty start."""
     s = score_counts(df, positive, score, keys)
     totals = s.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    joined = s.join(F.broadcast(totals), list(keys)) if keys else s.crossJoin(F.broadcast(totals))  # a row per key
+    joined = s.join(F.broadcast(totals), list(keys)) if keys else s.transform(with_scalars, totals)  # a row per key
     tp = F.col("P") - F.col("pos_upto") + F.col("pos")
     fp = F.col("N") - F.col("neg_upto") + F.col("neg")
     points = joined.select(
@@ -149,8 +149,3 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, digits: int =
         F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(MACHINE_EPSILON))).alias("mape"),
     )
     return agg.select(*[rnd(F.col(m), digits).alias(m) for m in agg.columns])
-
-
-def cumulative_share(df: DataFrame, order: str, share: str, out: str = "cumulative") -> DataFrame:
-    """Running sum over a small ordered table (one row per component)."""
-    return df.withColumn(out, F.sum(share).over(Window.orderBy(order)))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statloom.functions.exprs import SEED, name_col, rnd
+from statloom.functions.exprs import SEED, name_col, rnd, with_scalars
 from statloom.functions.prefix import sequence_numbers
 from statloom.operators import metrics
 from statloom.operators.preprocess import (
@@ -247,7 +247,7 @@ def evaluate(problem: Problem, predicted: DataFrame) -> DataFrame:
     else:
         rank = metrics.weighted_ovr_auc(predicted, problem.target, "scores", problem.labels)
         rank = rank.select(rnd(F.col("roc_auc"), 4).alias("roc_auc"))
-    return base.crossJoin(F.broadcast(rank))  # one row each
+    return base.transform(with_scalars, rank)  # one row each
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.functions.exprs import SEED, name_col, number, present
+from statloom.functions.exprs import SEED, name_col, number
 from statloom.functions.quantiles import column_quantiles, group_quantiles
 from statloom.functions.roles import numeric_columns
 from statloom.operators.profile import value_counts

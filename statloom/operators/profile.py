@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statloom.functions.exprs import any_of, name_col, number, present, ratio, rnd, stack_rows
+from statloom.functions.exprs import any_of, name_col, number, present, ratio, rnd, stack_rows, with_scalars
 from statloom.functions.roles import (
     categorical_columns,
     datetime_columns,
@@ -47,7 +47,7 @@ def duplicate_count(df: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("c"))
         .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("duplicate_rows"))
     )
-    return total.crossJoin(F.broadcast(copies))  # one row each
+    return total.transform(with_scalars, copies)  # one row each
 
 
 def profile_dataset(df: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def profile_dataset(df: DataFrame) -> DataFrame:
     cols = len(df.columns)
     missing = df.agg(*[F.count_if(present(df, c).isNull()).alias(f"m{i}") for i, c in enumerate(df.columns)])
     cells = sum((F.col(f"m{i}") for i in range(1, cols)), F.col("m0"))
-    one = missing.select(cells.alias("missing_cells")).crossJoin(F.broadcast(duplicate_count(df)))
+    one = missing.select(cells.alias("missing_cells")).transform(with_scalars, duplicate_count(df))
     n = F.col("n_rows")
     return one.select(
         n,
@@ -130,7 +130,7 @@ def frequency_distribution(df: DataFrame, column: str, top_n: int = 20) -> DataF
     return (
         counts.orderBy(F.col("count").desc(), "value")
         .limit(top_n)
-        .crossJoin(F.broadcast(total))  # one row
+        .transform(with_scalars, total)  # one row
         .select("value", "count", rnd(100 * F.col("count") / F.col("n"), 2).alias("pct"))
     )
 

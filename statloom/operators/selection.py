@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions import tails
-from statloom.functions.exprs import name_col, number, present, rnd
+from statloom.functions.exprs import name_col, number, present, rnd, with_scalars
 from statloom.functions.quantiles import column_quantiles
 from statloom.functions.roles import numeric_columns
 from statloom.operators import models
@@ -58,7 +58,7 @@ def f_scores(problem: Problem) -> DataFrame:
             levels = cells.select("feature", "value").distinct()
             # every level meets every class (at most MAX_CLASSES of them), also with no rows
             listed = classes.agg(F.collect_list(F.struct("_y", "n")).alias("all"))
-            grid = levels.crossJoin(F.broadcast(listed)).select("feature", "value", F.inline("all"))
+            grid = levels.transform(with_scalars, listed).select("feature", "value", F.inline("all"))
             filled = grid.join(cells, ["feature", "value", "_y"], "left").withColumn("p", F.coalesce("c", F.lit(0)) / F.col("n"))
             stats = filled.select(
                 "feature",
@@ -84,7 +84,7 @@ def f_scores(problem: Problem) -> DataFrame:
             levels = _long(df.withColumn("_y", y), cats, "_y").groupBy("feature", "value").agg(
                 F.count("*").alias("k"), F.avg("_y").alias("m")
             )
-            joined = levels.crossJoin(F.broadcast(whole))  # one row
+            joined = levels.transform(with_scalars, whole)  # one row
             p = F.col("k") / n
             r = F.try_divide(p * (F.col("m") - F.col("my")), F.sqrt(p * (1 - p)) * F.col("sy"))
             parts.append(

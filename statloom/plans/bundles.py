@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.functions.exprs import rnd
+from statloom.functions.exprs import rnd, with_scalars
 from statloom.operators import cleaning, correlation, describe, models, profile
 from statloom.operators.target import column_facts, suggest_target
 
@@ -143,4 +143,4 @@ def dataset_scores(df: DataFrame) -> DataFrame:
         F.col("n_rows").alias("row_count"), rnd(1 - F.col("missing_pct") / 100, 3).alias("quality_score")
     )
     # three one-row tables
-    return profile.health_score(facts.crossJoin(F.broadcast(pairs)).crossJoin(F.broadcast(outliers)))
+    return profile.health_score(facts.transform(with_scalars, pairs).transform(with_scalars, outliers))
