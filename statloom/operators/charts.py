@@ -62,7 +62,7 @@ def bar_means(df: DataFrame, category: str, value: str, top_n: int = 15) -> Data
 def pie_shares(df: DataFrame, category: str) -> DataFrame:
     """Count and share of every category."""
     counts = value_counts(df, [category]).filter(F.col("value").isNotNull())
-    total = counts.agg(F.sum("count").alias("n"))
+    total = df.agg(F.count(present(df, category)).alias("n"))
     return counts.transform(with_scalars, total).select(  # one row
         F.col("value").alias("category"), "count", rnd(100 * F.col("count") / F.col("n"), 2).alias("share_pct")
     )

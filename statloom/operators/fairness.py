@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.exprs import name_col, rnd, stack_rows, with_scalars
+from statloom.session import settle
 
 MIN_GROUP = 5
 MAX_GROUPS = 10
@@ -76,7 +77,7 @@ def group_metrics(df: DataFrame, label: str, prediction: str, group: str, positi
     p = name_col(prediction).cast("string") == F.lit(str(positive))
     rows = df.select(name_col(group).cast("string").alias("group"), name_col(label).cast("string").alias("l"), y.alias("y"), p.alias("p"),
                      (name_col(label).cast("string") == name_col(prediction).cast("string")).alias("ok"))
-    counts = rows.groupBy("group").agg(
+    tallied = rows.groupBy("group").agg(
         F.count("*").alias("n"),
         F.count_if("p").alias("selected"),
         F.count_if("ok").alias("correct"),
@@ -85,6 +86,7 @@ def group_metrics(df: DataFrame, label: str, prediction: str, group: str, positi
         F.count_if(~F.col("y") & F.col("p")).alias("fp"),
         F.count_if(~F.col("y") & ~F.col("p")).alias("tn"),
     )
+    counts = settle(tallied, "groups")  # a row per group: the data is read once
     overall = counts.agg((F.sum("selected") / F.sum("n")).alias("overall"))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     both = (tp + fn > 0) & (fp + tn > 0)

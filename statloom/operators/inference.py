@@ -37,6 +37,7 @@ def mean_tests(
     ``stats`` has ``(by..., group, n, mean, var)``. Also returns eta squared, which
     counts the groups below ``min_size`` as well.
     """
+    stats = settle(stats, "groups")  # a row per group: the data is read once
     n, mean, var = F.col("n"), F.col("mean"), F.coalesce("var", F.lit(0.0))
     used = n >= min_size
     grand = stats.groupBy(*by).agg(
@@ -107,7 +108,7 @@ def group_means(df: DataFrame, value: str, group: str) -> DataFrame:
 
 def eta_squared(df: DataFrame, value: str, group: str) -> DataFrame:
     """Share of the variance explained by the groups."""
-    tested = group_stats(_pairs(df, value, group), ["group"], "v")
+    tested = settle(group_stats(_pairs(df, value, group), ["group"], "v"), "groups")
     grand = tested.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"))
     ssb = F.sum(F.col("n") * (F.col("mean") - F.col("grand")) ** 2)
     ssw = F.sum((F.col("n") - 1) * F.coalesce("var", F.lit(0.0)))
@@ -158,6 +159,7 @@ def chi_square_tests(cells: DataFrame, by: list[str]) -> DataFrame:
     expected counts, n minus the expectation of the cells seen. A 2x2 table uses
     the continuity correction, whose deviation is the same in all four cells.
     """
+    cells = settle(cells, "cells")  # a row per cell: the data is read once
     rows = cells.groupBy(*by, "a").agg(F.sum("o").alias("row_total"))
     cols = cells.groupBy(*by, "b").agg(F.sum("o").alias("col_total"))
     shape = (

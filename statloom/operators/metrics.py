@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.exprs import name_col, ratio, rnd, with_scalars
 from statloom.functions.prefix import prefix_sums
+from statloom.session import settle
 
 MACHINE_EPSILON = 2.220446049250313e-16
 
@@ -60,21 +61,28 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, digits: i
     return agg.select(*[rnd(F.col(m), digits).alias(m) for m in agg.columns], rnd(F.col("f1"), digits).alias("f1_weighted"))
 
 
-def score_counts(df: DataFrame, positive: Column, score: Column, keys: list[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score (and key), with running totals."""
+def score_counts(df: DataFrame, positive: Column, score: Column, keys: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Positives and negatives per distinct score with running totals, and the totals.
+
+    The data is read once: everything after works on the stored counts per score.
+    """
+    keys = list(keys)
     rows = df.select(
         *[name_col(k) for k in keys], score.cast("double").alias("score"), positive.cast("int").alias("pos")
     )
-    counts = rows.groupBy(*keys, "score").agg(
-        F.sum("pos").cast("double").alias("pos"), F.sum(1 - F.col("pos")).cast("double").alias("neg")
+    counts = settle(
+        rows.groupBy(*keys, "score").agg(
+            F.sum("pos").cast("double").alias("pos"), F.sum(1 - F.col("pos")).cast("double").alias("neg")
+        ),
+        "scores",
     )
-    return prefix_sums(counts, "score", ["pos", "neg"], list(keys))
+    totals = counts.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return prefix_sums(counts, "score", ["pos", "neg"], keys), totals
 
 
 def ranking_metrics(df: DataFrame, positive: Column, score: Column, keys: list[str] = ()) -> DataFrame:
     """Exact ROC-AUC and average precision from the distinct scores."""
-    s = score_counts(df, positive, score, keys)
-    totals = s.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    s, totals = score_counts(df, positive, score, keys)
     joined = s.join(F.broadcast(totals), list(keys)) if keys else s.transform(with_scalars, totals)  # a row per key
     neg_below = F.col("neg_upto") - F.col("neg")
     tp = F.col("P") - F.col("pos_upto") + F.col("pos")
@@ -113,8 +121,7 @@ def weighted_ovr_auc(df: DataFrame, label: str, vector: str, labels: list[str])
 
 def curve_points(df: DataFrame, positive: Column, score: Column, keys: list[str] = ()) -> DataFrame:
     """ROC and precision-recall points, one per distinct score plus the empty start."""
-    s = score_counts(df, positive, score, keys)
-    totals = s.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    s, totals = score_counts(df, positive, score, keys)
     joined = s.join(F.broadcast(totals), list(keys)) if keys else s.transform(with_scalars, totals)  # a row per key
     tp = F.col("P") - F.col("pos_upto") + F.col("pos")
     fp = F.col("N") - F.col("neg_upto") + F.col("neg")

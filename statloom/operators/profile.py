@@ -39,7 +39,7 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     cells = [present(df, c) for c in df.columns]
     hashed = df.select(F.xxhash64(*cells).alias("_h"), F.struct(*cells).alias("_row"))
     counts = hashed.groupBy("_h").agg(F.count("*").alias("c"))
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n_rows"))
+    total = df.agg(F.count("*").alias("n_rows"))
     repeated = counts.filter("c > 1").select("_h")
     suspects = hashed.join(repeated, "_h", "left_semi")
     copies = (
@@ -126,7 +126,7 @@ def categorical_summary(df: DataFrame, names: list[str] | None = None) -> DataFr
 def frequency_distribution(df: DataFrame, column: str, top_n: int = 20) -> DataFrame:
     """Most frequent values with count and share of the non-null rows."""
     counts = value_counts(df, [column]).filter(F.col("value").isNotNull()).select("value", "count")
-    total = counts.agg(F.sum("count").alias("n"))
+    total = df.agg(F.count(present(df, column)).alias("n"))
     return (
         counts.orderBy(F.col("count").desc(), "value")
         .limit(top_n)
