@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Recording the Python call site of every expression costs several round trips to the
-# JVM per call, which dominates the building of wide aggregates.
+# JVM per call, which dominates the building of wide aggregates. Static: it can only be
+# set when the session is made.
 CALL_SITES_KEY = "spark.python.sql.dataFrameDebugging.enabled"
 
 
@@ -34,9 +35,8 @@ def build_session(app: str = "statloom", master: str | None = None, **conf: str)
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the time zone (tables carry zone-less timestamps) on a foreign session."""
-    for key, value in (("spark.sql.session.timeZone", "UTC"), (CALL_SITES_KEY, "false")):
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
