@@ -20,7 +20,7 @@ from statloom.llm.common import arrow_rows, col, slices, text_rows
 from statloom.llm.simhash import shingle_hashes
 
 WORDS = 5
-SCALE = 8
+SCALE = 4
 MOST_RANGES = 1024  # the limits of the order's ranges are literals of the plan
 
 
