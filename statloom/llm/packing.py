@@ -62,10 +62,10 @@ class Windows:
                     start, rest = start + gap, rest - gap
                 del self.fill[w]
                 continue
-            yield start, rest, w, fill
             self.fill[w] = fill + rest
             if self.fill[w] == self.size:
                 del self.fill[w]
+            yield start, rest, w, fill
             rest = 0
 
 
@@ -107,8 +107,9 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         state = Windows(size, windows, cut)
+        held: dict[int, list[tuple]] = {}  # pieces of the open windows: a fixed number of tokens
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", 2 << 20):
                 flat, counts = bpe.loaded(shared.value).encode(some.column("text").to_pylist())
                 flat = flat.astype("<u4")
                 rows, stop = [], 0
@@ -116,10 +117,14 @@ def pack(
                     ids = np.append(flat[stop : stop + n], np.uint32(end_id)).astype("<u4")
                     stop += n
                     for start, length, window, offset in state.place(n + 1):
-                        rows.append((doc, start, ids[start : start + length].tobytes(), length, n + 1, part, window, offset, None))
+                        pieces = held.setdefault(window, [])
+                        pieces.append((doc, start, ids[start : start + length].tobytes(), length, n + 1, part, window, offset, False))
+                        if window not in state.fill:
+                            rows += held.pop(window)
+                for window in [w for w in held if w not in state.fill]:  # emitted with a gap
+                    rows += held.pop(window)
                 yield table(rows)
-        # the last windows: a row each, as their number and fill
-        yield table([(None, None, None, fill, None, part, w, None, True) for w, fill in state.fill.items()])
+        yield table([(*piece[:-1], True) for pieces in held.values() for piece in pieces])
 
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
     names = ["doc_id", "start", "ids", "length", "doc_tokens", "part", "window", "offset", "open"]
@@ -130,21 +135,13 @@ def pack(
 
     # written once: which windows stay open depends on the order in which a task saw its rows
     placed = settle(text_rows(df, id_col, text_col).mapInArrow(run, PIECES), "packed")
-    last = placed.where("open").select("part", "window", F.col("length").alias("fill"))
+    last = placed.where("open").groupBy("part", "window").agg(F.sum("length").alias("fill"))
     merged = last.groupBy(F.expr(f"part div {MERGED}").alias("group")).applyInPandas(
         lambda frame: merge(frame, size), "part long, window long, host_part long, host_window long, base long"
     )
-    number = "shiftleft({0}, 32) + {1}"
-    return (
-        placed.where("open is null")
-        .join(merged, ["part", "window"], "left")
-        .select(
-            "doc_id",
-            "start",
-            "ids",
-            "length",
-            "doc_tokens",
-            F.expr(f"coalesce({number.format('host_part', 'host_window')}, {number.format('part', 'window')})").alias("sequence_id"),
-            F.expr("offset + coalesce(base, 0)").alias("offset"),
-        )
+    moved = placed.where("open").join(merged, ["part", "window"])
+    columns = ["doc_id", "start", "ids", "length", "doc_tokens"]
+    stay = placed.where("not open").select(*columns, F.expr("shiftleft(part, 32) + window").alias("sequence_id"), "offset")
+    return stay.unionByName(
+        moved.select(*columns, F.expr("shiftleft(host_part, 32) + host_window").alias("sequence_id"), F.expr("offset + base").alias("offset"))
     )
