@@ -23,8 +23,9 @@ from statloom.llm.common import arrow_rows, col
 BUCKETS = 1 << 18
 WIDTH = 8
 PIECES = (3, 4, 5)
-PER_CLASS = 2500  # labelled rows of each class that are learned from
-EPOCHS = 8
+PER_CLASS = 2000  # labelled rows of each class that are learned from
+EPOCHS = 3
+STEPS = 10_000  # at least so many single updates, over more epochs where few rows are labelled
 RATE = 0.5
 KEEP = 0.7  # least score that is predicted as good
 
@@ -104,7 +105,8 @@ class Model:
 
 
 def train(documents: list[tuple[np.ndarray, np.ndarray]], labels: list[int], seed: int = 5, epochs: int = EPOCHS, rate: float = RATE) -> Model:
-    """Learn from ``(buckets, counts)`` per document; without both classes every score is one half or the class."""
+    """Learn from ``(buckets, counts)`` per document; without any every score is one half."""
+    epochs = max(epochs, -(-STEPS // max(1, len(documents))))
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS + 1, WIDTH)).astype(np.float32)
     layer = np.zeros((2, WIDTH), dtype=np.float32)
