@@ -7,24 +7,15 @@ literals, so a recomputed task always reproduces the same assignment.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statloom.functions.exprs import name_col
+from statloom.functions.exprs import SEED, name_col
 
 MAX_RANGES = 4096
 ROWS_PER_RANGE = 1_000_000
-
-
-def order_position(df: DataFrame, order: str) -> Column:
-    """A double that never decreases along ``order`` (numbers, dates, timestamps)."""
-    dtype = df.schema[order].dataType
-    c = name_col(order)
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        c = c.cast("timestamp")
-    return c.cast("double")
+SAMPLES_PER_RANGE = 50
 
 
 def range_count(rows: int) -> int:
@@ -32,22 +23,50 @@ def range_count(rows: int) -> int:
     return min(MAX_RANGES, int(rows) // ROWS_PER_RANGE + 1)
 
 
-def with_range(df: DataFrame, order: str, out: str = "_range", ranges: int | None = None) -> DataFrame:
-    """Tag rows with the value range of ``order``; ranges hold about equally many rows."""
-    # rows without a position come first
-    tagged = df.withColumn("_pos", F.coalesce(order_position(df, order), F.lit(float("-inf"))))
+def _literal(value: str | None, dtype: T.DataType) -> Column:
+    """A value of ``dtype`` from its text, the same in every session time zone."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    return F.unhex(F.lit(value)) if isinstance(dtype, T.BinaryType) else F.lit(value).cast(dtype)
+
+
+def _limits(df: DataFrame, names: list[str], ranges: int) -> list[Column]:
+    """Range limits of the columns' own types, from a row sample of bounded size.
+
+    They become literals, so a recomputed task assigns its rows as before whatever the sample was.
+    """
+    if ranges < 2:
+        return []
+    types = [df.schema[n].dataType for n in names]
+    cells = [name_col(n).alias(f"c{i}") for i, n in enumerate(names)]
+    sample = df.select(*cells).orderBy(F.rand(SEED)).limit(SAMPLES_PER_RANGE * ranges)
+    texts = [(F.hex if isinstance(t, T.BinaryType) else lambda c: c.cast("string"))(F.col(f"c{i}")).alias(f"t{i}") for i, t in enumerate(types)]
+    rows = [tuple(r) for r in sample.orderBy(*[f"c{i}" for i in range(len(names))]).select(*texts).collect()]
+    picked = dict.fromkeys(rows[len(rows) * i // ranges] for i in range(1, ranges)) if rows else {}
+    return [F.struct(*[_literal(v, t) for v, t in zip(row, types)]) for row in picked]
+
+
+def with_range(
+    df: DataFrame, order: str, out: str = "_range", ranges: int | None = None, tie: str | None = None
+) -> DataFrame:
+    """Tag rows with their range of ``(order, tie)``; ranges hold about equally many rows.
+
+    Any type that has an order will do; NULL comes first. With a ``tie`` a single order value that
+    many rows share is cut as well.
+    """
     if ranges is None:
         ranges = range_count(df.count())
-    inner: list[float] = []
-    if ranges > 1:
-        probs = [i / ranges for i in range(1, ranges)]
-        cuts = tagged.approxQuantile("_pos", probs, 1.0 / (4 * ranges))
-        inner = sorted(set(cuts))
-    if not inner:
-        return tagged.withColumn(out, F.lit(0.0)).drop("_pos")
-    splits = [float("-inf"), *inner, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="_pos", outputCol=out, handleInvalid="keep")
-    return bucketizer.transform(tagged).drop("_pos")
+    names = [c for c in (order, tie) if c]
+    limits = _limits(df, names, ranges)
+    place = F.struct(*[name_col(n) for n in names])
+
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(place < limits[middle], tree(low, middle)).otherwise(tree(middle + 1, high))
+
+    return df.withColumn(out, tree(0, len(limits)))
 
 
 def _keyed(tagged: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
@@ -101,16 +120,29 @@ def suffix_minimum(
 
 
 def sequence_numbers(
-    df: DataFrame, keys: list[str], order: str, out: str = "seq", tie: str | None = None, ranges: int | None = None
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    out: str = "seq",
+    tie: str | None = None,
+    ranges: int | None = None,
+    size: str | None = None,
 ) -> DataFrame:
-    """Row numbers per key along ``order`` where one key may hold most of the rows."""
-    tagged, on = _keyed(with_range(df, order, ranges=ranges), list(keys))
+    """Row numbers per key along ``order`` where one key may hold most of the rows.
+
+    With ``size`` the key's number of rows is added as well.
+    """
+    tagged, on = _keyed(with_range(df, order, ranges=ranges, tie=tie), list(keys))
     counts = tagged.groupBy(*on).agg(F.count("*").alias("_n"))
-    offsets = counts.select(*on, F.coalesce(F.sum("_n").over(_before(on)), F.lit(0)).alias("_o"))
+    whole = F.sum("_n").over(Window.partitionBy(*on[:-1]))
+    offsets = counts.select(
+        *on, F.coalesce(F.sum("_n").over(_before(on)), F.lit(0)).alias("_o"), whole.alias("_size")
+    )
     inside = Window.partitionBy(*on).orderBy(*[name_col(c) for c in (order, tie) if c])
     return _attach(tagged, offsets, on).select(
         *[name_col(c) for c in df.columns],
         (F.row_number().over(inside) + F.col("_o")).cast("long").alias(out),
+        *([F.col("_size").alias(size)] if size else []),
     )
 
 
@@ -124,7 +156,7 @@ def fill_along(
     ranges: int | None = None,
 ) -> DataFrame:
     """Carry the nearest earlier (or later) non-null value along ``order``."""
-    tagged, on = _keyed(with_range(df, order, ranges=ranges), list(keys))
+    tagged, on = _keyed(with_range(df, order, ranges=ranges, tie=tie), list(keys))
     place = F.struct(*[name_col(c) for c in (order, tie) if c])
     value = name_col(column)
     # min_by / max_by skip NULL positions and combine map-side: a hot key costs one

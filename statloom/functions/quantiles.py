@@ -9,7 +9,7 @@ the values inside the brackets are counted, ordered and interpolated.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.exprs import any_of, melt, number
@@ -125,9 +125,10 @@ def _select_columns(df: DataFrame, names: list[str], probs: list[float]) -> dict
         F.create_map(*[x for (c, i), r in rank.items() for x in (F.lit(f"{c}/{i}"), F.lit(float(r)))]),
         F.concat_ws("/", "feature", F.col("i").cast("string")),
     )
-    upto = F.sum("c").over(Window.partitionBy("feature", "i").orderBy("v")) + start
+    # running counts range by range: a bracket may hold many values
+    inner = prefix_sums(settle(counted, "bracketed"), "v", ["c"], ["feature", "i"])
     picked = (
-        counted.select("feature", "i", "v", upto.alias("upto"), wanted.alias("pos"))
+        inner.select("feature", "i", "v", (F.col("c_upto") + start).alias("upto"), wanted.alias("pos"))
         .groupBy("feature", "i")
         .agg(*_order_statistics())
         .collect()  # columns x probs rows
@@ -207,8 +208,8 @@ def select_quantiles(long: DataFrame, keys: list[str], value: str, probs: list[f
         .agg(F.count("*").alias("c"))
     )
     p = F.element_at(F.array(*[F.lit(float(x)) for x in probs]), F.col("i") + 1)
-    running = F.sum("c").over(Window.partitionBy(*keys, "i").orderBy("v"))
-    ranked = counted.withColumn("run", running).join(below, keys)
+    running = prefix_sums(settle(counted, "bracketed"), "v", ["c"], [*keys, "i"])
+    ranked = running.withColumnRenamed("c_upto", "run").join(below, keys)
     ranked = ranked.withColumn("pos", p * (F.col("n") - 1)).withColumn(
         "upto", F.col("run") + F.element_at("below", F.col("i") + 1)
     )

@@ -7,8 +7,6 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from statloom.functions.exprs import any_of
-
 # Intents in priority order with the fragments that reveal them.
 INTENT_WORDS = {
     "model": [
@@ -49,28 +47,49 @@ ARRAY_BLOCK = r"(\[[\s\S]*\])"
 
 
 def tag_intent(text: Column) -> Column:
-    """First intent, in priority order, with one of its fragments in the message."""
+    """First intent, in priority order, with one of its fragments in the message.
+
+    One pattern per intent, which ignores case, so the text is neither copied nor searched once per
+    fragment. A blank in a fragment also stands for an end of the message.
+    """
 
-    def decide(message: Column) -> Column:
-        out = None
-        for intent, words in INTENT_WORDS.items():
-            hit = any_of([F.contains(message, F.lit(w)) for w in words])
-            out = F.when(hit, intent) if out is None else out.when(hit, intent)
-        return out.otherwise(DEFAULT_INTENT)
+    def pattern(words: list[str]) -> str:
+        return "(?iu)" + "|".join(re.escape(w).replace(r"\ ", r"(?: |\z)") for w in words)
 
-    # the one-element array binds the lower-cased text, so it is computed once per row
-    lowered = F.array(F.concat(F.lit(" "), F.lower(text), F.lit(" ")))
-    return F.when(text.isNotNull(), F.element_at(F.transform(lowered, decide), 1))
+    out = None
+    for intent, words in INTENT_WORDS.items():
+        hit = F.regexp_like(text, F.lit(pattern(words)))
+        out = F.when(hit, intent) if out is None else out.when(hit, intent)
+    return F.when(text.isNotNull(), out.otherwise(DEFAULT_INTENT))
+
+
+# Number words that JSON itself doesn't have but is read with.
+EXTRA_NUMBERS = r"(?<=[\[:,\s])-?(?:NaN|Infinity)(?=[\],}\s])"
 
 
 def _valid_json(candidate: Column) -> Column:
-    return F.when(F.try_parse_json(candidate).isNotNull(), candidate)
+    """The candidate if it is one JSON value and nothing else.
+
+    The parser ignores what follows a value, so the candidate must also parse as an array's only item
+    and as an object's only member: trailing text breaks the one, further items or members the other.
+    """
+    plain = F.regexp_replace(F.concat(F.lit(" "), candidate, F.lit(" ")), EXTRA_NUMBERS, "0")
+    item = F.try_parse_json(F.concat(F.lit("["), plain, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"x":'), plain, F.lit("}")))
+    return F.when(item.isNotNull() & member.isNotNull(), candidate)
+
+
+def _stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
 
 
 def extract_json(text: Column) -> Column:
-    """JSON inside a text: the whole text, a fenced block, an object, an array; else NULL."""
+    """JSON inside a text: the whole text, a fenced block, an object, an array; else NULL.
+
+    Repeated keys are accepted if ``spark.sql.variant.allowDuplicateKeys`` is set, as ``prepare`` does.
+    """
     none = F.lit("")
-    blocks = [F.trim(text), F.trim(F.regexp_extract(text, FENCED_BLOCK, 1))]
+    blocks = [_stripped(text), _stripped(F.regexp_extract(text, FENCED_BLOCK, 1))]
     blocks += [F.regexp_extract(text, p, 1) for p in (OBJECT_BLOCK, ARRAY_BLOCK)]
     return F.coalesce(*[F.when(b != none, _valid_json(b)) for b in blocks])
 

@@ -11,8 +11,6 @@ from statloom.functions.roles import categorical_columns, numeric_columns
 from statloom.operators.correlation import correlation_matrix
 from statloom.operators.profile import chart_column_picks, value_counts
 
-HEATMAP_COLUMNS = 15
-
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width bins over [min, max], empty bins included; the last bin is closed."""
@@ -98,8 +96,8 @@ def trend_line(df: DataFrame, x: str, y: str) -> DataFrame:
     return fit.select("*", *line)
 
 
-def heatmap(df: DataFrame, digits: int = 3, limit: int | None = HEATMAP_COLUMNS) -> DataFrame:
-    """Correlation matrix in long form over the first numeric columns."""
+def heatmap(df: DataFrame, digits: int = 3, limit: int | None = None) -> DataFrame:
+    """Correlation matrix in long form over all numeric columns, or the first ``limit``."""
     names = numeric_columns(df)
     return correlation_matrix(df, digits=digits, names=names[:limit] if limit else names)
 

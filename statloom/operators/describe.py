@@ -231,7 +231,7 @@ def detect_anomalies(df: DataFrame, column: str, order_by: list[str] | None = No
 
 
 def group_comparison(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Per group: count, mean, median, std, difference to the overall mean in percent.
+    """Per group: count, mean, median, std, difference to the overall mean in percent, highest mean first.
 
     Rows without a group are left out of the groups but count for the overall mean.
     """
@@ -254,6 +254,7 @@ def group_comparison(df: DataFrame, group: str, value: str) -> DataFrame:
             "std",
             F.when(F.col("overall_mean") == 0, 0.0).otherwise(diff).alias("vs_overall_pct"),
         )
+        .orderBy(F.col("mean").desc_nulls_last(), "group")
     )
 
 

@@ -13,7 +13,6 @@ from statloom.operators import metrics, models
 from statloom.operators.models import cross_validate, fit_model, fold_count, frame_problem
 from statloom.operators.preprocess import fit_preparation, split, unit_hash, with_folds
 
-CURVE_CLASSES = 6
 OVERFIT_GAP = 0.1
 
 # The settings tried for every model.
@@ -24,15 +23,20 @@ GRIDS: dict[str, dict[str, list[Any]]] = {
 }
 
 
-def roc_pr_curves(df: DataFrame, target: str, model: str, settings: dict[str, Any] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(points, areas) on the held-out rows; one curve per class, two classes share one."""
+def roc_pr_curves(
+    df: DataFrame, target: str, model: str, settings: dict[str, Any] | None = None, classes: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(points, areas) on the held-out rows; one curve per class, two classes share one.
+
+    All classes are drawn unless ``classes`` names some.
+    """
     problem = frame_problem(df, target)
     if problem.task != "classification":
         raise ValueError("curves need a classification target")
     train, test = split(problem.data, target)
     predicted = fit_model(problem, train, model, settings=settings).predict(test)
     long = metrics.class_scores(predicted, target, "scores", problem.labels)
-    wanted = problem.labels[1:] if len(problem.labels) == 2 else problem.labels[:CURVE_CLASSES]
+    wanted = classes or (problem.labels[1:] if len(problem.labels) == 2 else problem.labels)
     long = long.filter(F.col("class").isin(wanted))
     areas = metrics.ranking_metrics(long, F.col("positive"), F.col("score"), ["class"]).filter("support > 0")
     points = metrics.curve_points(long, F.col("positive"), F.col("score"), ["class"])

@@ -20,7 +20,6 @@ from statloom.operators.preprocess import unit_hash
 from statloom.session import new_folder
 
 ROWS_PER_STEP = 256
-MAX_BACKGROUND = 50
 MAX_NODES = 5_000_000
 
 
@@ -71,18 +70,19 @@ def linear_attribution(fitted: Fitted, df: DataFrame, key: list[str]) -> Attribu
     return Attribution(_long(rows, key, fitted.preparation.slots, phi), key, base, "linear")
 
 
-def ensemble_leaves(fitted: Fitted) -> Leaves:
+def ensemble_leaves(fitted: Fitted, max_nodes: int = MAX_NODES) -> Leaves:
     """Leaves of a fitted tree ensemble, read back from its saved node table.
 
-    The table holds at most trees x 2^depth nodes whatever the data size; that is checked.
+    The table holds at most trees x 2^depth nodes whatever the data size; more than ``max_nodes``
+    are refused, since all of them pass through the driver.
     """
     m = fitted.model
     spark = fitted.problem.data.sparkSession
     path = new_folder(spark, "trees")
     m.write().save(path)
     nodes = spark.read.parquet(f"{path}/data")
-    if nodes.count() > MAX_NODES:
-        raise ValueError(f"ensemble has more than {MAX_NODES} nodes")
+    if nodes.count() > max_nodes:
+        raise ValueError(f"ensemble has more than {max_nodes} nodes")
     table = nodes.select("treeID", "nodeData.*").collect()
     forest = "RandomForest" in type(m).__name__
     classes = fitted.problem.task == "classification" and forest
@@ -163,8 +163,8 @@ def sampling_attribution(
     slots = fitted.preparation.slots
     width = len(slots)
     rows = _prepared(fitted, df, key)
-    some = rows.orderBy(unit_hash(key), *[name_col(k) for k in key]).limit(min(background, MAX_BACKGROUND))
-    pool = [r["x"] for r in some.collect()]  # at most MAX_BACKGROUND rows
+    some = rows.orderBy(unit_hash(key), *[name_col(k) for k in key]).limit(background)
+    pool = [r["x"] for r in some.collect()]  # ``background`` rows
     rng = np.random.default_rng(SEED)
     plans = [(rng.permutation(width), pool[i % len(pool)]) for i in range(permutations)]
     place = F.array(*[F.array(*[F.lit(int(v)) for v in np.argsort(order)]) for order, _ in plans])

@@ -79,15 +79,18 @@ class Fitted:
         return out.withColumn("prediction", labels[F.col("prediction").cast("int")]).drop(*drop)
 
 
-def class_labels(df: DataFrame, target: str) -> list[str]:
-    """Class labels as text, in the natural order of the target's type."""
-    rows = df.select(name_col(target).alias("y")).distinct().orderBy("y").limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"target '{target}' has more than {MAX_CLASSES} classes")
+def class_labels(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> list[str]:
+    """Class labels as text, in the natural order of the target's type.
+
+    Every class is a model output and a literal of the plan, so more than ``max_classes`` are refused.
+    """
+    rows = df.select(name_col(target).alias("y")).distinct().orderBy("y").limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"target '{target}' has more than {max_classes} classes")
     return [r["y"] if isinstance(r["y"], str) else str(r["y"]).lower() if isinstance(r["y"], bool) else str(r["y"]) for r in rows]
 
 
-def frame_problem(df: DataFrame, target: str) -> Problem:
+def frame_problem(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> Problem:
     """Rows with a known target, identifiers set aside, task and classes determined."""
     if target not in df.columns:
         raise ValueError(f"target column '{target}' not found")
@@ -101,7 +104,7 @@ def frame_problem(df: DataFrame, target: str) -> Problem:
     if not features:
         raise ValueError("no usable feature columns after removing identifiers")
     task = detect_task(data, target, facts)
-    labels = class_labels(data, target) if task == "classification" else []
+    labels = class_labels(data, target, max_classes) if task == "classification" else []
     return Problem(data, target, features, dropped, task, labels, facts.rows)
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.exprs import SEED, name_col, number
-from statloom.functions.quantiles import column_quantiles, group_quantiles
+from statloom.functions.prefix import sequence_numbers
+from statloom.functions.quantiles import column_quantiles
 from statloom.functions.roles import numeric_columns
 from statloom.operators.profile import value_counts
 
@@ -27,17 +28,17 @@ def assign_parts(
 ) -> DataFrame:
     """Number rows 0..k by cumulative ``shares``, exactly per class of ``by``.
 
-    The cuts are quantiles of the row hash inside each class: rows are never shuffled or
-    numbered, only the few cuts are joined back.
+    Rows are numbered along their hash inside each class, range by range, so that every class is cut at
+    the rounded share of its rows, whether rows repeat or not. NULL is a class of its own.
     """
     hashed = df.withColumn("_u", unit_hash(key or df.columns, seed))
-    hashed = hashed.withColumn("_by", name_col(by).cast("string") if by else F.lit(""))
-    cuts = group_quantiles(hashed.select("_by", "_u"), ["_by"], "_u", shares).withColumnRenamed("q", "_cuts")
-    # one row per class; a NULL class falls to part 0
-    joined = hashed.join(F.broadcast(cuts), "_by", "left")
-    part = sum((F.coalesce(F.col("_u") > F.col("_cuts")[i], F.lit(False)).cast("int") for i in range(1, len(shares))),
-               F.coalesce(F.col("_u") > F.col("_cuts")[0], F.lit(False)).cast("int"))
-    return joined.withColumn(out, part).drop("_u", "_by", "_cuts")
+    # rows that agree in the key are told apart by the rest; rows that agree in all are alike
+    hashed = hashed.withColumn("_v", F.xxhash64(*[name_col(c) for c in df.columns], F.lit(seed)))
+    hashed = hashed.withColumn("_by", F.struct((name_col(by).cast("string") if by else F.lit("")).alias("class")))
+    numbered = sequence_numbers(hashed, ["_by"], "_u", "_seq", tie="_v", size="_size")
+    part = sum(((F.col("_seq") > F.floor(F.col("_size") * s + 0.5)).cast("int") for s in shares[1:]),
+               (F.col("_seq") > F.floor(F.col("_size") * shares[0] + 0.5)).cast("int"))
+    return numbered.withColumn(out, part).drop("_u", "_v", "_by", "_seq", "_size")
 
 
 def split(
@@ -58,7 +59,7 @@ def with_folds(
 def training_sample(
     df: DataFrame, cap: int, target: str | None = None, key: list[str] | None = None, seed: int = SEED
 ) -> DataFrame:
-    """At most about ``cap`` rows, the same share of every class (optional, off by default)."""
+    """About ``cap`` rows, the same share of every class (optional, off by default)."""
     n = df.count()
     if n <= cap:
         return df

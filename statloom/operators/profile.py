@@ -342,7 +342,7 @@ def health_warnings(df: DataFrame) -> DataFrame:
     n = F.col("n")
     checks = [
         (F.lit(unnamed > 0), "unnamed_columns", F.lit(f"{unnamed} of {len(names)} columns have no header name")),
-        (F.lit(bool(repeated)), "duplicate_names", F.lit("duplicate column names: " + ", ".join(repeated[:5]))),
+        (F.lit(bool(repeated)), "duplicate_names", F.lit("duplicate column names: " + ", ".join(repeated))),
         (
             F.lit(len(names) > 50) & (F.lit(len(names)) > n),
             "wide_table",

@@ -108,7 +108,7 @@ def run_stages(df: DataFrame, stages: list[tuple[str, Callable[[DataFrame], Data
             result = stage(current)
             rows = result.count()
         except Exception as reason:  # noqa: BLE001 - any failure degrades, none stops the chain
-            status.append((position, name, "failed", None, str(reason)[:200]))
+            status.append((position, name, "failed", None, str(reason)))
         else:
             status.append((position, name, "completed", rows, None))
             current = result

@@ -117,15 +117,20 @@ def _top(spark, sf):
     return correlation.top_correlations(table(spark, sf, "lineitem"))
 
 
+# lineitem with a price per piece, so that some pairs are correlated
+PIECES_SQL = "(SELECT *, l_extendedprice / l_quantity AS piece_price FROM lineitem)"
+
+
 @query(
     "correlation_analysis",
     f"""SELECT feature_a AS column_a, feature_b AS column_b, {rnd('r', 4)} AS correlation,
 CASE WHEN abs(r) >= 0.9 THEN 'very strong' WHEN abs(r) >= 0.7 THEN 'strong' WHEN abs(r) >= 0.5 THEN 'moderate' ELSE 'weak' END AS strength,
-CASE WHEN r > 0 THEN 'positive' ELSE 'negative' END AS direction, CAST(28 AS BIGINT) AS total_pairs_analyzed
-FROM ({pairs_sql('lineitem', LINEITEM_NUM)}) WHERE abs(r) >= 0.3""",
+CASE WHEN r > 0 THEN 'positive' ELSE 'negative' END AS direction, CAST(36 AS BIGINT) AS total_pairs_analyzed
+FROM ({pairs_sql(PIECES_SQL, [*LINEITEM_NUM, 'piece_price'])}) WHERE abs(r) >= 0.3""",
 )
 def _analysis(spark, sf):
-    return correlation.correlation_analysis(table(spark, sf, "lineitem"))
+    df = table(spark, sf, "lineitem").withColumn("piece_price", F.col("l_extendedprice") / F.col("l_quantity"))
+    return correlation.correlation_analysis(df)
 
 
 def significance_sql(src: str, columns: list[str]) -> str:
@@ -493,11 +498,13 @@ def _monthly(spark, sf):
 
 @query(
     "resample_daily_with_gaps",
-    calendar_sql("(SELECT * FROM events WHERE day(ts) % 4 <> 0)", "ts", "value", "day")
+    # all events, moved apart so that days without any lie between
+    calendar_sql("(SELECT CAST('2024-01-01' AS TIMESTAMP) + to_days(CAST(4 * (day(ts) + 31 * month(ts)) AS INTEGER)) AS ts, value FROM events WHERE ts IS NOT NULL)", "ts", "value", "day")
     + f" SELECT position, strftime(period, '%Y-%m-%d') AS period, {rnd('value', 4)} AS value, n FROM m",
 )
 def _daily(spark, sf):
-    df = table(spark, sf, "events").filter("day(ts) % 4 <> 0")
+    moved = F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(4 * (day(ts) + 31 * month(ts)))")
+    df = table(spark, sf, "events").where("ts is not null").select(moved.alias("ts"), "value")
     out = trend.resample(df, "ts", "value", "day")
     return _round(out.withColumn("period", F.date_format("period", "yyyy-MM-dd")), "value", digits=4)
 

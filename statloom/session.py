@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 # Recording the Python call site of every expression costs several round trips to the
 # JVM per call, which dominates the building of wide aggregates. Static: it can only be
 # set when the session is made.
@@ -34,24 +34,26 @@ def build_session(app: str = "statloom", master: str | None = None, **conf: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the time zone (tables carry zone-less timestamps) on a foreign session."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """What the operators rely on, on a foreign session: the time zone (tables carry zone-less
+    timestamps), and JSON objects that repeat a key."""
+    for key, value in (("spark.sql.session.timeZone", "UTC"), (DUPLICATE_KEYS, "true")):
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A private folder is made only for a local master with nothing configured; on a
-    cluster a machine-local folder would not be visible to the other executors.
+    With nothing configured a local master uses a folder of the warehouse; a cluster has to
+    name one, as no machine-local folder is visible to the other executors.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="statloom-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/statloom-work"
     spark.conf.set(CHECKPOINT_KEY, folder)
     return folder
 

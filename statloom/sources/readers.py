@@ -65,34 +65,75 @@ def read_delimited(
     sep: str = ",",
     schema: T.StructType | str | None = None,
     encoding: str | None = None,
+    quote: str = '"',
+    multiline: bool | None = None,
 ) -> DataFrame:
     """Delimited text: short rows are padded with NULL, rows with extra fields skipped.
 
-    Without an encoding the file is tested once for undecodable UTF-8 and read as
-    Latin-1 if any turns up.
+    A quote inside a quoted field is doubled; line breaks may stand inside quotes. Repeated header
+    names are numbered. ``read_with_rejected`` also returns the skipped rows.
     """
-    if encoding is None:
-        broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count()
-        encoding = ENCODINGS[1] if broken else ENCODINGS[0]
-    options = {"header": True, "sep": sep, "encoding": encoding}
+    return read_with_rejected(spark, path, sep, schema, encoding, quote, multiline)[0]
+
+
+def read_with_rejected(
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    schema: T.StructType | str | None = None,
+    encoding: str | None = None,
+    quote: str = '"',
+    multiline: bool | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rows with too many fields); the latter have the first surplus field as ``_extra``.
+
+    One pass over the lines finds out what isn't given: whether the bytes are UTF-8 (else Latin-1 is
+    taken), and whether a line has an odd number of quotes, that is whether fields hold line breaks. Only
+    then a file is read as a whole by one task; otherwise files stay splittable.
+    """
+    if encoding is None or multiline is None:
+        lines = spark.read.text(path)
+        odd = F.length(F.regexp_replace("value", f"[^{_in_class(quote)}]", "")) % 2 == 1
+        facts = lines.agg(F.max(~F.is_valid_utf8("value")).alias("broken"), F.max(odd).alias("odd")).first()
+        encoding = encoding or (ENCODINGS[1] if facts["broken"] else ENCODINGS[0])
+        multiline = bool(facts["odd"]) if multiline is None else multiline
+    options = {"sep": sep, "encoding": encoding, "quote": quote, "escape": quote, "multiLine": multiline}
     if schema is None:
-        schema = spark.read.csv(path, inferSchema=True, **options).schema
+        names = unique_names(_header(spark, path, options))
+        kinds = spark.read.csv(path, inferSchema=True, header=True, **options).schema
+        schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, kinds.fields)])
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     # One more field than the table has: it is filled only by rows that are too long.
     wide = T.StructType([*schema.fields, T.StructField("_extra", T.StringType())])
-    df = spark.read.schema(wide).csv(path, mode="PERMISSIVE", **options)
-    return df.filter(F.col("_extra").isNull()).drop("_extra")
+    df = spark.read.schema(wide).csv(path, mode="PERMISSIVE", header=True, **options)
+    return df.filter(F.col("_extra").isNull()).drop("_extra"), df.filter(F.col("_extra").isNotNull())
+
+
+def _in_class(char: str) -> str:
+    return "\\" + char if char in "\\]^-[&" else char
+
+
+def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
+    """The header as it is written: the engine's own header names are already changed."""
+    first = spark.read.csv(path, header=False, **options).limit(1).collect()
+    return ["" if v is None else v for v in first[0]] if first else []
 
 
 def unique_names(names: list[str]) -> list[str]:
-    """Trim names, flatten line breaks, number repeats ``_2``, ``_3``..."""
+    """Trim names, flatten line breaks, number repeats ``_2``, ``_3``... with numbers that are free."""
+    plain = [raw.strip().replace("\n", " ").replace("\r", "") for raw in names]
+    taken = set(plain)
     seen: dict[str, int] = {}
     out = []
-    for raw in names:
-        name = raw.strip().replace("\n", " ").replace("\r", "")
-        seen[name] = seen.get(name, 0) + 1
-        out.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    for name in plain:
+        count = seen.get(name, 0) + 1
+        chosen = name
+        while count > 1 and (chosen := f"{name}_{count}") in taken:
+            count += 1
+        seen[name] = count
+        taken.add(chosen)
+        out.append(chosen)
     return out
 
 

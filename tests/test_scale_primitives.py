@@ -109,3 +109,37 @@ def test_attach_by_key_keeps_every_row(spark, skewed):
     assert len(got) == len(skewed)
     want = skewed.groupby("k")["t"].sum()
     assert (got["s"] == got["k"].map(want)).all()
+
+
+ORDERS = {
+    "text": "concat('k', lpad(cast(id % 37 as string), 3, '0'))",
+    "date": "date_add(date'2020-01-01', cast(id % 37 as int))",
+    "timestamp": "timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 37)",
+    "timestamp_ntz": "timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 37)",
+    "decimal": "cast(id % 37 as decimal(20, 3)) / 7",
+    "long": "9007199254740992 + id % 37",
+    "binary": "unhex(lpad(hex(id % 37), 4, '0'))",
+    "nulls": "if(id % 3 = 0, null, id % 37)",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(ORDERS))
+@pytest.mark.parametrize("ranges", [1, 3])
+def test_scans_along_any_order_type(spark, kind, ranges):
+    df = spark.range(300).selectExpr("id", "id % 4 as k", f"{ORDERS[kind]} as o", "if(id % 5 = 0, id, null) as v")
+    rows = df.orderBy("o", "id").collect()
+    seen, last, want_seq, want_fill = {}, {}, {}, {}
+    for r in rows:
+        seen[r.k] = seen.get(r.k, 0) + 1
+        last[r.k] = r.v if r.v is not None else last.get(r.k)
+        want_seq[r.id], want_fill[r.id] = seen[r.k], last[r.k]
+    numbered = sequence_numbers(df, ["k"], "o", tie="id", ranges=ranges, size="n")
+    assert {r.id: (r.seq, r.n) for r in numbered.collect()} == {i: (s, 75) for i, s in want_seq.items()}
+    filled = fill_along(df, "v", "o", ["k"], tie="id", ranges=ranges)
+    assert {r.id: r.v for r in filled.collect()} == want_fill
+
+
+def test_one_order_value_is_spread_over_ranges(spark):
+    df = spark.range(4000).selectExpr("id", "if(id % 2 = 0, 7, id) as o")
+    sizes = [r["count"] for r in with_range(df, "o", ranges=8, tie="id").groupBy("_range").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1200

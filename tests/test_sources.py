@@ -57,3 +57,22 @@ def test_results_are_stored_per_dataset(spark, tmp_path):
         save_results({"t": spark.range(2)}, str(tmp_path / "out"), name)
     back = spark.read.parquet(str(tmp_path / "out" / "t"))
     assert back.count() == 4 and back.filter("dataset_id = 'd1'").count() == 2
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text('id,say,end\n1,"say ""hi"", you",ok\n2,"line1\nline2",ok\n3,plain,ok,extra\n4,"a, b"\n')
+    rows, rejected = readers.read_with_rejected(spark, str(path))
+    assert sorted(map(tuple, rows.collect())) == [(1, 'say "hi", you', "ok"), (2, "line1\nline2", "ok"), (4, "a, b", None)]
+    assert [(r.id, r._extra) for r in rejected.collect()] == [(3, "extra")]
+    single = tmp_path / "s.csv"
+    single.write_text("a;b\n'x;y';1\n")
+    assert readers.read_delimited(spark, str(single), sep=";", quote="'").first() == Row(a="x;y", b=1)
+
+
+def test_csv_headers_are_numbered(spark, tmp_path):
+    path = tmp_path / "h.csv"
+    path.write_text("a,a,b\n1,2,3\n")
+    assert readers.read_table(spark, str(path)).columns == ["a", "a_2", "b"]
+    assert readers.unique_names(["a", "a", "a_2"]) == ["a", "a_3", "a_2"]
+    assert readers.unique_names(["a", "a_2", "a", "a"]) == ["a", "a_2", "a_3", "a_4"]
