@@ -191,15 +191,15 @@ def kendall_pair(df: DataFrame, a: str, b: str) -> DataFrame:
         df.select(x.alias("x"), y.alias("y")).dropna().groupBy("x", "y").agg(F.count("*").cast("double").alias("w"))
     )
     cells = settle(cells, "kendall")
-    ys = cells.groupBy("y").agg(F.sum("w").alias("t")).withColumn("one", F.lit(1))
+    ys = cells.groupBy("y").agg(F.count("*").alias("k")).withColumn("one", F.lit(1))
     facts = cells.agg(
         F.sum("w").alias("n"), F.count("*").alias("cells"), F.countDistinct("y").alias("levels")
     ).first()
     levels_of_y = facts["levels"]
     if not facts["n"]:
         return _empty(df)
-    codes = prefix_sums(ys, "y", ["one"], ranges=range_count(levels_of_y)).select("y", (F.col("one_upto") - 1).alias("code"))
-    coded = cells.join(codes, "y")
+    codes = prefix_sums(ys, "y", ["one"], ranges=range_count(levels_of_y)).select("y", "k", (F.col("one_upto") - 1).alias("code"))
+    coded = attach_by_key(cells, codes, ["y"], "k", facts["cells"])
     levels = max(1, -(-max(levels_of_y - 1, 1).bit_length() // DIGIT_BITS))
     base = 1 << DIGIT_BITS
     position = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")

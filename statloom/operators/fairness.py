@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.exprs import name_col, rnd, stack_rows, with_scalars
+from statloom.operators.profile import distinct_counts
 from statloom.session import settle
 
 MIN_GROUP = 5
@@ -36,7 +37,7 @@ def detect_sensitive_columns(df: DataFrame, words: list[str] = SENSITIVE_WORDS)
     named = [c for c in df.columns if any(w in c.lower() for w in words)]
     if not named:
         return []
-    row = df.agg(*[F.countDistinct(name_col(c)).alias(f"d{i}") for i, c in enumerate(named)]).first()
+    row = distinct_counts(df, {f"d{i}": name_col(c) for i, c in enumerate(named)}).first()
     return [c for i, c in enumerate(named) if row[i] <= MAX_GROUPS]
 
 

@@ -12,6 +12,7 @@ from statloom.functions.exprs import ALPHA, melt, name_col, number, present, rat
 from statloom.functions.prefix import prefix_sums, suffix_minimum
 from statloom.functions.quantiles import GROUP_BROADCAST_LIMIT, group_quantiles
 from statloom.functions.roles import LOW_CARDINALITY, numeric_columns
+from statloom.functions.skew import attach_by_key
 from statloom.session import settle
 from statloom.operators.normality import normality
 from statloom.operators.correlation import pearson_pairs
@@ -44,7 +45,7 @@ def mean_tests(
         (F.sum(F.when(used, n * mean)) / F.sum(F.when(used, n))).alias("grand_used"),
         (F.sum(n * mean) / F.sum(n)).alias("grand_all"),
     )
-    joined = stats.join(F.broadcast(grand), by) if by else stats.transform(with_scalars, grand)
+    joined = stats.join(grand, by) if by else stats.transform(with_scalars, grand)
 
     def side(pick) -> Column:
         return pick(F.struct("n", "mean", "var"), F.when(used, name_col(group)))
@@ -160,20 +161,22 @@ def chi_square_tests(cells: DataFrame, by: list[str]) -> DataFrame:
     the continuity correction, whose deviation is the same in all four cells.
     """
     cells = settle(cells, "cells")  # a row per cell: the data is read once
-    rows = cells.groupBy(*by, "a").agg(F.sum("o").alias("row_total"))
-    cols = cells.groupBy(*by, "b").agg(F.sum("o").alias("col_total"))
+    rows = cells.groupBy(*by, "a").agg(F.sum("o").alias("row_total"), F.count("*").alias("_k"))
+    cols = cells.groupBy(*by, "b").agg(F.sum("o").alias("col_total"), F.count("*").alias("_k"))
     shape = (
         rows.groupBy(*by)
         .agg(F.count("*").alias("r"), F.sum("row_total").alias("n"), F.sum(1 / F.col("row_total")).alias("inv_r"))
         .alias("s")
     )
     shape_c = cols.groupBy(*by).agg(F.count("*").alias("c"), F.sum(1 / F.col("col_total")).alias("inv_c"))
+    # a level may hold most of the cells: with a two-valued target every level of it does
+    count = cells.count()
+    placed = attach_by_key(cells, rows, [*by, "a"], "_k", count)
+    placed = attach_by_key(placed, cols, [*by, "b"], "_k", count)
     if by:
-        sizes = shape.join(F.broadcast(shape_c), by)
-        joined = cells.join(rows, [*by, "a"]).join(cols, [*by, "b"]).join(F.broadcast(sizes), by)
+        joined = placed.join(shape.join(shape_c, by), by)
     else:
-        sizes = shape.transform(with_scalars, shape_c)
-        joined = cells.join(rows, "a").join(cols, "b").transform(with_scalars, sizes)  # one row
+        joined = placed.transform(with_scalars, shape.transform(with_scalars, shape_c))  # one row
     e = F.col("row_total") * F.col("col_total") / F.col("n")
     dev = F.abs(F.col("o") - e)
     agg = joined.groupBy(*by).agg(
@@ -301,9 +304,13 @@ def correct_pvalues(table: DataFrame, p: str = "p_value", method: str = "fdr_bh"
     ranked = prefix_sums(counts, "_p", ["_c"]).transform(with_scalars, total)  # one row
     stepped = ranked.withColumn("_s", F.col("_p") * F.col("_n") / F.col("_c_upto"))
     adjusted = suffix_minimum(stepped, "_p", "_s", "_adj").select(
-        F.col("_p").alias(p), F.least(F.col("_adj"), F.lit(1.0)).alias("p_adjusted")
+        F.col("_p"), "_c", F.least(F.col("_adj"), F.lit(1.0)).alias("p_adjusted")
     )
-    return table.join(adjusted, p, "left").select(*[name_col(c) for c in table.columns], "p_adjusted", (F.col("p_adjusted") < alpha).alias("reject"))
+    # one p-value may be that of most rows: 0 is the usual one
+    known = table.filter(name_col(p).isNotNull()).withColumn("_p", name_col(p))
+    out = attach_by_key(known, adjusted, ["_p"], "_c", total.first()["_n"] or 0).select(*[name_col(c) for c in table.columns], "p_adjusted")
+    missing = table.filter(name_col(p).isNull()).withColumn("p_adjusted", F.lit(None).cast("double"))
+    return out.unionByName(missing).withColumn("reject", F.col("p_adjusted") < alpha)
 
 
 def corrected_screen(df: DataFrame, target: str, method: str = "fdr_bh", alpha: float = ALPHA) -> DataFrame:

@@ -83,7 +83,7 @@ def score_counts(df: DataFrame, positive: Column, score: Column, keys: list[str]
 def ranking_metrics(df: DataFrame, positive: Column, score: Column, keys: list[str] = ()) -> DataFrame:
     """Exact ROC-AUC and average precision from the distinct scores."""
     s, totals = score_counts(df, positive, score, keys)
-    joined = s.join(F.broadcast(totals), list(keys)) if keys else s.transform(with_scalars, totals)  # a row per key
+    joined = s.join(totals, list(keys)) if keys else s.transform(with_scalars, totals)
     neg_below = F.col("neg_upto") - F.col("neg")
     tp = F.col("P") - F.col("pos_upto") + F.col("pos")
     fp = F.col("N") - F.col("neg_upto") + F.col("neg")
@@ -122,7 +122,7 @@ def weighted_ovr_auc(df: DataFrame, label: str, vector: str, labels: list[str])
 def curve_points(df: DataFrame, positive: Column, score: Column, keys: list[str] = ()) -> DataFrame:
     """ROC and precision-recall points, one per distinct score plus the empty start."""
     s, totals = score_counts(df, positive, score, keys)
-    joined = s.join(F.broadcast(totals), list(keys)) if keys else s.transform(with_scalars, totals)  # a row per key
+    joined = s.join(totals, list(keys)) if keys else s.transform(with_scalars, totals)
     tp = F.col("P") - F.col("pos_upto") + F.col("pos")
     fp = F.col("N") - F.col("neg_upto") + F.col("neg")
     points = joined.select(

@@ -33,21 +33,33 @@ def _text(df: DataFrame, name: str) -> Column:
 def duplicate_count(df: DataFrame) -> DataFrame:
     """One row: rows, and copies beyond the first of each distinct row.
 
-    A 64-bit row hash is counted first (narrow shuffle, copies combine map-side).
-    Equal rows share a hash, so only rows whose hash repeats are compared in full.
+    Rows are told apart by two 64-bit hashes with different seeds: only these are shuffled, and
+    copies combine map-side, so neither a wide row nor one repeated millions of times moves.
     """
     cells = [present(df, c) for c in df.columns]
-    hashed = df.select(F.xxhash64(*cells).alias("_h"), F.struct(*cells).alias("_row"))
-    counts = hashed.groupBy("_h").agg(F.count("*").alias("c"))
-    total = df.agg(F.count("*").alias("n_rows"))
-    repeated = counts.filter("c > 1").select("_h")
-    suspects = hashed.join(repeated, "_h", "left_semi")
-    copies = (
-        suspects.groupBy("_h", "_row")
-        .agg(F.count("*").alias("c"))
-        .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("duplicate_rows"))
+    counts = df.groupBy(*hash_pair(*cells)).agg(F.count("*").alias("c"))
+    return counts.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("duplicate_rows")
     )
-    return total.transform(with_scalars, copies)  # one row each
+
+
+def hash_pair(*cells: Column) -> list[Column]:
+    """128 bits of hash in two columns, ``_h`` and ``_g``; the hash passes over NULL, so its places count too."""
+    known = [x for c in cells for x in (c.isNull(), c)]
+    return [F.xxhash64(*known).alias("_h"), F.xxhash64(F.lit(1), *known).alias("_g")]
+
+
+def distinct_counts(df: DataFrame, cells: dict[str, Column]) -> DataFrame:
+    """One row with the number of distinct values of every expression, under its name.
+
+    The hashes of the values are shuffled, once per distinct value and task, not the values, and
+    not the row once per column.
+    """
+    empty = F.struct(F.lit(0).alias("_i"), *hash_pair(F.lit(0)))
+    pairs = [F.when(c.isNotNull(), F.struct(F.lit(i).alias("_i"), *hash_pair(c))) for i, c in enumerate(cells.values())]
+    found = df.select(F.inline(F.array_compact(F.array(*pairs or [F.when(F.lit(False), empty)]))))
+    each = found.groupBy("_i", "_h", "_g").agg(F.lit(1).alias("one"))
+    return each.agg(*[F.count(F.when(F.col("_i") == i, 1)).alias(name) for i, name in enumerate(cells)] or [F.lit(1).alias("_one")])
 
 
 def profile_dataset(df: DataFrame) -> DataFrame:
@@ -169,10 +181,9 @@ def column_overview(df: DataFrame, order_by: list[str] | None = None) -> DataFra
         c = present(df, name)
         aggs += [
             F.count(c).alias(f"c{i}"),
-            F.countDistinct(c).alias(f"u{i}"),
             (F.min_by(_text(df, name), F.when(c.isNotNull(), place)) if order_by else F.min(c).cast("string")).alias(f"s{i}"),
         ]
-    wide = df.agg(*aggs)
+    wide = df.agg(*aggs).transform(with_scalars, distinct_counts(df, {f"u{i}": present(df, c) for i, c in enumerate(df.columns)}))
     rows = [
         [
             F.lit(f.name),
@@ -217,7 +228,8 @@ def column_schema(df: DataFrame) -> DataFrame:
 
 
 def _distinct_counts(df: DataFrame) -> DataFrame:
-    return value_counts(df, df.columns).groupBy("feature").agg(F.count("value").alias("unique_count"))
+    wide = distinct_counts(df, {f"u{i}": _text(df, c) for i, c in enumerate(df.columns)})
+    return stack_rows(wide, [[F.lit(c), F.col(f"u{i}")] for i, c in enumerate(df.columns)], ["feature", "unique_count"])
 
 
 def _range_statistics(df: DataFrame) -> DataFrame:
@@ -308,9 +320,8 @@ def upload_quality(df: DataFrame) -> DataFrame:
     """One row: overall null rate, quality score, date-like and key-like columns."""
     c = len(df.columns)
     aggs = [F.count("*").alias("row_count")]
-    for i, name in enumerate(df.columns):
-        aggs += [F.count(present(df, name)).alias(f"c{i}"), F.countDistinct(present(df, name)).alias(f"u{i}")]
-    wide = df.agg(*aggs)
+    aggs += [F.count(present(df, name)).alias(f"c{i}") for i, name in enumerate(df.columns)]
+    wide = df.agg(*aggs).transform(with_scalars, distinct_counts(df, {f"u{i}": present(df, c) for i, c in enumerate(df.columns)}))
     n = F.col("row_count")
     # whole missing cells per column, from the two-decimal share as shown to users
     missing = [
@@ -360,8 +371,9 @@ def chart_column_picks(df: DataFrame) -> DataFrame:
     """One row: two highest-variance numeric columns, lowest-cardinality categorical."""
     nums, cats = numeric_columns(df), categorical_columns(df)
     aggs = [F.struct(F.var_samp(number(df, n)).alias("v"), F.lit(n).alias("name")).alias(f"v{i}") for i, n in enumerate(nums)]
-    aggs += [F.countDistinct(name_col(c)).alias(f"d{i}") for i, c in enumerate(cats)]
-    wide = df.agg(*(aggs or [F.lit(1).alias("x")]))
+    wide = df.agg(*(aggs or [F.lit(1).alias("x")])).transform(
+        with_scalars, distinct_counts(df, {f"d{i}": name_col(c) for i, c in enumerate(cats)})
+    )
     by_var = F.array_sort(
         F.array(*[F.struct((-F.col(f"v{i}.v")).alias("v"), F.lit(i).alias("i"), F.lit(n).alias("name")) for i, n in enumerate(nums)])
     )

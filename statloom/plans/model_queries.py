@@ -107,7 +107,15 @@ def _one_hot(spark, sf):
     return cells.groupBy(slots[F.col("i")].alias("slot")).agg(F.sum("v").alias("rows"))
 
 
-@query("stratified_split")
+def parts_sql(src: str, by: str, cuts: list[str], part: str) -> str:
+    """Rows per class and part when every class of n rows is cut after round(n * share) rows."""
+    ends = [f"CAST(floor(n * {c} + 0.5) AS BIGINT)" for c in cuts]
+    sizes = [f"{hi} - {lo}" for lo, hi in zip(["0", *ends], [*ends, "n"])]
+    rows = " UNION ALL ".join(f"SELECT {by}, {part.format(i)} AS part, CAST({s} AS BIGINT) AS rows FROM c" for i, s in enumerate(sizes))
+    return f"WITH c AS (SELECT {by}, count(*) AS n FROM {src} GROUP BY {by}) SELECT * FROM ({rows}) WHERE rows > 0"
+
+
+@query("stratified_split", parts_sql("orders", "o_orderstatus", ["0.2"], "CASE {} WHEN 0 THEN 'test' ELSE 'train' END"))
 def _split(spark, sf):
     df = table(spark, sf, "orders")
     train, test = preprocess.split(df, "o_orderstatus", key=["o_orderkey"])
@@ -115,13 +123,27 @@ def _split(spark, sf):
     return a.unionByName(test.groupBy("o_orderstatus").agg(F.count("*").alias("rows")).withColumn("part", F.lit("test")))
 
 
-@query("stratified_folds")
+@query("stratified_folds", parts_sql("orders", "o_orderstatus", ["0.2", "0.4", "0.6", "0.8"], "{}").replace("AS part", "AS fold"))
 def _folds(spark, sf):
     df = preprocess.with_folds(table(spark, sf, "orders"), 5, "o_orderstatus", key=["o_orderkey"])
     return df.groupBy("o_orderstatus", "fold").agg(F.count("*").alias("rows"))
 
 
-@query("training_sample")
+# rows that repeat, and a class that is NULL
+REPEATED = "(SELECT l_linestatus, CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_returnflag END AS flag FROM lineitem)"
+
+
+@query("stratified_folds_repeated_rows", parts_sql(REPEATED, "flag", ["0.2", "0.4", "0.6", "0.8"], "{}").replace("AS part", "AS fold"))
+def _folds_repeated(spark, sf):
+    df = table(spark, sf, "lineitem").selectExpr("l_linestatus", "if(l_returnflag = 'A', null, l_returnflag) as flag")
+    return preprocess.with_folds(df, 5, "flag").groupBy("flag", "fold").agg(F.count("*").alias("rows"))
+
+
+@query(
+    "training_sample",
+    """WITH c AS (SELECT l_returnflag, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM lineitem GROUP BY 1)
+SELECT l_returnflag, CASE WHEN total <= 15000 THEN n ELSE CAST(floor(n * (15000.0 / total) + 0.5) AS BIGINT) END AS rows FROM c""",
+)
 def _sample(spark, sf):
     df = table(spark, sf, "lineitem")
     sample = preprocess.training_sample(df, 15_000, "l_returnflag")

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statloom.operators import profile
+from statloom.plans import bundles
 from statloom.plans.describe_queries import LINEITEM_NUM, long_sql
 from statloom.plans.registry import query, rnd
+from statloom.session import new_folder
+from statloom.sources import readers
+from statloom.sources.sinks import save_results
 from statloom.sources.tables import table
 
 LINEITEM = LINEITEM_NUM + ["l_returnflag", "l_linestatus", "l_shipdate"]
@@ -357,3 +361,72 @@ def _takeaways(spark, sf):
     )
     out = profile.key_takeaways(insights, 5, ["lang"])
     return out.withColumn("score", round_to(F.col("score"), 6))
+
+
+# ---- sources and sinks ----------------------------------------------------------------------------
+
+
+# Texts with quotes, commas and line breaks, the same expression in both engines.
+QUOTED = """CASE doc_id % 4 WHEN 0 THEN 'she said "yes", ' || text WHEN 1 THEN text || chr(10) || '"' ELSE text END"""
+
+
+@query("csv_round_trip", f"SELECT doc_id, lang, md5({QUOTED}) AS text_md5, n_chars FROM documents")
+def _csv_round_trip(spark, sf):
+    df = table(spark, sf, "documents").selectExpr("doc_id", "lang", f"{QUOTED} AS text", "n_chars")
+    path = new_folder(spark, "csv")
+    df.write.csv(path, header=True, quote='"', escape='"')
+    back = readers.read_delimited(spark, path)
+    return back.select(F.col("doc_id").cast("long"), "lang", F.md5("text").alias("text_md5"), F.col("n_chars").cast("long"))
+
+
+@query(
+    "csv_headers",
+    "SELECT n_nationkey AS key, n_name AS name, n_regionkey AS key_2, n_name || '!' AS name_2 FROM nation",
+    # names repeat in the file and are numbered on reading
+)
+def _csv_headers(spark, sf):
+    path = new_folder(spark, "csv")
+    nation = table(spark, sf, "nation")
+    nation.select(
+        F.concat_ws(",", F.col("n_nationkey").cast("string"), "n_name", F.col("n_regionkey").cast("string"), F.concat("n_name", F.lit("!")))
+        .alias("value")
+    ).write.text(f"{path}/rows")
+    header = spark.sql("SELECT 'key,name,key,name' AS value")
+    lines = header.withColumn("o", F.lit(0)).unionByName(spark.read.text(f"{path}/rows").withColumn("o", F.lit(1)))
+    lines.coalesce(1).sortWithinPartitions("o").select("value").write.text(f"{path}/file")
+    return readers.read_delimited(spark, f"{path}/file")
+
+
+@query(
+    "json_lines_round_trip",
+    "SELECT page_id, md5(url) AS url_md5, md5(html) AS html_md5 FROM pages",
+)
+def _json_lines(spark, sf):
+    path = f"{new_folder(spark, 'json')}.jsonl"
+    table(spark, sf, "pages").write.json(path)
+    back = readers.read_table(spark, path)
+    return back.select("page_id", F.md5("url").alias("url_md5"), F.md5("html").alias("html_md5"))
+
+
+@query(
+    "stored_results",
+    """SELECT CAST('orders' AS VARCHAR) AS dataset_id, o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 2
+UNION ALL SELECT 'lineitem', l_linestatus, count(*) FROM lineitem GROUP BY 2""",
+)
+def _stored(spark, sf):
+    path = new_folder(spark, "results")
+    for name, column in (("orders", "o_orderstatus"), ("lineitem", "l_linestatus")):
+        counts = table(spark, sf, name).groupBy(F.col(column).alias("status")).agg(F.count("*").alias("n"))
+        save_results({"counts": counts}, path, name)
+    return spark.read.parquet(f"{path}/counts").select("dataset_id", "status", "n")
+
+
+@query(
+    "study_contexts",
+    """SELECT source AS dataset, title, domain, target_column, sensitive_column, CAST(positive_label AS INTEGER) AS positive_label FROM (
+SELECT DISTINCT source, 'Data Science Analysis' AS title, 'General' AS domain, CAST(NULL AS VARCHAR) AS target_column, CAST(NULL AS VARCHAR) AS sensitive_column, 1 AS positive_label FROM documents
+UNION ALL SELECT 'Heart Disease', 'Heart Disease Prediction Study', 'Clinical / Healthcare', 'target', 'sex', 1)""",
+)
+def _contexts(spark, sf):
+    names = table(spark, sf, "documents").select(F.col("source").alias("dataset")).distinct()
+    return bundles.contexts_for(names.unionByName(spark.sql("SELECT 'Heart Disease' AS dataset")))
