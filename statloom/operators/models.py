@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from multiprocessing.pool import ThreadPool
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -34,6 +36,7 @@ from statloom.operators.preprocess import (
 from statloom.operators.target import column_facts, detect_task, looks_like_id, with_known_target
 
 MIN_ROWS = 20
+PARALLEL_FITS = 4
 MAX_CLASSES = 1000
 
 # Candidate models in the order they are tried, and their settings.
@@ -203,25 +206,34 @@ def cross_validate(
     weights: dict[str, float] | None = None,
     features: list[str] | None = None,
     train_scores: bool = False,
+    parallelism: int = PARALLEL_FITS,
 ) -> dict[int, list[tuple[float, float | None]]]:
     """Per candidate the (held-out, training) scores of every fold.
 
-    A fold's preparation is fitted once, on its training part, and shared by all candidates.
+    A fold's preparation is fitted once, on its training part, and shared by all candidates. Fits
+    don't depend on each other, so ``parallelism`` of them are submitted at a time.
     """
     by = problem.target if problem.task == "classification" else None
     tagged = with_folds(train, folds, by).persist()
-    out: dict[int, list[tuple[float, float | None]]] = {i: [] for i in range(len(candidates))}
+
+    def prepare(k: int) -> Preparation:
+        return fit_preparation(tagged.filter(F.col("fold") != k), features or problem.features)
+
+    def trial(job: tuple[int, int]) -> tuple[float, float | None]:
+        k, i = job
+        inside, held = tagged.filter(F.col("fold") != k), tagged.filter(F.col("fold") == k)
+        fitted = fit_model(problem, inside, candidates[i][0], preparations[k], candidates[i][1], weights)
+        own = score(problem, fitted.predict(inside)) if train_scores else None
+        return score(problem, fitted.predict(held)), own
+
+    jobs = [(k, i) for k in range(folds) for i in range(len(candidates))]
     try:
-        for k in range(folds):
-            inside, held = tagged.filter(F.col("fold") != k), tagged.filter(F.col("fold") == k)
-            preparation = fit_preparation(inside, features or problem.features)
-            for i, (name, settings) in enumerate(candidates):
-                fitted = fit_model(problem, inside, name, preparation, settings, weights)
-                own = score(problem, fitted.predict(inside)) if train_scores else None
-                out[i].append((score(problem, fitted.predict(held)), own))
+        with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+            preparations = pool.map(inheritable_thread_target(prepare), range(folds))
+            scores = pool.map(inheritable_thread_target(trial), jobs, chunksize=1)
     finally:
         tagged.unpersist()
-    return out
+    return {i: [s for (_, j), s in zip(jobs, scores) if j == i] for i in range(len(candidates))}
 
 
 def _mean(values: list[float | None]) -> float | None:
@@ -298,8 +310,25 @@ def train_and_evaluate(
     ratio, weights = class_weights(data, target) if by else (1.0, {})
     train, test = split(data, by, test_share)
     train, test = train.persist(), test.persist()
+    try:
+        return _trained(problem, train, test, cv_folds, models, settings or {}, ratio, weights)
+    finally:
+        train.unpersist()
+        test.unpersist()
+
+
+def _trained(
+    problem: Problem,
+    train: DataFrame,
+    test: DataFrame,
+    cv_folds: int,
+    models: list[str] | None,
+    settings: dict[str, dict[str, Any]],
+    ratio: float,
+    weights: dict[str, float],
+) -> Training:
+    by = problem.target if problem.task == "classification" else None
     names = models or (CLASSIFIERS if by else REGRESSORS)
-    settings = settings or {}
     folds = fold_count(problem, train, cv_folds)
     cv = cross_validate(problem, train, [(n, settings.get(n, {})) for n in names], folds, weights)
     preparation = fit_preparation(train, problem.features)
@@ -313,7 +342,7 @@ def train_and_evaluate(
         order[name] = row["f1" if by else "r2"]
     columns = list(dict.fromkeys(c for r in rows for c in r))
     schema = ", ".join(f"`{c}` {'string' if c == 'model' else 'double'}" for c in columns)
-    board = df.sparkSession.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], schema)
+    board = train.sparkSession.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], schema)
     best = max(names, key=lambda n: -math.inf if order[n] is None else order[n])
     return Training(problem, fitted, board, best, train, test, folds, ratio, bool(weights))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from statloom.functions.exprs import rnd, with_scalars
 from statloom.operators import cleaning, correlation, describe, models, profile
 from statloom.operators.target import column_facts, suggest_target
+from statloom.session import settle
 
 # How many relationships a bundle reports, and when skew is flagged.
 ANALYSIS_TOP = 8
@@ -79,7 +80,7 @@ def analyze(df: DataFrame, target: str | None = None, **training: Any) -> dict[s
     target = target or suggest_target(cleaned, column_facts(cleaned))
     try:
         trained = models.train_and_evaluate(cleaned, target, **training)
-    except ValueError as reason:
+    except Exception as reason:  # noqa: BLE001 - an analysis goes on without a model, whatever failed
         findings.append(("model", f"no model: {reason}"))
     else:
         out["leaderboard"] = trained.leaderboard
@@ -92,6 +93,11 @@ def analyze(df: DataFrame, target: str | None = None, **training: Any) -> dict[s
         findings.append(("model", f"{trained.best} for {target} {share}"))
         drivers = [r["feature"] for r in out["importance"].limit(3).collect()]
         findings.append(("drivers", ", ".join(drivers)))
+    cleaned.unpersist()  # what is returned is evaluated when it is used
+    headline = {k: t for k, t in findings}
+    out["headline"] = spark.createDataFrame(
+        [("; ".join(headline[k] for k in ("size", "relationship", "model") if k in headline),)], "headline string"
+    )
     rows = [(i + 1, k, t) for i, (k, t) in enumerate(findings)]
     out["findings"] = spark.createDataFrame(rows, "position int, topic string, finding string")
     return out
@@ -100,12 +106,12 @@ def analyze(df: DataFrame, target: str | None = None, **training: Any) -> dict[s
 def run_stages(df: DataFrame, stages: list[tuple[str, Callable[[DataFrame], DataFrame]]]) -> tuple[DataFrame, DataFrame]:
     """Chain stages; one that fails is noted and the next continues on the last good input.
 
-    Each result is evaluated once, so that failures surface at their own stage.
+    Each result is written once, so that failures surface at their own stage and later stages read it.
     """
     status, current = [], df
     for position, (name, stage) in enumerate(stages, start=1):
         try:
-            result = stage(current)
+            result = settle(stage(current), "chain")
             rows = result.count()
         except Exception as reason:  # noqa: BLE001 - any failure degrades, none stops the chain
             status.append((position, name, "failed", None, str(reason)))

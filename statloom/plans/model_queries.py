@@ -230,15 +230,13 @@ def _engineered(spark, sf):
 
 @query("leaderboard_classification")
 def _leaderboard(spark, sf):
-    names = ["Logistic Regression", "Random Forest"]
-    return models.train_and_evaluate(training_frame(spark, sf), "quality", models=names).leaderboard
+    return models.train_and_evaluate(training_frame(spark, sf), "quality").leaderboard
 
 
 @query("leaderboard_regression")
 def _leaderboard_regression(spark, sf):
     df = table(spark, sf, "part").select("p_size", "p_brand", "p_type", "p_partkey", "p_retailprice")
-    names = ["Linear Regression", "Random Forest"]
-    return models.train_and_evaluate(df, "p_retailprice", models=names).leaderboard
+    return models.train_and_evaluate(df, "p_retailprice").leaderboard
 
 
 @query("gradient_boosting_predictions")
@@ -417,7 +415,16 @@ def _projection(spark, sf):
 @query("kmeans_selection")
 def _kmeans(spark, sf):
     df = table(spark, sf, "part").select("p_size", "p_retailprice")
-    return unsupervised.run_clustering(df, k_max=5, starts=2).selection
+    return unsupervised.run_clustering(df).selection
+
+
+@query("kmeans_order", "SELECT CAST(k AS INTEGER) AS k, TRUE AS closer_than_before, TRUE AS silhouette_in_range FROM range(2, 9) r(k)")
+def _kmeans_order(spark, sf):
+    """What must hold for every k: points get closer to their centres, the silhouette is one."""
+    df = table(spark, sf, "part").select("p_size", "p_retailprice")
+    rows = unsupervised.run_clustering(df, starts=3).selection.collect()  # a row per k
+    flags = [(r.k, i == 0 or r.inertia < rows[i - 1].inertia, -1 <= r.silhouette <= 1) for i, r in enumerate(rows)]
+    return spark.createDataFrame(flags, "k int, closer_than_before boolean, silhouette_in_range boolean")
 
 
 @query(
@@ -457,6 +464,31 @@ def _attribution_forest(spark, sf):
     return explain.global_importance(explain.explain(fitted, df, ["doc_id"]).values)
 
 
+def _sums(fitted, found, df):
+    """Rows, and whether base value and attributions add up to the model's output in all of them."""
+    total = found.values.groupBy("doc_id").agg(F.sum("shap_value").alias("s"))
+    output = fitted.predict(df).select("doc_id", vector_to_array("scores")[1].alias("p"))
+    off = F.max(F.abs(F.col("s") + F.lit(float(found.base)) - F.col("p")))
+    return total.join(output, "doc_id").agg(F.count("*").alias("rows"), (off < 1e-6).alias("adds_up"))
+
+
+LABELLED_ROWS = "SELECT count(*) AS rows, TRUE AS adds_up FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL"
+
+
+@query("attribution_forest_sums", LABELLED_ROWS)
+def _forest_sums(spark, sf):
+    df, fitted = _tree_model(spark, sf)
+    return _sums(fitted, explain.explain(fitted, df, ["doc_id"]), df)
+
+
+@query("attribution_sampling_sums", LABELLED_ROWS)
+def _sampling_sums(spark, sf):
+    df = labelled(spark, sf).drop("source")
+    problem = models.frame_problem(df, "quality")
+    fitted = models.fit_model(problem, problem.data, "Logistic Regression")
+    return _sums(fitted, explain.sampling_attribution(fitted, df, ["doc_id"]), df)
+
+
 @query("attribution_beeswarm")
 def _beeswarm(spark, sf):
     df = labelled(spark, sf)

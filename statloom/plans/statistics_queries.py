@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.exprs import p_text
 from statloom.functions.exprs import rnd as round_to
-from statloom.operators import charts, correlation, inference, normality, trend
+from statloom.operators import charts, correlation, describe, inference, normality, trend
 from statloom.plans.describe_queries import LINEITEM_NUM, long_sql
 from statloom.plans.profile_queries import DIRTY_SQL, dirty
 from statloom.plans.registry import chi2_tail, f_tail, query, rnd, t_tail
@@ -250,6 +250,22 @@ def _interval_means(spark, sf):
     return ci.select("feature", "n", "mean", round_to(tail, 6).alias("tail_at_196"))
 
 
+@query(
+    "confidence_bounds",
+    f"""SELECT feature, CAST(0.05 AS DOUBLE) AS beyond_low, CAST(0.05 AS DOUBLE) AS beyond_high
+FROM ({long_sql('orders', ['o_orderkey', 'o_custkey', 'o_totalprice'])}) GROUP BY feature""",
+)
+def _bounds(spark, sf):
+    """The two-sided t tail beyond either bound is what the confidence leaves."""
+    from statloom.functions import tails
+
+    df = table(spark, sf, "orders")
+    spread = describe.descriptive_stats(df).select("feature", (F.col("std") / F.sqrt("count")).alias("se"))
+    ci = inference.confidence_intervals(df).join(spread, "feature")
+    tail = [tails.t_two_sided(d / F.col("se"), F.col("n") - 1.0) for d in (F.col("mean") - F.col("low"), F.col("high") - F.col("mean"))]
+    return ci.select("feature", round_to(tail[0], 3).alias("beyond_low"), round_to(tail[1], 3).alias("beyond_high"))
+
+
 # ---- contingency -------------------------------------------------------------------
 
 
