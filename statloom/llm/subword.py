@@ -23,7 +23,7 @@ from statloom.llm.common import arrow_rows, col
 BUCKETS = 1 << 18
 WIDTH = 8
 PIECES = (3, 4, 5)
-PER_CLASS = 2000  # labelled rows of each class that are learned from
+PER_CLASS = 1500  # labelled rows of each class that are learned from
 EPOCHS = 3
 STEPS = 10_000  # at least so many single updates, over more epochs where few rows are labelled
 RATE = 0.5
@@ -173,7 +173,7 @@ def fit(
     got = rows.toArrow().sort_by([("doc_id", "ascending")])
     buckets, counts = got.column("buckets").combine_chunks(), got.column("counts").combine_chunks()
     documents = [
-        (np.asarray(buckets[i].values.to_numpy(), dtype=np.int64), np.asarray(counts[i].values.to_numpy(), dtype=np.float32)) for i in range(got.num_rows)
+        (buckets[i].values.to_numpy(), counts[i].values.to_numpy().astype(np.float32)) for i in range(got.num_rows)
     ]
     return train(documents, got.column("label").to_pylist())
 
