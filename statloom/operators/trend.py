@@ -7,16 +7,9 @@ from pyspark.sql import functions as F
 
 from statloom.functions.exprs import name_col, number, rnd
 from statloom.functions.roles import is_datetime
+from statloom.session import settle
 
-# Calendar units and the step that walks from one period to the next.
-STEPS = {
-    "hour": "INTERVAL 1 HOUR",
-    "day": "INTERVAL 1 DAY",
-    "week": "INTERVAL 7 DAY",
-    "month": "INTERVAL 1 MONTH",
-    "quarter": "INTERVAL 3 MONTH",
-    "year": "INTERVAL 1 YEAR",
-}
+UNITS = ["hour", "day", "week", "month", "quarter", "year"]
 
 
 def resample(df: DataFrame, when: str, value: str, unit: str = "month", how: str = "mean") -> DataFrame:
@@ -25,7 +18,7 @@ def resample(df: DataFrame, when: str, value: str, unit: str = "month", how: str
     Rows are reduced to one per period before the calendar is joined, so the calendar
     and the join only see as many rows as there are periods.
     """
-    if unit not in STEPS or how not in ("mean", "sum", "min", "max"):
+    if unit not in UNITS or how not in ("mean", "sum", "min", "max"):
         raise ValueError(f"unknown unit '{unit}' or aggregate '{how}'")
     fn = {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max}[how]
     periods = (
@@ -34,9 +27,13 @@ def resample(df: DataFrame, when: str, value: str, unit: str = "month", how: str
         .groupBy("period")
         .agg(fn("v").alias("value"), F.count("v").alias("n"))
     )
-    span = periods.agg(F.min("period").alias("first"), F.max("period").alias("last"))
-    calendar = span.filter(F.col("first").isNotNull()).select(
-        F.posexplode(F.expr(f"sequence(first, last, {STEPS[unit]})")).alias("position", "period")
+    periods = settle(periods, "periods")
+    steps = F.expr(f"timestampdiff({unit}, min(period), max(period)) + 1")
+    span = periods.agg(steps.alias("steps"), F.min("period").cast("string").alias("first")).first()
+    # the calendar is spread over tasks: one wrong date far off makes it long
+    calendar = df.sparkSession.range(span["steps"] or 0).select(
+        F.col("id").alias("position"),
+        F.expr(f"timestampadd({unit}, CAST(id AS INT), TIMESTAMP'{span['first'] or '1970-01-01'}')").alias("period"),
     )
     return calendar.join(periods, "period", "left").select(
         F.col("position").cast("long").alias("position"), "period", "value", F.coalesce("n", F.lit(0)).alias("n")

@@ -344,7 +344,7 @@ def _stream_anomalies(spark, sf):
 @query("stream_sequence_numbers", NUMBERED)
 def _stream_numbers(spark, sf):
     stream = _stream(spark, sf).select("event_id", "user_id", "ts")
-    out = streams.run(streams.numbered_events(stream, "user_id", "event_id long, user_id long, ts timestamp"))
+    out = streams.numbered_events(stream, "user_id", "ts", "event_id")
     return out.select("event_id", "user_id", "sequence_num")
 
 

@@ -6,17 +6,14 @@ one until the available input is used up and returns what the sink holds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
 
 from statloom.functions.exprs import name_col
 from statloom.functions.moments import adjusted_kurtosis, adjusted_skewness
-from statloom.session import new_folder, prepare
+from statloom.functions.prefix import sequence_numbers
+from statloom.session import new_folder, prepare, settle
 
 
 def read_events(
@@ -132,23 +129,36 @@ def training_bounds(history: DataFrame, key: str, value: str) -> DataFrame:
     return history.groupBy(name_col(key)).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
 
 
-def numbered_events(stream: DataFrame, key: str, columns: str, when: str = "ts") -> DataFrame:
-    """Give every key's events consecutive numbers across micro-batches.
+def numbered_events(stream: DataFrame, key: str, when: str = "ts", tie: str | None = None, folder: str | None = None) -> DataFrame:
+    """Give every key's events consecutive numbers across micro-batches, in a table.
 
-    Within a batch events are numbered by time. ``columns`` is the DDL of the input
-    columns carried through. The state is one counter per key.
+    Within a batch events are numbered by time and ``tie``, range by range, so a key with most of the
+    events isn't one task's work. A table of counters, one row per key, leads from batch to batch; a batch
+    that is tried again replaces its own rows and counters, and numbers them as before.
     """
-
-    def number(_: Any, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = state.get[0] if state.exists else 0
-        rows = pd.concat(list(batches)).sort_values(when, kind="stable")
-        rows["sequence_num"] = range(seen + 1, seen + 1 + len(rows))
-        state.update((seen + len(rows),))
-        yield rows
-
-    return stream.groupBy(name_col(key)).applyInPandasWithState(
-        number, f"{columns}, sequence_num long", "seen long", "append", GroupStateTimeout.NoTimeout
-    )
+    spark = stream.sparkSession
+    folder = folder or new_folder(spark, "numbers")
+    data, counters = f"{folder}/data", f"{folder}/counters"
+    schema = T.StructType([*stream.schema.fields, T.StructField("sequence_num", T.LongType())])
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{data}/batch=-1")
+    start = spark.createDataFrame([], T.StructType([stream.schema[key], T.StructField("seen", T.LongType())]))
+    start.write.mode("overwrite").parquet(f"{counters}/-1")
+
+    def number(batch: DataFrame, batch_id: int) -> None:
+        before = batch.sparkSession.read.parquet(f"{counters}/{batch_id - 1}").select(name_col(key).alias("_key"), "seen")
+        batch = settle(batch, "batch")
+        rows = sequence_numbers(batch, [key], when, "sequence_num", tie)
+        joined = rows.join(before, name_col(key).eqNullSafe(F.col("_key")), "left")
+        offset = F.col("sequence_num") + F.coalesce("seen", F.lit(0))
+        out = joined.select(*[name_col(c) for c in batch.columns], offset.alias("sequence_num"))
+        out.write.mode("overwrite").parquet(f"{data}/batch={batch_id}")
+        counts = batch.groupBy(name_col(key).alias("_key")).agg(F.count("*").alias("seen"))
+        total = before.unionByName(counts).groupBy("_key").agg(F.sum("seen").alias("seen"))
+        total.withColumnRenamed("_key", key).write.mode("overwrite").parquet(f"{counters}/{batch_id}")
+
+    writer = stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+    writer.foreachBatch(number).start().awaitTermination()
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(data)
 
 
 def append_log(stream: DataFrame, folder: str, partition: Column | None = None) -> DataFrame:

@@ -14,14 +14,15 @@ def test_numbers_continue_across_batches(spark, tmp_path):
     first = [(1, "2024-01-01 00:00:00", 1, 1.0), (2, "2024-01-01 00:01:00", 1, 2.0), (3, "2024-01-01 00:02:00", 2, 3.0)]
     folder = _write(spark, tmp_path, [first])
     stream = streams.read_events(spark, folder).select("event_id", "user_id", "ts")
-    numbered = streams.numbered_events(stream, "user_id", "event_id long, user_id long, ts timestamp")
     out = str(tmp_path / "out")
-    assert streams.run(numbered, folder=out).count() == 3
-    _write(spark, tmp_path, [[(4, "2024-01-01 00:03:00", 1, 4.0)]])
+    assert streams.numbered_events(stream, "user_id", "ts", "event_id", folder=out).count() == 3
+    _write(spark, tmp_path, [[(6, "2024-01-01 00:03:00", 1, 4.0), (5, "2024-01-01 00:03:00", 1, 4.0), (4, "2024-01-01 00:03:00", 1, 4.0)]])
     stream = streams.read_events(spark, folder).select("event_id", "user_id", "ts")
-    numbered = streams.numbered_events(stream, "user_id", "event_id long, user_id long, ts timestamp")
-    rows = {r["event_id"]: r["sequence_num"] for r in streams.run(numbered, folder=out).collect()}
-    assert rows == {1: 1, 2: 2, 3: 1, 4: 3}  # restarted from the checkpoint, nothing twice
+    rows = {r["event_id"]: r["sequence_num"] for r in streams.numbered_events(stream, "user_id", "ts", "event_id", folder=out).collect()}
+    # restarted from the checkpoint, nothing twice; equal times are numbered by event
+    assert rows == {1: 1, 2: 2, 3: 1, 4: 3, 5: 4, 6: 5}
+    nothing = streams.read_events(spark, folder).select("event_id", "user_id", "ts").where("event_id < 0")
+    assert streams.numbered_events(nothing, "user_id", folder=str(tmp_path / "none")).count() == 0
 
 
 def test_late_events_are_cut_off(spark, tmp_path):
