@@ -54,21 +54,16 @@ def f_scores(problem: Problem) -> DataFrame:
             parts.append(tested.select("feature", F.col("feature").alias("slot"), F.col("statistic").alias("f_score"), F.col("p_value").alias("f_pvalue")))
         if cats:
             classes = df.groupBy("_y").agg(F.count("*").alias("n"))
+            sizes = classes.agg(F.count("*").alias("k"), F.sum("n").alias("total"))
             cells = _long(df, cats, "_y").groupBy("feature", "value", "_y").agg(F.count("*").alias("c"))
-            levels = cells.select("feature", "value").distinct()
-            # every level meets every class (at most MAX_CLASSES of them), also with no rows
-            listed = classes.agg(F.collect_list(F.struct("_y", "n")).alias("all"))
-            grid = levels.transform(with_scalars, listed).select("feature", "value", F.inline("all"))
-            filled = grid.join(cells, ["feature", "value", "_y"], "left").withColumn("p", F.coalesce("c", F.lit(0)) / F.col("n"))
-            stats = filled.select(
-                "feature",
-                F.concat_ws("_", "feature", "value").alias("slot"),
-                "_y",
-                "n",
-                F.col("p").alias("mean"),
-                F.try_divide(F.col("p") * (1 - F.col("p")) * F.col("n"), F.col("n") - 1.0).alias("var"),
+            # a row per class, and more classes than max_classes have been refused
+            counted = cells.join(F.broadcast(classes), "_y")
+            # a class that a level never meets adds nothing to its sums
+            c, n = F.col("c"), F.col("n")
+            sums = counted.groupBy("feature", F.concat_ws("_", "feature", "value").alias("slot")).agg(
+                F.sum("c").alias("s"), F.sum(c * c / n).alias("ss"), F.sum(c * (1 - c / n)).alias("ssw")
             )
-            # statistics are per level here, so they are joined, not broadcast
+            stats = sums.transform(with_scalars, sizes)  # one row
             tested = _level_tests(stats)
             parts.append(tested)
     else:
@@ -101,19 +96,11 @@ def f_scores(problem: Problem) -> DataFrame:
 
 
 def _level_tests(stats: DataFrame) -> DataFrame:
-    """ANOVA per level over the class statistics of its indicator."""
-    n, mean = F.col("n"), F.col("mean")
-    agg = stats.groupBy("feature", "slot").agg(
-        F.count("*").alias("k"),
-        F.sum("n").alias("total"),
-        F.sum(n * mean).alias("s"),
-        F.sum(n * mean * mean).alias("ss"),
-        F.sum((n - 1) * F.coalesce("var", F.lit(0.0))).alias("ssw"),
-    )
+    """ANOVA per level from its sums: rows, squared rows by class size, and variation inside classes."""
     ssb = F.col("ss") - F.col("s") ** 2 / F.col("total")
     d1, d2 = F.col("k") - 1.0, (F.col("total") - F.col("k")).cast("double")
     f = F.when(F.col("ssw") > 0, (ssb / d1) / (F.col("ssw") / d2)).when(ssb > 0, float("inf"))
-    return agg.withColumn("f_score", f).select(
+    return stats.withColumn("f_score", f).select(
         "feature", "slot", "f_score", tails.f_upper(F.col("f_score"), d1, d2).alias("f_pvalue")
     )
 
