@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in (("spark.sql.session.timeZone", "UTC"), (DUPLICATE_KEYS, "true")):
         if spark.conf.get(key) != value:
             spark.conf.set(key, value)
+    share_package(spark)
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, unless they have it anyway.
+
+    Workers on other machines find it at the same path, or have it installed or sent with the job.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join([root, *([known] if known else [])])
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
