@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statloom.llm.common import share_package
+
 BLOCK = 512
 
 Decide = Callable[[np.ndarray, np.ndarray], np.ndarray]  # rows of bytes a, b -> boolean matrix
@@ -68,6 +70,7 @@ def linked(rows: DataFrame, decide: Decide, block: int = BLOCK) -> DataFrame:
     whatever is linked. ``rep`` is distinct.
     """
     spark = rows.sparkSession
+    share_package(spark)
     keyed = rows.select("rep", F.posexplode("codes").alias("t", "key"))
     crowded = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > block)
     crowded = crowded.select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))

@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame
 from statloom.llm.common import arrow_rows, text_rows
 
 SHORT = 48  # bytes of a word that goes through the rank arrays
-KNOWN = 700_000  # words kept per worker
-PIECE = 1 << 20  # code points handled at once
+KNOWN = 600_000  # words kept per worker, about 40 bytes each
+RECENT = 1 << 16  # words that are merged into the large table at once
+PIECE = 1 << 18  # code points handled at once
 NONE = np.int32(2**31 - 1)
 
 # ---- fixed values: white space of the pattern and its contractions ----
@@ -92,11 +93,23 @@ class Bpe:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        """Start the word table anew: sorted hashes with their word numbers, and the words' ids in a row."""
+        none = (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int32))
+        self.known = [none, none]  # many words, and those met since
+        self.count = self.used = 0
         self.flat = np.empty(1 << 16, dtype=np.int32)
-        self.used = 0
-        self.starts = np.zeros(1 << 14, dtype=np.int64)
-        self.sizes = np.zeros(1 << 14, dtype=np.int64)
+        self.starts = np.zeros(1 << 14, dtype=np.int32)
+        self.sizes = np.zeros(1 << 14, dtype=np.int32)
+
+    def _numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Word numbers of sorted hashes, -1 for words that aren't in the table."""
+        rows = np.full(len(hashes), -1, dtype=np.int64)
+        for table, numbers in self.known:
+            if len(table):
+                at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
+                hit = table[at] == hashes
+                rows[hit] = numbers[at[hit]]
+        return rows
 
     # ---- words to ids ----
 
@@ -265,18 +278,18 @@ class Bpe:
         if not len(starts):
             return np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         kinds, at, back = np.unique(self._hash(points, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) + len(kinds) > KNOWN:
+        if self.count + len(kinds) > KNOWN:
             self._forget()
-        rows = np.array([self.known.get(h, -1) for h in kinds.tolist()], dtype=np.int64)
+        rows = self._numbers(kinds)
         new = np.flatnonzero(rows < 0)
         if len(new):
             made = self.merge_bytes(
                 [joined[s:e].encode("utf-8", "surrogatepass") for s, e in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
             )
-            rows[new] = np.arange(len(self.known), len(self.known) + len(new))
-            self._keep(kinds[new].tolist(), made)
+            rows[new] = np.arange(self.count, self.count + len(new))
+            self._keep(kinds[new], made)
         word = rows[back]
-        sizes = self.sizes[word]
+        sizes = self.sizes[word].astype(np.int64)
         stops = np.cumsum(sizes)
         source = np.repeat(self.starts[word] - (stops - sizes), sizes) + np.arange(stops[-1])
         return self.flat[source], sizes, np.searchsorted(begin, starts, side="right") - 1
@@ -295,9 +308,9 @@ class Bpe:
         sizes = np.array([len(x) for x in made], dtype=np.int64)
         return np.concatenate([np.empty(0, dtype=np.int32), *made]), sizes, np.array(place, dtype=np.int64)
 
-    def _keep(self, hashes: list[int], made: list[np.ndarray]) -> None:
+    def _keep(self, hashes: np.ndarray, made: list[np.ndarray]) -> None:
         sizes = np.array([len(x) for x in made], dtype=np.int64)
-        first, total = len(self.known), int(sizes.sum())
+        first, total = self.count, int(sizes.sum())
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         while first + len(made) > len(self.starts):
@@ -307,7 +320,10 @@ class Bpe:
         self.starts[first : first + len(made)] = self.used + np.cumsum(sizes) - sizes
         self.sizes[first : first + len(made)] = sizes
         self.used += total
-        self.known.update(zip(hashes, range(first, first + len(made))))
+        self.count += len(made)
+        many, recent = self.known
+        recent = _merged(recent, (hashes, np.arange(first, self.count, dtype=np.int32)))
+        self.known = [many, recent] if len(recent[0]) < RECENT else [_merged(many, recent), (recent[0][:0], recent[1][:0])]
 
     # ---- texts ----
 
@@ -342,6 +358,12 @@ class Bpe:
         return " ".join([names[i] for i in ids])
 
 
+def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    hashes = np.concatenate([a[0], b[0]])
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order], np.concatenate([a[1], b[1]])[order]
+
+
 _LOADED: dict[int, Bpe] = {}
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statloom.llm.common import arrow_rows, col, settle
+from statloom.llm.common import arrow_rows, col, settle, share_package
 
 WINDOW = 16  # bytes the hash depends on
 SPREAD = 3  # words on either side that a cut's hash is compared with
@@ -160,6 +160,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     listed = settle(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("spans")), "repeats")
     # names of our own: df may have columns called alike
     own_id, own_spans = "_statloom_id", "_statloom_spans"
+    share_package(df.sparkSession)
     listed = listed.select(F.col("doc_id").alias(own_id), F.col("spans").alias(own_spans))
 
     @F.pandas_udf("string")

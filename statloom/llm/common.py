@@ -8,11 +8,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.session import settle, work_dir
+from statloom.session import settle, share_package, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-__all__ = ["arrow_rows", "checkpointed", "col", "read", "settle", "text_rows", "work_dir"]
+__all__ = ["arrow_rows", "checkpointed", "col", "read", "settle", "share_package", "text_rows", "work_dir"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -69,6 +69,7 @@ def arrow_rows(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    share_package(df.sparkSession)
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm import bpe
-from statloom.llm.common import settle, slices, text_rows
+from statloom.llm.common import settle, share_package, slices, text_rows
 
 SIZE = 4096
 WINDOWS = 32  # open windows of a partition
@@ -102,6 +102,7 @@ def pack(
     text counts as empty: one piece that holds the end. Repeated rows are packed each for itself,
     a NULL doc_id stays NULL, an empty table gives no rows, other columns are left behind.
     """
+    share_package(df.sparkSession)
     shared = bpe.vocabulary(df, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

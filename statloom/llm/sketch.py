@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import arrow_rows, col, slices, text_rows
+from statloom.llm.common import arrow_rows, share_package, slices, text_rows
 from statloom.llm.simhash import shingle_hashes
 
 WORDS = 5
@@ -107,6 +107,7 @@ def compared_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     the first document of the range behind it, so every text is shuffled once.
     """
     spark = df.sparkSession
+    share_package(spark)
     ranges = ranges or min(MOST_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = text_rows(df, id_col, text_col)
     ids = rows.select("doc_id").where("doc_id is not null")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import arrow_rows, col
+from statloom.llm.common import arrow_rows, col, share_package
 
 BUCKETS = 1 << 18
 WIDTH = 8
@@ -34,7 +34,7 @@ _SHIFT = np.uint64(64 - 18)
 _BYTE = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
 _STEP = np.uint64(0xD1342543DE82EF95)
 _BACK = np.uint64(pow(int(_STEP), -1, 2**64))
-_CHUNK = 1 << 20  # bytes of a text handled at once, cut between words
+_CHUNK = 1 << 18  # bytes of a text handled at once, cut between words
 REPEAT = BUCKETS  # the bucket of a word that repeats the one before
 
 _UP = np.cumprod(np.concatenate([[np.uint64(1)], np.full(2 * _CHUNK, _STEP)]))
@@ -180,6 +180,7 @@ def fit(
 
 def scorer(df: DataFrame, model: Model):
     """A function from a text column to a score column; the model is broadcast (about 1 MB)."""
+    share_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import col, settle, slices
+from statloom.llm.common import col, settle, share_package, slices
 from statloom.session import new_folder
 
 BLOCK = 1 << 18  # bytes read at once
@@ -107,6 +107,7 @@ def write(planned_rows: DataFrame, folder: str) -> DataFrame:
         system.move(draft, f"{place}/{name}")
         yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "records": [records], "bytes": [size]})
 
+    share_package(planned_rows.sparkSession)
     return settle(planned_rows.mapInArrow(run, "path string, records long, bytes long"), "warc-index")
 
 
@@ -237,6 +238,7 @@ def read(index: DataFrame, payloads: bool = True) -> DataFrame:
     def table(rows: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], type=k) for n, k in zip(names, kinds)], names=names)
 
+    share_package(index.sparkSession)
     # archives are whole tasks' outputs: dealing their names deals the work
     files = index.select("path").repartition(max(1, index.count()))
     return files.mapInArrow(run, schema)
