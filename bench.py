@@ -52,6 +52,11 @@ HEADLINE = [
     "session_sequence_numbers",
     "stream_profile",
     "stream_tumbling_rates",
+    "attribution_forest",
+    "feature_screen_numeric_target",
+    "stratified_folds",
+    "csv_round_trip",
+    "extract_json_documents",
 ]
 
 

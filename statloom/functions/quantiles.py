@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.exprs import any_of, melt, number
-from statloom.functions.prefix import prefix_sums
+from statloom.functions.prefix import prefix_sums, range_count
 from statloom.session import settle
 
 BUFFER_LIMIT = 200_000  # distinct values one percentile buffer may hold
@@ -126,7 +126,8 @@ def _select_columns(df: DataFrame, names: list[str], probs: list[float]) -> dict
         F.concat_ws("/", "feature", F.col("i").cast("string")),
     )
     # running counts range by range: a bracket may hold many values
-    inner = prefix_sums(settle(counted, "bracketed"), "v", ["c"], ["feature", "i"])
+    held = sum(sketch[f"n_{c}"] for c in cols.values()) * m * 10 / SKETCH_ACCURACY  # at most so many values
+    inner = prefix_sums(settle(counted, "bracketed"), "v", ["c"], ["feature", "i"], ranges=range_count(held))
     picked = (
         inner.select("feature", "i", "v", (F.col("c_upto") + start).alias("upto"), wanted.alias("pos"))
         .groupBy("feature", "i")

@@ -353,7 +353,7 @@ def _stream_numbers(spark, sf):
 
 @query("auto_analysis")
 def _auto(spark, sf):
-    found = bundles.analyze(training_frame(spark, sf), "quality", models=["Logistic Regression", "Random Forest"])
+    found = bundles.analyze(training_frame(spark, sf), "quality")
     return found["findings"]
 
 

@@ -208,7 +208,7 @@ def _f_regression(spark, sf):
 
 @query("feature_ranking")
 def _ranking(spark, sf):
-    return selection.feature_ranking(training_frame(spark, sf).drop("source"), "quality")
+    return selection.feature_ranking(training_frame(spark, sf), "quality")
 
 
 def _facts_row(spark, facts: dict):
@@ -217,12 +217,12 @@ def _facts_row(spark, facts: dict):
 
 @query("selection_impact")
 def _impact(spark, sf):
-    return _facts_row(spark, selection.selection_impact(training_frame(spark, sf).drop("source"), "quality"))
+    return _facts_row(spark, selection.selection_impact(training_frame(spark, sf), "quality"))
 
 
 @query("engineered_interaction")
 def _engineered(spark, sf):
-    return _facts_row(spark, selection.engineered_interaction(training_frame(spark, sf).drop("source"), "quality"))
+    return _facts_row(spark, selection.engineered_interaction(training_frame(spark, sf), "quality"))
 
 
 # ---- models --------------------------------------------------------------------------------
@@ -252,7 +252,7 @@ def _importance(spark, sf):
 
 @query("permutation_importance")
 def _permutation(spark, sf):
-    df = training_frame(spark, sf).drop("source")
+    df = training_frame(spark, sf)
     problem = models.frame_problem(df, "quality")
     train, test = preprocess.split(problem.data, "quality")
     return models.permutation_importance(models.fit_model(problem, train, "Logistic Regression"), test)
@@ -265,13 +265,13 @@ def _curves(spark, sf):
 
 @query("hyperparameter_search")
 def _tune(spark, sf):
-    found = diagnostics.tune(training_frame(spark, sf).drop("source"), "quality", "Logistic Regression")
+    found = diagnostics.tune(training_frame(spark, sf), "quality", "Logistic Regression")
     return _facts_row(spark, found)
 
 
 @query("learning_curve")
 def _learning(spark, sf):
-    df = training_frame(spark, sf).drop("source")
+    df = training_frame(spark, sf)
     return diagnostics.learning_curve(df, "quality", "Logistic Regression")
 
 
@@ -483,7 +483,7 @@ def _forest_sums(spark, sf):
 
 @query("attribution_sampling_sums", LABELLED_ROWS)
 def _sampling_sums(spark, sf):
-    df = labelled(spark, sf).drop("source")
+    df = labelled(spark, sf)
     problem = models.frame_problem(df, "quality")
     fitted = models.fit_model(problem, problem.data, "Logistic Regression")
     return _sums(fitted, explain.sampling_attribution(fitted, df, ["doc_id"]), df)
@@ -508,7 +508,7 @@ def _waterfall(spark, sf):
 
 @query("attribution_sampling")
 def _attribution_sampling(spark, sf):
-    df = labelled(spark, sf).drop("source")
+    df = labelled(spark, sf)
     problem = models.frame_problem(df, "quality")
     fitted = models.fit_model(problem, problem.data, "Logistic Regression")
     return explain.global_importance(explain.sampling_attribution(fitted, df, ["doc_id"]).values)

@@ -583,6 +583,19 @@ def _scatter(spark, sf):
     )
 
 
+@query(
+    "scatter_points_are_rows",
+    """SELECT least(2000, count(*) FILTER (l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL AND l_returnflag IS NOT NULL)) AS points,
+TRUE AS all_in_table FROM lineitem""",
+)
+def _scatter_rows(spark, sf):
+    points = _scatter(spark, sf)
+    names = ["l_quantity", "l_extendedprice", "l_returnflag"]
+    known = table(spark, sf, "lineitem").select(*[F.col(c).cast(points.schema[c].dataType).alias(c) for c in names]).distinct()
+    known = known.withColumn("known", F.lit(True))
+    return points.join(known, names, "left").agg(F.count("*").alias("points"), F.bool_and(F.coalesce("known", F.lit(False))).alias("all_in_table"))
+
+
 @query(
     "trend_line",
     f"""WITH f AS (SELECT count(*) AS n, regr_slope(l_extendedprice, l_quantity) AS s, regr_intercept(l_extendedprice, l_quantity) AS i,
