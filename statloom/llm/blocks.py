@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import share_package
+from statloom.llm.common import settle, share_package
 
 BLOCK = 512
 
@@ -74,6 +74,8 @@ def linked(rows: DataFrame, decide: Decide, block: int = BLOCK) -> DataFrame:
     keyed = rows.select("rep", F.posexplode("codes").alias("t", "key"))
     crowded = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > block)
     crowded = crowded.select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    # written first, so that its size is known: the rows move for the join only if it is large
+    crowded = settle(crowded, "crowded")
     whole = rows.select("rep", "mult", "payload", "codes", F.posexplode("codes").alias("t", "key"))
     dealt = whole.join(crowded, ["t", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
