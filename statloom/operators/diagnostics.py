@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,22 +84,26 @@ def learning_curve(
     by = target if problem.task == "classification" else None
     folds = fold_count(problem, problem.data)
     tagged = with_folds(problem.data, folds, by).withColumn("_order", unit_hash(problem.data.columns, SEED + 7)).persist()
-    rows = []
+    shares = [0.2 + 0.8 * i / (steps - 1) for i in range(steps)]
+
+    def trial(job: tuple[float, int]) -> tuple[int, float, float]:
+        share, k = job
+        # the order is a hash, so smaller samples are subsets of larger ones
+        inside = tagged.filter((F.col("fold") != k) & (F.col("_order") <= share))
+        fitted = fit_model(problem, inside, model, fit_preparation(inside, problem.features), settings)
+        own = models.score(problem, fitted.predict(inside))
+        return inside.count(), own, models.score(problem, fitted.predict(tagged.filter(F.col("fold") == k)))
+
+    jobs = [(share, k) for share in shares for k in range(folds)]
     try:
-        for step in range(1, steps + 1):
-            share = 0.2 + 0.8 * (step - 1) / (steps - 1)
-            sizes, own, held = [], [], []
-            for k in range(folds):
-                # the order is a hash, so smaller samples are subsets of larger ones
-                inside = tagged.filter((F.col("fold") != k) & (F.col("_order") <= share))
-                sizes.append(inside.count())
-                preparation = fit_preparation(inside, problem.features)
-                fitted = fit_model(problem, inside, model, preparation, settings)
-                own.append(models.score(problem, fitted.predict(inside)))
-                held.append(models.score(problem, fitted.predict(tagged.filter(F.col("fold") == k))))
-            rows.append((int(sum(sizes) / len(sizes)), round(models._mean(own), 4), round(models._mean(held), 4)))
+        with ThreadPool(max(1, min(models.PARALLEL_FITS, len(jobs)))) as pool:
+            found = pool.map(inheritable_thread_target(df.sparkSession)(trial), jobs, chunksize=1)
     finally:
         tagged.unpersist()
+    rows = []
+    for i in range(steps):
+        sizes, own, held = zip(*found[i * folds : (i + 1) * folds])
+        rows.append((sum(sizes) // folds, round(models._mean(own), 4), round(models._mean(held), 4)))
     return df.sparkSession.createDataFrame(rows, "train_size long, train_score double, cv_score double")
 
 

@@ -227,10 +227,11 @@ def cross_validate(
         return score(problem, fitted.predict(held)), own
 
     jobs = [(k, i) for k in range(folds) for i in range(len(candidates))]
+    inherit = inheritable_thread_target(train.sparkSession)
     try:
         with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-            preparations = pool.map(inheritable_thread_target(prepare), range(folds))
-            scores = pool.map(inheritable_thread_target(trial), jobs, chunksize=1)
+            preparations = pool.map(inherit(prepare), range(folds))
+            scores = pool.map(inherit(trial), jobs, chunksize=1)
     finally:
         tagged.unpersist()
     return {i: [s for (_, j), s in zip(jobs, scores) if j == i] for i in range(len(candidates))}
@@ -381,11 +382,23 @@ def shuffle_column(df: DataFrame, column: str, seed: int) -> DataFrame:
 def permutation_importance(fitted: Fitted, test: DataFrame, repeats: int = 5) -> DataFrame:
     """Mean drop of the score when one source column is shuffled on held-out rows."""
     problem = fitted.problem
-    base = score(problem, fitted.predict(test))
+    test = test.persist()  # read once per feature and repeat
+
+    def drop(job: tuple[str, int]) -> float:
+        return base - score(problem, fitted.predict(shuffle_column(test, job[0], SEED + 10 * job[1])))
+
+    jobs = [(c, r) for c in problem.features for r in range(repeats)]
+    inherit = inheritable_thread_target(test.sparkSession)
+    try:
+        base = score(problem, fitted.predict(test))
+        with ThreadPool(max(1, min(PARALLEL_FITS, len(jobs)))) as pool:
+            drops = pool.map(inherit(drop), jobs, chunksize=1)
+    finally:
+        test.unpersist()
     rows = []
     for c in problem.features:
-        drops = [base - score(problem, fitted.predict(shuffle_column(test, c, SEED + 10 * r))) for r in range(repeats)]
-        rows.append((c, _mean(drops), _spread(drops)))
+        own = [d for (name, _), d in zip(jobs, drops) if name == c]
+        rows.append((c, _mean(own), _spread(own)))
     return test.sparkSession.createDataFrame(rows, "feature string, importance double, std double").orderBy(
         F.col("importance").desc(), "feature"
     )
