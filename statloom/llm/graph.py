@@ -1,9 +1,8 @@
 """Connected components of a link table, by alternating star contraction.
 
 Each round replaces every node's links by links to its smallest neighbour, first among larger
-neighbours, then among smaller ones, until only stars remain. A round is two joins on a node; the
-nodes that hold over a thousandth of the links each are joined by broadcast, so a hub's links aren't
-one task's work. Every round is cut by a reliable checkpoint,
+neighbours, then among smaller ones, until only stars remain. A round is two joins on a node;
+the links of one node are read by one task. Every round is cut by a reliable checkpoint,
 so a lost executor costs one round at most. Nothing but two sums per round reaches the driver.
 """
 
@@ -12,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.functions.skew import attach_by_key
 from statloom.llm.common import checkpointed
 
 
@@ -34,10 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
-        nearest = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        nearest = nearest.select("u", F.least("u", "m").alias("m"), "n")
-        met = attach_by_key(both, nearest, ["u"], "n", 2 * before[0])
-        large = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        nearest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(nearest, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = checkpointed(moved.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct())

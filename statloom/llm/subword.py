@@ -23,7 +23,7 @@ from statloom.llm.common import arrow_rows, col, share_package
 BUCKETS = 1 << 18
 WIDTH = 8
 PIECES = (3, 4, 5)
-PER_CLASS = 1500  # labelled rows of each class that are learned from
+PER_CLASS = 1000  # labelled rows of each class that are learned from
 EPOCHS = 3
 STEPS = 10_000  # at least so many single updates, over more epochs where few rows are labelled
 RATE = 0.5
@@ -111,12 +111,12 @@ def train(documents: list[tuple[np.ndarray, np.ndarray]], labels: list[int], see
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS + 1, WIDTH)).astype(np.float32)
     layer = np.zeros((2, WIDTH), dtype=np.float32)
     bias = np.zeros(2, dtype=np.float32)
-    shares = [(u, (c / c.sum()).astype(np.float32)) if len(u) else (u, c.astype(np.float32)) for u, c in documents]
     steps = max(1, epochs * len(documents))
     step = 0
     for _ in range(epochs):
         for i in rng.permutation(len(documents)):
-            u, share = shares[i]
+            u, counts = documents[i]
+            share = (counts / counts.sum()).astype(np.float32) if len(u) else counts
             speed = rate * (1 - step / steps)
             step += 1
             own = vectors[u]
@@ -173,9 +173,11 @@ def fit(
     got = rows.toArrow().sort_by([("doc_id", "ascending")])
     buckets, counts = got.column("buckets").combine_chunks(), got.column("counts").combine_chunks()
     documents = [
-        (buckets[i].values.to_numpy(), counts[i].values.to_numpy().astype(np.float32)) for i in range(got.num_rows)
+        (buckets[i].values.to_numpy().copy(), counts[i].values.to_numpy().astype(np.float32)) for i in range(got.num_rows)
     ]
-    return train(documents, got.column("label").to_pylist())
+    labels_of = got.column("label").to_pylist()
+    del got, buckets, counts
+    return train(documents, labels_of)
 
 
 def scorer(df: DataFrame, model: Model):
