@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from statloom.llm.common import arrow_rows, text_rows
 
 SHORT = 48  # bytes of a word that goes through the rank arrays
-KNOWN = 600_000  # words kept per worker, about 40 bytes each
+KNOWN = 400_000  # words kept per worker, about 40 bytes each
 RECENT = 1 << 16  # words that are merged into the large table at once
 PIECE = 1 << 18  # code points handled at once
 NONE = np.int32(2**31 - 1)

@@ -63,9 +63,12 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
 
 
 def arrow_rows(
-    df: DataFrame, schema: str, step: Callable[[pa.RecordBatch], dict[str, list]], column: str, most: int = 8 << 20
+    df: DataFrame, schema: str, step: Callable[[pa.RecordBatch], dict[str, list]], column: str, most: int = 4 << 20
 ) -> DataFrame:
-    """Map Arrow batches through ``step``; batches are cut by the bytes of ``column`` first."""
+    """Map Arrow batches through ``step``; batches are cut by the bytes of ``column`` first.
+
+    What a batch has used goes back to the system, as an executor's workers share its memory.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -79,5 +82,6 @@ def arrow_rows(
                 yield pa.RecordBatch.from_arrays(
                     [v if isinstance(v := out[f.name], pa.Array) else pa.array(v, type=f.type) for f in target], schema=target
                 )
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

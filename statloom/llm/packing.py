@@ -125,6 +125,7 @@ def pack(
                 for window in [w for w in held if w not in state.fill]:  # emitted with a gap
                     rows += held.pop(window)
                 yield table(rows)
+            pa.default_memory_pool().release_unused()
         yield table([(*piece[:-1], True) for pieces in held.values() for piece in pieces])
 
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
