@@ -62,21 +62,27 @@ def _unit(rep, mult, payload, codes, first, table: int, decide: Decide) -> tuple
     return rep[touched], count[touched].astype(np.int64), root[touched]
 
 
-def linked(rows: DataFrame, decide: Decide, block: int = BLOCK) -> DataFrame:
+def linked(rows: DataFrame, decide: Decide, block: int = BLOCK, varied: bool = False) -> DataFrame:
     """``(rep, n, root)`` parts from ``rows(rep long, mult long, payload binary, codes array<int>)``.
 
     ``codes`` are a row's keys, one per table; all rows have as many, and payloads of one length.
+    If they are ``varied`` in length, ``decide`` gets arrays of bytes objects, and rows alone under a key stay where they are.
     The sum of ``n`` by ``rep`` is the weight of the rows linked with it; the links ``rep - root`` join
     whatever is linked. ``rep`` is distinct.
     """
     spark = rows.sparkSession
     share_package(spark)
     keyed = rows.select("rep", F.posexplode("codes").alias("t", "key"))
+    whole = rows.select("rep", "mult", "payload", "codes", F.posexplode("codes").alias("t", "key"))
+    if varied:  # payloads may be large, and most rows meet others in few tables
+        shared = keyed.groupBy("t", "key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high")
+        meets = keyed.join(shared, ["t", "key"]).groupBy("rep").agg(F.collect_set("t").alias("tables"))
+        whole = rows.join(settle(meets, "meets"), "rep").select("rep", "mult", "payload", "codes", F.explode("tables").alias("t"))
+        whole = whole.withColumn("key", F.expr("codes[t]"))
     crowded = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > block)
     crowded = crowded.select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     # written first, so that its size is known: the rows move for the join only if it is large
     crowded = settle(crowded, "crowded")
-    whole = rows.select("rep", "mult", "payload", "codes", F.posexplode("codes").alias("t", "key"))
     dealt = whole.join(crowded, ["t", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -123,7 +129,8 @@ def linked(rows: DataFrame, decide: Decide, block: int = BLOCK) -> DataFrame:
             first = table.column("first").to_numpy()
             for s, e in zip(starts[keep].tolist(), ends[keep].tolist()):
                 part = table.slice(s, e - s)
-                payload = np.frombuffer(b"".join(part.column("payload").to_pylist()), dtype=np.uint8).reshape(e - s, -1)
+                values = part.column("payload").to_pylist()
+                payload = np.array([*values, None], dtype=object)[:-1] if varied else np.frombuffer(b"".join(values), dtype=np.uint8).reshape(e - s, -1)
                 codes = part.column("codes").combine_chunks().flatten().to_numpy().reshape(e - s, -1)
                 within = marks[2][s] == marks[3][s]
                 got = _unit(rep[s:e], mult[s:e], payload, codes, None if within else first[s:e], int(marks[0][s]), decide)

@@ -12,6 +12,7 @@ through the values that differ from them in one bit, 65 rows each, whatever the
 
 from __future__ import annotations
 
+from fractions import Fraction
 from math import pi
 
 import numpy as np
@@ -141,9 +142,11 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 
 # ---- near-duplicates by the similarity of five-word shingles ----
 
-LANES = 4  # of 64 bits
-TABLE_BITS = 16
-SLACK = 5  # bits that a fingerprint at the threshold may stray: about its standard deviation
+TABLES = 18
+ROWS = 4  # least hashes in a table's key: 0.8 ** 4 of the tables agree at the threshold, all miss in 1 of 13,000 pairs
+_RNG = np.random.default_rng(SEED)
+_SALTS = _RNG.integers(0, 2**64, TABLES * ROWS, dtype=np.uint64)
+_FACTORS = _RNG.integers(0, 2**64, TABLES * ROWS, dtype=np.uint64) | np.uint64(1)
 
 
 def angle_bits(similarity: float, bits: int) -> float:
@@ -151,15 +154,54 @@ def angle_bits(similarity: float, bits: int) -> float:
     return bits * float(np.arccos(2 * similarity / (1 + similarity))) / pi
 
 
-def lanes(parts: list[bytes]) -> np.ndarray:
-    """A fingerprint of LANES words over distinct features, by their 128-bit digests."""
-    distinct = set(parts)
-    raw = b"".join([xxhash.xxh3_128_digest(p, s) for s in range(LANES // 2) for p in distinct])
-    digests = np.frombuffer(raw, dtype=np.uint8).reshape(LANES // 2, -1, 16)
-    counts = np.zeros((LANES // 2, 128), dtype=np.int64)
-    for at in range(0, digests.shape[1], 1 << 14):
-        counts += np.unpackbits(digests[:, at : at + (1 << 14)], axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
-    return np.packbits(counts * 2 > len(distinct), axis=1, bitorder="little").reshape(-1)
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """A key per table: its ROWS least values over the set, each under a hash of its own (MinHash)."""
+    least = np.full(TABLES * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), 1 << 12):
+        part = (hashes[None, at : at + (1 << 12)] ^ _SALTS[:, None]) * _FACTORS[:, None]
+        part ^= part >> np.uint64(32)
+        least = np.minimum(least, (part * _FACTORS[::-1, None]).min(axis=1))
+    mixed = (least * _FACTORS).reshape(TABLES, ROWS)
+    return np.bitwise_xor.reduce(mixed ^ (mixed >> np.uint64(29)), axis=1).view(np.int64)
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted."""
+    return np.array(sorted({xxhash.xxh3_64_intdigest(p) for p in shingles(text, words)[1]}), dtype="<u8")
+
+
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray], columns: int = 1 << 12) -> np.ndarray:
+    """How many values every set of ``a`` shares with every set of ``b``."""
+    if len(a) == len(b) == 1:
+        return np.array([[len(np.intersect1d(a[0], b[0], assume_unique=True))]])
+    left, right = np.concatenate(a), np.concatenate(b)
+    both = np.intersect1d(left, right)
+    total = np.zeros((len(a), len(b)), dtype=np.int64)
+
+    def cells(sets, values):
+        row, at = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.searchsorted(both, values)
+        at = np.minimum(at, max(0, len(both) - 1))
+        held = both[at] == values if len(both) else np.zeros(len(values), dtype=bool)
+        return row[held], at[held]
+
+    (ra, ca), (rb, cb) = cells(a, left), cells(b, right)
+    for low in range(0, len(both), columns):
+        x, y = np.zeros((len(a), columns), dtype=np.float32), np.zeros((len(b), columns), dtype=np.float32)
+        for m, r, c in ((x, ra, ca), (y, rb, cb)):
+            here = (c >= low) & (c < low + columns)
+            m[r[here], c[here] - low] = 1
+        total += np.rint(x @ y.T).astype(np.int64)
+    return total
+
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the Jaccard similarity of packed shingle sets is at least so large, exactly."""
+    x, y = [np.frombuffer(v, dtype="<u8") for v in a], [np.frombuffer(v, dtype="<u8") for v in b]
+    n, m = np.array([len(v) for v in x])[:, None], np.array([len(v) for v in y])[None, :]
+    common = shared_counts(x, y)
+    # as a fraction, so that four of five is 0.8 whatever the rounding
+    exact = Fraction(similarity).limit_denominator(10**6)
+    return common * exact.denominator >= exact.numerator * (n + m - common)
 
 
 def shingles(text: bytes, words: int) -> tuple[list[bytes], list[bytes]]:
@@ -176,35 +218,39 @@ def shingles(text: bytes, words: int) -> tuple[list[bytes], list[bytes]]:
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``(doc_id, component_id)``: groups of texts whose shingle sets are at least so similar.
 
-    Two fingerprints of 256 bits are kept: one over the distinct words, one over the distinct
-    shingles. Copies that differ in a few words agree on long runs of the first: texts meet that agree
-    on one of its 16-bit segments. Pairs that meet are linked if the second differs in no more bits than
-    the angle of the similarity implies, plus ``SLACK``. Texts without words are one group, as are texts
-    with equal shingles. Rows with a NULL doc_id are left out. Repeated rows keep a row each.
+    Texts meet whose least shingle hashes agree in one of ``TABLES`` tables, which depends on the
+    similarity alone, not on where a text was changed. Of pairs at the threshold 1 in 13,000 doesn't
+    meet, of closer ones fewer. Pairs that meet are linked if the sets of their shingles are alike
+    enough, exactly; only texts that share a key are read again for their sets. Texts without words are
+    one group, as are texts with equal shingles. Rows with a NULL doc_id are left out. Repeated rows
+    keep a row each.
     """
     rows = df.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    most = int(angle_bits(similarity, 64 * LANES)) + SLACK
+    rows = rows.where("doc_id is not null")
 
     def step(batch):
-        out = {"doc_id": batch.column("doc_id"), "digest": [], "fp": [], "codes": []}
+        out = {"doc_id": batch.column("doc_id"), "digest": [], "codes": []}
         for text in batch.column("text").to_pylist():
-            parts, runs = shingles(text, words)
-            out["codes"].append(lanes(parts).view("<u2").astype(np.int32) if parts else np.zeros(LANES * 4, dtype=np.int32))
-            out["fp"].append(lanes(runs).tobytes() if runs else bytes(LANES * 8))
-            out["digest"].append(xxhash.xxh3_128_digest(b" ".join(parts)))
+            out["codes"].append(minima(shingle_set(text, words)))
+            out["digest"].append(xxhash.xxh3_128_digest(b" ".join(text.lower().split())))
         return out
 
-    prints = settle(arrow_rows(rows.where("doc_id is not null"), "doc_id long, digest binary, fp binary, codes array<int>", step, "text"), "prints")
-    distinct = prints.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("fp").alias("payload"), F.first("codes").alias("codes"))
-
-    def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        x, y = np.ascontiguousarray(a).view("<u8"), np.ascontiguousarray(b).view("<u8")
-        total = np.zeros((len(x), len(y)), dtype=np.int32)
-        for lane in range(LANES):
-            total += np.bitwise_count(x[:, None, lane] ^ y[None, :, lane])
-        return total <= most
-
-    parts = linked(distinct.select("rep", F.lit(1).cast("long").alias("mult"), "payload", "codes"), close)
+    def sets(batch):
+        texts = batch.column("text").to_pylist()
+        digests = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
+        return {"doc_id": batch.column("doc_id"), "digest": digests, "payload": [shingle_set(t, words).tobytes() for t in texts]}
+
+    prints = settle(arrow_rows(rows, "doc_id long, digest binary, codes array<long>", step, "text"), "prints")
+    distinct = prints.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("codes").alias("codes"))
+    keyed = distinct.select("rep", F.posexplode("codes").alias("t", "key"))
+    # the least and the greatest differ: a key of several texts
+    met = keyed.groupBy("t", "key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("t", "key")
+    meeting = settle(keyed.join(met, ["t", "key"], "left_semi").groupBy("rep").agg(F.count("*").alias("n")).drop("n"), "meeting")
+    texts = rows.join(meeting, F.col("doc_id") == F.col("rep"), "left_semi")
+    held = arrow_rows(texts, "doc_id long, digest binary, payload binary", sets, "text")
+    held = held.groupBy("doc_id", "digest").agg(F.first("payload").alias("payload")).withColumnRenamed("doc_id", "rep")
+    candidates = settle(distinct.join(held, ["rep", "digest"]).select("rep", F.lit(1).cast("long").alias("mult"), "payload", "codes"), "candidates")
+    parts = linked(candidates, lambda a, b: alike(a, b, similarity), varied=True)
     joined = components(parts.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     first = prints.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     found = first.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))

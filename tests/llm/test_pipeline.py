@@ -98,3 +98,40 @@ def test_run_is_the_last_stage(stages, spark, sf):
 def test_threshold_in_bits():
     assert 38 <= simhash.angle_bits(0.8, 256) <= 40
     assert subword.KEEP == 0.7
+
+
+def altered(rng, words, low, high):
+    """Copies of a text: its tail cut, foreign text behind it, and single words changed, with their likeness in the given range."""
+    own = shingles(" ".join(words))
+    likeness = lambda w: len(own & (s := shingles(" ".join(w)))) / len(own | s)
+    fresh = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
+    scattered = list(words)
+    for _ in words:
+        if likeness(scattered) < high:
+            break
+        scattered[rng.randrange(len(words))] = fresh(1)[0]
+    cut = next(words[: len(words) - k] for k in range(len(words)) if likeness(words[: len(words) - k]) < high)
+    tail = fresh(len(words))
+    longer = next(words + tail[:k] for k in range(len(words)) if likeness(words + tail[:k]) < high)
+    return [w for w in (cut, longer, scattered) if low <= likeness(w) < high]
+
+
+def paired(spark, low, high):
+    """For copies in the range of likeness, each of one document: whether they hang together with it."""
+    import random
+
+    rng = random.Random(11)
+    rows, owner = [], {}
+    for i in range(150):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 600))]
+        rows.append((i, " ".join(words)))
+        for w in altered(rng, words, low, high):
+            owner[10**6 + len(owner)] = i
+            rows.append((10**6 + len(owner) - 1, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    return [got[copy] == i for copy, i in owner.items()]
+
+
+def test_cut_and_extended_copies_are_near_copies(spark):
+    linked = paired(spark, 0.8, 0.84)
+    assert len(linked) > 350 and all(linked)
