@@ -135,3 +135,19 @@ def paired(spark, low, high):
 def test_cut_and_extended_copies_are_near_copies(spark):
     linked = paired(spark, 0.8, 0.84)
     assert len(linked) > 350 and all(linked)
+
+
+def test_texts_below_the_threshold_stay(spark):
+    for low, high in ((0.72, 0.8), (0.64, 0.7)):
+        linked = paired(spark, low, high)
+        assert len(linked) > 350 and not any(linked)
+
+
+def test_whoever_goes_is_alike_by_the_threshold(stages):
+    texts = {r.doc_id: r.text for r in stages[1][1].collect()}
+    kept = {r.doc_id for r in stages[2][1].collect()}
+    sets = {i: shingles(t) for i, t in texts.items()}
+    gone = set(texts) - kept
+    assert gone
+    for i in gone:
+        assert any(len(sets[i] & s) / len(sets[i] | s) >= 0.8 for k, s in sets.items() if k != i)
