@@ -6,6 +6,9 @@ signs of several rotations as its code. The code is cut into substrings, one tab
 meet if they agree on a substring. Vectors that meet are reranked by the cosine of the originals in
 double precision. As in multi-index hashing a substring has about the logarithm of the number of
 vectors as its bits; the number of tables follows from the bits, the least cosine and the wanted recall.
+Signs are those of centred vectors, whose angles are wider than the originals' if they have a component
+in common; so the recall is measured on pairs of the sample at the least cosine, found and made, and
+where it is too low, bits and tables are chosen anew from what was measured.
 """
 
 from __future__ import annotations
@@ -21,9 +24,12 @@ from statloom.llm.blocks import linked
 from statloom.llm.common import arrow_rows, col, settle
 from statloom.llm.graph import components
 
+SEED = 42
 SAMPLE_FLOATS = 1 << 20  # numbers in the sample that the rotations are learned on
 RECALL = 0.97  # of pairs at the least cosine, if bits were independent
 COSINE = 0.9
+TRIED = 4096  # vectors and pairs of the sample that the recall is measured on
+HANDLING = 64  # comparisons that a row in one more table costs as much as
 
 
 def rotation(v: np.ndarray, seed: int, rounds: int = 40) -> np.ndarray:
@@ -54,6 +60,75 @@ def sizes(vectors: int, cosine: float = COSINE, recall: float = RECALL) -> tuple
     return bits, ceil(log(1 - recall) / log(1 - agree))
 
 
+def pairs(sample: np.ndarray, centre: np.ndarray, cosine: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors about the least cosine: those within the sample, and made ones, a partner for each vector.
+
+    A partner is as far from the centre as its vector, and away from it in a direction that two other vectors span.
+    """
+    left, right = [], []
+    for at in range(0, len(sample), 512):
+        likeness = sample[at : at + 512] @ sample.T
+        i, j = np.nonzero((likeness >= cosine) & (likeness < cosine + 0.3 * (1 - cosine)))
+        ahead = np.flatnonzero(i + at < j)[: 1 << 14]
+        left.append(i[ahead] + at)
+        right.append(j[ahead])
+    i, j = np.concatenate(left), np.concatenate(right)
+    some = np.unique(np.linspace(0, len(i) - 1, TRIED).astype(np.int64)) if len(i) else np.empty(0, dtype=np.int64)
+    found = (sample[i[some]], sample[j[some]])
+    rng = np.random.default_rng(SEED)
+    x = sample[:TRIED]
+    v = x - centre
+    square = (v * v).sum(axis=1)
+    apart = sample[rng.integers(0, len(sample), len(x))] - sample[rng.integers(0, len(sample), len(x))]
+    fine = (square > 1e-12) & ((1 - cosine) / 2 <= square)  # else no vector so near the centre is that far away
+    x, v, square, apart = x[fine], v[fine], square[fine], apart[fine]
+    apart -= ((apart * v).sum(axis=1) / square)[:, None] * v
+    length = np.sqrt((apart * apart).sum(axis=1))
+    fine = length > 1e-9
+    x, v, square, apart = x[fine], v[fine], square[fine], apart[fine] / length[fine, None]
+    turn = 1 - (1 - cosine) / square
+    made = centre + turn[:, None] * v + (np.sqrt(np.maximum(0, 1 - turn**2) * square))[:, None] * apart
+    return [p for p in (found, (x, made)) if len(p[0]) >= 100]
+
+
+def measured(tried: list, centre: np.ndarray, matrix: np.ndarray, bits: int) -> float:
+    """The least share of pairs, over the kinds of pairs, that agree on all bits of some table."""
+    return min(
+        (((x - centre) @ matrix >= 0) == ((y - centre) @ matrix >= 0)).reshape(len(x), -1, bits).all(axis=2).any(axis=1).mean() for x, y in tried
+    )
+
+
+def plan(sample: np.ndarray, vectors: int, cosine: float, recall: float) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Bits, tables, centre and matrix that have the wanted recall on pairs of the sample; no bits: all rows meet."""
+    bits, tables = sizes(vectors, cosine, recall)
+    centre, matrix = learn(sample, bits * tables)
+    tried = pairs(sample, centre, cosine)
+    if not tried or measured(tried, centre, matrix, bits) >= recall:
+        return bits, tables, centre, matrix
+    agree = [(((x - centre) @ matrix >= 0) == ((y - centre) @ matrix >= 0)).mean(axis=1) for x, y in tried]
+
+    def needed(bits: int) -> int:
+        tables = 1
+        while min((1 - (1 - q**bits) ** tables).mean() for q in agree) < recall:
+            tables = ceil(tables * 1.1)
+            if tables > vectors:
+                break
+        return tables
+
+    costs = {b: needed(b) * (1 + vectors / 2**b / HANDLING) for b in range(bits + 1)}
+    bits = min(costs, key=lambda b: (costs[b], -b))
+    if not bits:
+        return 0, 1, centre, matrix[:, :0]
+    tables = needed(bits)
+    while True:
+        centre, matrix = learn(sample, bits * tables)
+        if measured(tried, centre, matrix, bits) >= recall:
+            return bits, tables, centre, matrix
+        tables = ceil(tables * 1.1)
+        if tables > vectors:  # no number of tables is cheaper than all pairs
+            return 0, 1, centre, matrix[:, :0]
+
+
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row.
 
@@ -86,11 +161,10 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     distinct = whole.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"), F.first("payload").alias("payload"))
     distinct = settle(distinct, "distinct-vectors")
     total = distinct.count()
-    bits, tables = sizes(total, cosine, recall)
     # the sample is bounded by its numbers; every vector is indexed
     some = distinct.orderBy(F.xxhash64("digest"), "digest").limit(max(256, SAMPLE_FLOATS // width)).select("payload").collect()
     sample = np.frombuffer(b"".join(bytes(r[0]) for r in some), dtype=number).reshape(-1, width).astype(np.float64)
-    centre, matrix = learn(_unit(sample), bits * tables)
+    bits, tables, centre, matrix = plan(_unit(sample), total, cosine, recall)
     shared = spark.sparkContext.broadcast((centre, matrix))
     weights = 1 << np.arange(bits, dtype=np.int64)
 

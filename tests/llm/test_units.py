@@ -281,3 +281,25 @@ def test_training_without_both_classes():
 
 def test_crc_of_ids():
     assert zlib.crc32(b"7") % 4 in range(4)
+
+
+@pytest.mark.parametrize("common", [0.0, 0.8, 0.9, 0.97])
+def test_embedding_links_with_a_common_component(spark, common):
+    rng = np.random.default_rng(12)
+    mean = np.eye(32)[0] * common
+    spread = lambda v: mean + np.sqrt(1 - common**2) * np.pad(itq._unit(v), ((0, 0), (1, 0)))
+    noise = rng.standard_normal((1600, 31))
+    x = spread(noise)
+    # partners of the first 400 in the same cloud, at a cosine of 0.90 to 0.93
+    least = 1 - (1 - rng.uniform(0.9, 0.93, 400)) / (1 - common**2)
+    v = itq._unit(noise[:400])
+    away = rng.standard_normal((400, 31))
+    away = itq._unit(away - (away * v).sum(axis=1)[:, None] * v)
+    turn = np.maximum(least, -1)[:, None]
+    x = np.concatenate([x, spread(turn * v + np.sqrt(1 - turn**2) * away)]).astype(np.float32)
+    y = itq._unit(x.astype(np.float64))
+    true = (y @ y.T >= 0.9).sum(axis=1) - 1
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in itq.near_duplicates(frame).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= true).all() and found.sum() >= 0.95 * true.sum() and true.sum() >= 700
