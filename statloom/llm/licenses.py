@@ -32,14 +32,45 @@ PHRASES = {
 TEMPLATES = {
     "mit-text": """<<beginOptional>>Copyright <<beginOptional>>(c)<<endOptional>> <<var;name=holder;words=0-12>><<endOptional>>
         Permission is hereby granted, free of charge, to any person obtaining a copy of
-        <<var;name=software;words=1-8>> and associated documentation files, to deal in the software without restriction,
-        including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
-        copies of the software""",
+        <<var;name=software;words=1-8>> and associated documentation files
+        (the "Software"), to deal in the Software
+        without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute,
+        sublicense, and/or sell copies of the Software, and to permit persons to whom the
+        Software is furnished to do so, subject to the following conditions:
+        The above copyright notice and this permission notice
+        <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions
+        of the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT
+        NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+        NONINFRINGEMENT. IN NO EVENT SHALL <<var;name=holder;words=1-12>> BE LIABLE FOR ANY CLAIM, DAMAGES
+        OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH
+        THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
     "isc-text": """Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any
         purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice
-        appear in all copies""",
+        appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND <<var;name=holder;words=1-12>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+        INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;name=holder;words=1-12>> BE
+        LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF
+        USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+        CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
     "bsd-text": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
-        that the following conditions are met""",
+        that the following conditions are met:
+        <<var;name=bullet;words=0-1>> Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer.
+        <<var;name=bullet;words=0-1>> Redistributions in binary form must reproduce the above copyright notice, this list of
+        conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+        <<beginOptional>><<var;name=bullet;words=0-1>> All advertising materials mentioning features or use of this software
+        must display the following acknowledgement: This product includes software developed by
+        <<var;name=holder;words=1-20>>.<<endOptional>>
+        <<beginOptional>><<var;name=bullet;words=0-1>> Neither the name of <<var;name=holder;words=1-20>> may be used to endorse
+        or promote products derived from this software without specific prior written permission.<<endOptional>>
+        THIS SOFTWARE IS PROVIDED BY <<var;name=holder;words=1-20>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT
+        NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO
+        EVENT SHALL <<var;name=holder;words=1-20>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+        CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA,
+        OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+        LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF
+        ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "apache-notice": """Licensed under the Apache License, <<beginOptional>>Version 2.0<<endOptional>>
         <<beginOptional>>(the "License")<<endOptional>>""",
     "gpl-notice": """<<var;name=program;words=1-6>> is free software<<beginOptional>>:<<endOptional>> you can redistribute it
@@ -57,7 +88,18 @@ TEMPLATES = {
         <<var;name=family;words=0-6>> Attribution <<var;name=kind;words=0-5>> License""",
     "cc-by-version": """CC BY <<beginOptional>>NC<<endOptional>> <<beginOptional>>SA<<endOptional>>
         <<beginOptional>>ND<<endOptional>> 4.0""",
-    "unlicense-text": """This is free and unencumbered software released into the public domain""",
+    "unlicense-text": """This is free and unencumbered software released into the public domain.
+        Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+        as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+        In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+        interest in the software to the public domain. We make this dedication for the benefit of the public at large and to
+        the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in
+        perpetuity of all present and future rights to this software under copyright law.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+        OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+        <<beginOptional>>For more information, please refer to <<var;name=address;words=1-6>><<endOptional>>""",
     "mpl-notice": """This Source Code Form is subject to the terms of the Mozilla Public License""",
 }
 
