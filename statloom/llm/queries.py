@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import bpe, chunks, itq, licenses, packing, simhash, sketch, subword, urlrules, warc
+from statloom.llm import bpe, chunks, itq, licenses, ngramrules, packing, runs, simhash, sketch, subword, urlrules, warc
 from statloom.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -65,6 +65,43 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(read(spark, folder, "documents"), vocabulary_path())
 
 
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    return ngramrules.judged(documents, ngramrules.fit(documents, read(spark, folder, "labels")))
+
+
+def with_period(documents: DataFrame) -> DataFrame:
+    """``(doc_id, text)``: the tail of every tenth text, chosen by crc32 of its id, repeats its first words."""
+    rows = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    marked = (F.col("h") % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    found = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    rows = rows.select("doc_id", "text", F.when(marked, found).alias("words"), F.floor(F.col("h") / 10).alias("g"))
+    at = F.col("g") % F.size("words")
+    rows = rows.select("*", at.cast("int").alias("a"), (3 + F.col("g") % 8).cast("int").alias("times"))
+    period = 1 + F.floor((F.size("words") - F.col("a")) / F.col("times"))
+    rows = rows.withColumn("p", F.when(F.col("words").isNotNull(), period.cast("int")))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.col("times")))
+    changed = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), again), F.lit(1), F.size("words"))
+    return rows.select("doc_id", F.when(F.col("words").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(with_period(read(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    found = found.select("*", lines.alias("lines"), longest.alias("longest"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("(1000 * longest.length) div (-longest.period)").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -78,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sketch,
         op9_warc,
         op10_bpe,
+        op11_quality_rules,
+        op13_periodic_runs,
     )
 }
 
