@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import bpe, chunks, itq, licenses, ngramrules, packing, runs, simhash, sketch, subword, urlrules, warc
+from statloom.llm import bpe, chunks, collocations, itq, licenses, ngramrules, packing, runs, simhash, sketch, subword, urlrules, warc
 from statloom.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -70,6 +70,10 @@ def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return ngramrules.judged(documents, ngramrules.fit(documents, read(spark, folder, "labels")))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read(spark, folder, "documents"))
+
+
 def with_period(documents: DataFrame) -> DataFrame:
     """``(doc_id, text)``: the tail of every tenth text, chosen by crc32 of its id, repeats its first words."""
     rows = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_warc,
         op10_bpe,
         op11_quality_rules,
+        op12_collocations,
         op13_periodic_runs,
     )
 }
@@ -151,4 +156,30 @@ ORACLE: dict[str, str] = {
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id <> response THEN response END AS refers_to, TRUE AS verified
         FROM d JOIN g USING (hex_digest)""",
+    "op12_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents),
+        worded AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+        spans AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, range(1, 6) AS lengths(k)),
+        often AS (
+            SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+            FROM spans GROUP BY ALL HAVING count(*) >= 100),
+        cuts AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM often WHERE k > 1),
+        scored AS (
+            SELECT c.lang, c.k, c.phrase, a, x.f AS l, y.f AS r, n, j, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+            FROM cuts c JOIN totals USING (lang)
+            JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+            JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1 : c.k], ' ')),
+        best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS p FROM scored),
+        longer AS (
+            SELECT lang, unnest([array_to_string(string_split(phrase, ' ')[1 : k - 1], ' '), array_to_string(string_split(phrase, ' ')[2:k], ' ')]) AS phrase, f
+            FROM often WHERE k > 2),
+        kept AS (
+            SELECT * FROM best b WHERE p = 1 AND NOT EXISTS (
+                SELECT 1 FROM longer z WHERE z.lang = b.lang AND z.phrase = b.phrase AND 100 * z.f >= 100 * b.a)),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000""",
 }
