@@ -5,6 +5,10 @@ blocks by a hash of the row, and every pair of blocks is a unit of work of its o
 more than two blocks and no pair of rows is missed. What leaves a unit grows with its rows, not with
 its pairs: for every row the number of rows it is linked with (each pair counted in the first table
 that brings it together), and one link to the smallest row that it hangs together with in the unit.
+
+Where only the links' components matter, a crowded bucket begins with its smallest row, the leader: every
+row is compared with it, and of two rows that are linked with it nothing is left to find. Pairs are
+compared only where one of the two isn't, so a bucket of one template costs as much as it has rows.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from pyspark.sql import functions as F
 from statloom.llm.common import settle, share_package
 
 BLOCK = 512
+SQUARE, LED, CROSS = 0, 1, 2  # units: two blocks of a bucket, a leader and a block, rows apart from it and a block
+ROW = ("rep", "mult", "payload", "codes")
 
 Decide = Callable[[np.ndarray, np.ndarray], np.ndarray]  # rows of bytes a, b -> boolean matrix
 
@@ -62,43 +68,75 @@ def _unit(rep, mult, payload, codes, first, table: int, decide: Decide) -> tuple
     return rep[touched], count[touched].astype(np.int64), root[touched]
 
 
-def linked(rows: DataFrame, decide: Decide, block: int = BLOCK, varied: bool = False) -> DataFrame:
+def linked(rows: DataFrame, decide: Decide, block: int = BLOCK) -> DataFrame:
     """``(rep, n, root)`` parts from ``rows(rep long, mult long, payload binary, codes array<int>)``.
 
     ``codes`` are a row's keys, one per table; all rows have as many, and payloads of one length.
-    If they are ``varied`` in length, ``decide`` gets arrays of bytes objects, and rows alone under a key stay where they are.
     The sum of ``n`` by ``rep`` is the weight of the rows linked with it; the links ``rep - root`` join
     whatever is linked. ``rep`` is distinct.
     """
-    spark = rows.sparkSession
-    share_package(spark)
-    keyed = rows.select("rep", F.posexplode("codes").alias("t", "key"))
+    share_package(rows.sparkSession)
     whole = rows.select("rep", "mult", "payload", "codes", F.posexplode("codes").alias("t", "key"))
-    if varied:  # payloads may be large, and most rows meet others in few tables
-        shared = keyed.groupBy("t", "key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high")
-        meets = keyed.join(shared, ["t", "key"]).groupBy("rep").agg(F.collect_set("t").alias("tables"))
-        whole = rows.join(settle(meets, "meets"), "rep").select("rep", "mult", "payload", "codes", F.explode("tables").alias("t"))
-        whole = whole.withColumn("key", F.expr("codes[t]"))
-    crowded = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    crowded = whole.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > block)
     crowded = crowded.select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     # written first, so that its size is known: the rows move for the join only if it is large
     crowded = settle(crowded, "crowded")
     dealt = whole.join(crowded, ["t", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    return _compared(_squared(dealt), decide, varied=False)
+
+
+def joined(rows: DataFrame, decide: Decide, block: int = BLOCK) -> DataFrame:
+    """``(rep, root)`` links that join whatever is linked, from ``rows`` as in ``linked``.
+
+    Payloads may differ in length; ``decide`` gets arrays of bytes objects. Rows alone under a key stay
+    where they are.
+    """
+    share_package(rows.sparkSession)
+    keyed = rows.select("rep", F.posexplode("codes").alias("t", "key"))
+    # payloads may be large, and most rows meet others in few tables
+    shared = keyed.groupBy("t", "key").agg(F.min("rep").alias("leader"), F.max("rep").alias("high"), F.count("*").alias("n"))
+    shared = settle(shared.where("leader <> high").drop("high"), "shared-keys")
+    meets = keyed.join(shared, ["t", "key"]).groupBy("rep").agg(F.collect_list(F.struct("t", "key", "leader", "n")).alias("keys"))
+    whole = rows.join(settle(meets, "meets"), "rep").select("rep", "mult", "payload", "codes", F.expr("inline(keys)"))
+    calm = _compared(_squared(whole.where(F.col("n") <= block).withColumn("blocks", F.lit(1))), decide, varied=True).select("rep", "root")
+    crowds = shared.where(F.col("n") > block)
+    if crowds.isEmpty():
+        return calm
+    members = whole.where(F.col("n") > block).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    leads = F.col("rep") == F.col("leader")
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    places = F.when(leads, F.expr("sequence(0, blocks - 1)")).otherwise(F.array(own))
+    led = members.withColumn("low", F.explode(places)).select("t", "key", F.lit(LED).alias("kind"), "low", F.lit(-1).alias("high"), leads.alias("first"), *ROW)
+    led = settle(_compared(led, decide, varied=True).select("rep", "root"), "led")
+    within = keyed.join(crowds, ["t", "key"]).where("rep <> leader")
+    found = led.select("rep", F.col("root").alias("leader"), F.lit(True).alias("found"))
+    apart = settle(within.join(found, ["rep", "leader"], "left_anti").select("t", "key", "rep"), "apart")
+    sizes = settle(apart.groupBy("t", "key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts")), "apart-sizes")
+    if sizes.isEmpty():
+        return calm.unionByName(led)
+    left = members.join(sizes, ["t", "key"]).join(apart.withColumn("apart", F.lit(True)), ["t", "key", "rep"], "left")
+    out, rest = left.where("apart"), left.where("apart is null")
+    among = _squared(out.withColumn("blocks", F.col("parts")))
+    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    sent = out.withColumn("high", F.explode(F.expr("sequence(0, blocks - 1)"))).select("t", "key", F.lit(CROSS).alias("kind"), part.alias("low"), "high", F.lit(True).alias("first"), *ROW)
+    met = rest.withColumn("low", F.explode(F.expr("sequence(0, parts - 1)"))).select("t", "key", F.lit(CROSS).alias("kind"), "low", own.alias("high"), F.lit(False).alias("first"), *ROW)
+    more = _compared(among.unionByName(sent).unionByName(met), decide, varied=True).select("rep", "root")
+    return calm.unionByName(led).unionByName(more)
+
+
+def _squared(dealt: DataFrame) -> DataFrame:
+    """Units of all pairs of blocks of a bucket, of which there are ``blocks``."""
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    units = dealt.select(
-        "t",
-        "key",
-        F.least("own", "other").alias("low"),
-        F.greatest("own", "other").alias("high"),
-        (F.col("own") <= F.col("other")).alias("first"),
-        "rep",
-        "mult",
-        "payload",
-        "codes",
-    )
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    units = units.repartition(ranges, "t", "key", "low", "high").sortWithinPartitions("t", "key", "low", "high")
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    return dealt.select("t", "key", F.lit(SQUARE).alias("kind"), low, high, (F.col("own") <= F.col("other")).alias("first"), *ROW)
+
+
+def _compared(units: DataFrame, decide: Decide, varied: bool) -> DataFrame:
+    """The counts and links of all units; a unit is what agrees in its first five columns."""
+    unit = ["t", "key", "kind", "low", "high"]
+    ranges = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = units.repartition(ranges, *unit).sortWithinPartitions(*unit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -114,7 +152,7 @@ def linked(rows: DataFrame, decide: Decide, block: int = BLOCK, varied: bool = F
                 yield out
 
     def work(table: pa.Table, last: bool) -> tuple[pa.RecordBatch | None, pa.Table]:
-        marks = [table.column(c).to_numpy() for c in ("t", "key", "low", "high")]
+        marks = [table.column(c).to_numpy() for c in unit]
         change = np.zeros(table.num_rows, dtype=bool)
         for m in marks:
             change[1:] |= m[1:] != m[:-1]
@@ -132,8 +170,10 @@ def linked(rows: DataFrame, decide: Decide, block: int = BLOCK, varied: bool = F
                 values = part.column("payload").to_pylist()
                 payload = np.array([*values, None], dtype=object)[:-1] if varied else np.frombuffer(b"".join(values), dtype=np.uint8).reshape(e - s, -1)
                 codes = part.column("codes").combine_chunks().flatten().to_numpy().reshape(e - s, -1)
-                within = marks[2][s] == marks[3][s]
-                got = _unit(rep[s:e], mult[s:e], payload, codes, None if within else first[s:e], int(marks[0][s]), decide)
+                within = marks[2][s] == SQUARE and marks[3][s] == marks[4][s]
+                # a leader's links all count: they say who needn't be compared with others
+                table_of = 0 if marks[2][s] == LED else int(marks[0][s])
+                got = _unit(rep[s:e], mult[s:e], payload, codes, None if within else first[s:e], table_of, decide)
                 if got is not None:
                     found.append(got)
         out = None

@@ -20,12 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statloom.llm.common import arrow_rows, col, settle, share_package
+from statloom.llm.common import arrow_rows, col, settle, share_package, told_apart
 
 WINDOW = 16  # bytes the hash depends on
 SPREAD = 3  # words on either side that a cut's hash is compared with
 UNIT = 64  # bytes of a word; longer ones may be cut inside
 MOST = 24  # words of a chunk
+KEY = "_statloom_document"
 MIN_WORDS = 24  # of a repeated run: a passage of 50 words less the chunks cut by its two ends
 
 _BLANK = np.zeros(256, dtype=bool)
@@ -116,9 +117,25 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
 
     ``start`` and ``length`` are bytes of the UTF-8 text; ``first_doc`` is the smallest doc_id that holds
     the span's first chunk. A document keeps the chunks that it holds first; a span never mixes kept
-    and removable chunks. Repeats inside one document, and rows that repeat a doc_id, aren't repeats
-    across documents.
+    and removable chunks. Repeats inside one document, and in rows equal in doc_id and text, aren't
+    repeats across documents. Different texts with one doc_id are different documents, as are all rows
+    with a NULL doc_id; they come behind all others, and their spans bear their doc_id.
     """
+    keyed = told_apart(df, KEY, id_col, text_col)
+    spans = _repeats(keyed, KEY, text_col, min_words)
+    names = keyed.where(~col(id_col).cast("long").eqNullSafe(F.col(KEY))).select(F.col(KEY).alias("doc_id"), col(id_col).cast("long").alias("own")).distinct()
+    names = settle(names, "names")
+    if names.isEmpty():
+        return spans
+    first = names.select(F.col("doc_id").alias("first_doc"), F.col("own").alias("own_first"), F.lit(True).alias("renamed_first"))
+    spans = spans.join(names.withColumn("renamed", F.lit(True)), "doc_id", "left").join(first, "first_doc", "left")
+    doc_id = F.when(F.col("renamed"), F.col("own")).otherwise(F.col("doc_id")).alias("doc_id")
+    first_doc = F.when(F.col("renamed_first"), F.col("own_first")).otherwise(F.col("first_doc")).alias("first_doc")
+    return spans.select(doc_id, "start", "length", "words", first_doc, "kept")
+
+
+def _repeats(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """The spans under a key that tells all documents apart."""
     rows = chunks(df, id_col, text_col)
     held = rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
     held = held.where("first_doc <> last_doc").drop("last_doc")
@@ -154,9 +171,10 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``df`` with repeated passages removed from all but their first holder; columns stay.
 
     Untouched texts stay as they are, NULL and empty ones included; a row whose words are all held
-    elsewhere goes. All rows of a repeated doc_id lose the spans found for it.
+    elsewhere goes. Documents are told apart as in ``repeats``: a text loses its own spans only.
     """
-    spans = repeats(df, id_col, text_col, min_words).where("not kept")
+    keyed = told_apart(df, KEY, id_col, text_col)
+    spans = _repeats(keyed, KEY, text_col, min_words).where("not kept")
     listed = settle(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("spans")), "repeats")
     # names of our own: df may have columns called alike
     own_id, own_spans = "_statloom_id", "_statloom_spans"
@@ -166,9 +184,9 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     @F.pandas_udf("string")
     def edited(texts: pd.Series, lists: pd.Series) -> pd.Series:
         pairs = zip(texts, lists)
-        return pd.Series([cut_out(t, [(s["start"], s["length"]) for s in found]).decode("utf-8", "replace") for t, found in pairs], dtype=object)
+        return pd.Series([cut_out(t, [(s["start"], s["length"]) for s in found]).decode() for t, found in pairs], dtype=object)
 
-    touched = df.join(listed, col(id_col).cast("long") == F.col(own_id))
-    rest = df.join(listed, col(id_col).cast("long") == F.col(own_id), "left_anti")
+    touched = keyed.join(listed, F.col(KEY) == F.col(own_id))
+    rest = keyed.join(listed, F.col(KEY) == F.col(own_id), "left_anti").select(*[col(c) for c in df.columns])
     changed = touched.withColumn(text_col, edited(col(text_col).cast("binary"), F.col(own_spans)))
     return rest.unionByName(changed.where(col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*[col(c) for c in df.columns]))

@@ -12,7 +12,7 @@ from statloom.session import settle, share_package, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-__all__ = ["arrow_rows", "checkpointed", "col", "read", "settle", "share_package", "text_rows", "work_dir"]
+__all__ = ["arrow_rows", "checkpointed", "col", "give_back", "read", "settle", "share_package", "text_rows", "told_apart", "work_dir"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -46,6 +46,48 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def told_apart(df: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with a long column ``name`` that tells documents apart, also where ids don't.
+
+    It is the id where one text bears it; rows equal in id and text are one document and share it. Where
+    different texts bear an id, and where it is NULL, every row (every NULL) or every text (the others) gets a number
+    of its own beyond all ids. Those rows are written first, so that their numbers stay.
+    """
+    if name in df.columns:
+        raise ValueError(f"{name} is a column already")
+    own = col(id_col).cast("long")
+    text = F.coalesce(col(text_col).cast("string"), F.lit(""))
+    hashes = [F.xxhash64(text), F.xxhash64(F.lit(1), text)]  # with different seeds
+    ids = df.select(own.alias("i"), hashes[0].alias("x"), hashes[1].alias("y"))
+    facts = ids.groupBy("i").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in "xy"])
+    several = settle(facts.where("i is null or min_x <> max_x or min_y <> max_y").select("i"), "shared-ids")
+    if several.isEmpty():
+        return df.withColumn(name, own)
+    shared = several.where("i is not null").withColumnRenamed("i", "_statloom_shared")
+    alone = df.join(shared, own == F.col("_statloom_shared"), "left_anti").where(own.isNotNull()).withColumn(name, own)
+    last = ids.agg(F.max("i")).first()[0] or 0
+    unnamed = df.where(own.isNull()).withColumn("_statloom_text", F.monotonically_increasing_id())
+    named = df.join(shared, own == F.col("_statloom_shared"), "left_semi").withColumn("_statloom_text", F.lit(None).cast("long"))
+    rows = settle(unnamed.unionByName(named).withColumn("_statloom_x", hashes[0]).withColumn("_statloom_y", hashes[1]), "shared-id-rows")
+    key = [own.alias("i"), F.col("_statloom_x").alias("x"), F.col("_statloom_y").alias("y"), F.col("_statloom_text").alias("t")]
+    numbers = settle(rows.select(*key).distinct().withColumn("number", F.lit(last + 1) + F.monotonically_increasing_id()), "row-numbers")
+    same = own.eqNullSafe(F.col("i")) & (F.col("_statloom_x") == F.col("x")) & (F.col("_statloom_y") == F.col("y")) & F.col("_statloom_text").eqNullSafe(F.col("t"))
+    numbered = rows.join(numbers, same).select(*[col(c) for c in df.columns], F.col("number").alias(name))
+    return alone.unionByName(numbered)
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system, where its allocators can."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that ``column`` holds about ``most`` bytes a slice (one row at least).
 

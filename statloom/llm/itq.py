@@ -134,23 +134,38 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     Links join vectors found with a cosine of at least ``cosine``; none joins vectors below it.
     ``n_links`` counts the other rows linked directly, ``component_id`` is the smallest vec_id
-    reachable, ``kept`` says that it is the row's own. Vectors that are NULL, zero, hold NULL or
-    non-finite components or have another length than most (among equally many the longer) link with
-    nothing, nor do rows with a NULL vec_id, whose component is NULL and which aren't kept. Equal
+    reachable, ``kept`` says that it is the row's own. Vectors of different lengths have no cosine; every
+    length is indexed on its own. Vectors that are NULL, zero, or hold NULL or non-finite components link
+    with nothing, nor do rows with a NULL vec_id, whose component is NULL and which aren't kept. Equal
     vectors are compared once and count as often as they occur. An empty table gives no rows.
     """
-    spark = df.sparkSession
     wide = isinstance(df.schema[vector_col].dataType, T.ArrayType) and isinstance(df.schema[vector_col].dataType.elementType, T.DoubleType)
     kind = "double" if wide else "float"
     fine = "v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(v, x -> x <> 0)"
     rows = df.select(col(id_col).cast("long").alias("vec_id"), col(vector_col).cast(f"array<{kind}>").alias("v"))
     good = rows.where("vec_id is not null").where(F.expr(fine))
-    lengths = good.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("size")).limit(1).collect()
-    if not lengths:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    width = lengths[0]["size"]
-    good = good.where(F.size("v") == width)
     number = np.dtype("<f8" if wide else "<f4")
+    joint = F.coalesce(F.col("vec_id").isNotNull() & F.expr(fine), F.lit(False))
+    out = rows.where(~joint).select("vec_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
+    # a row per length; a vector that is alone with its length has no partner
+    lengths = {r["size"]: r["n"] for r in good.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).collect()}
+    single = [size for size, n in lengths.items() if n == 1]
+    if single:
+        out = out.unionByName(good.where(F.size("v").isin(single)).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
+    for width in sorted(size for size, n in lengths.items() if n > 1):
+        out = out.unionByName(_of_length(good.where(F.size("v") == width), width, number, cosine, recall))
+    component = F.coalesce("component_id", "vec_id")
+    return out.select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
+    )
+
+
+def _of_length(good: DataFrame, width: int, number: np.dtype, cosine: float, recall: float) -> DataFrame:
+    """``(vec_id, n_links, component_id)`` of sound vectors ``(vec_id, v)`` of one length; NULL without links."""
+    spark = good.sparkSession
 
     def packed(batch):
         values = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(number).reshape(-1, width)
@@ -161,9 +176,14 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     distinct = whole.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"), F.first("payload").alias("payload"))
     distinct = settle(distinct, "distinct-vectors")
     total = distinct.count()
-    # the sample is bounded by its numbers; every vector is indexed
-    some = distinct.orderBy(F.xxhash64("digest"), "digest").limit(max(256, SAMPLE_FLOATS // width)).select("payload").collect()
-    sample = np.frombuffer(b"".join(bytes(r[0]) for r in some), dtype=number).reshape(-1, width).astype(np.float64)
+    # every vector is indexed; the sample is bounded by its numbers, and so is what is moved for it:
+    # rows whose hash lies below a share of the range, about as many as wanted whatever the partitions
+    wanted = max(256, SAMPLE_FLOATS // width)
+    below = F.lit(min(1.0, wanted / max(1, total)) * 2.0**32)
+    some = distinct.where(F.shiftrightunsigned(F.xxhash64("digest"), 32) < below).select("digest", "payload").toArrow().sort_by("digest")
+    if some.num_rows < 2:
+        some = distinct.select("digest", "payload").limit(2).toArrow().sort_by("digest")
+    sample = np.frombuffer(b"".join(some.column("payload").to_pylist()), dtype=number).reshape(-1, width).astype(np.float64)
     bits, tables, centre, matrix = plan(_unit(sample), total, cosine, recall)
     shared = spark.sparkContext.broadcast((centre, matrix))
     weights = 1 << np.arange(bits, dtype=np.int64)
@@ -193,16 +213,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     found = found.where("mult > 1 or n is not null").select(
         "digest", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
     )
-    answers = whole.select("vec_id", "digest").join(found, "digest", "left").select("vec_id", "n_links", "component_id")
-    alone = rows.where(~F.coalesce((F.col("vec_id").isNotNull()) & F.expr(fine) & (F.size("v") == width), F.lit(False)))
-    out = answers.unionByName(alone.select("vec_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id")))
-    component = F.coalesce("component_id", "vec_id")
-    return out.select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
-    )
+    return whole.select("vec_id", "digest").join(found, "digest", "left").select("vec_id", "n_links", "component_id")
 
 
 def _unit(x: np.ndarray) -> np.ndarray:

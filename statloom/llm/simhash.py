@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.blocks import linked
+from statloom.llm.blocks import joined
 from statloom.llm.common import arrow_rows, col, settle
 from statloom.llm.graph import components
 
@@ -250,8 +250,8 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     held = arrow_rows(texts, "doc_id long, digest binary, payload binary", sets, "text")
     held = held.groupBy("doc_id", "digest").agg(F.first("payload").alias("payload")).withColumnRenamed("doc_id", "rep")
     candidates = settle(distinct.join(held, ["rep", "digest"]).select("rep", F.lit(1).cast("long").alias("mult"), "payload", "codes"), "candidates")
-    parts = linked(candidates, lambda a, b: alike(a, b, similarity), varied=True)
-    joined = components(parts.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    parts = settle(joined(candidates, lambda a, b: alike(a, b, similarity)), "alike")
+    hang = components(parts.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     first = prints.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    found = first.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    found = first.join(hang.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return prints.select("doc_id", "digest").join(found, "digest").select("doc_id", "component_id")

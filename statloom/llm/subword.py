@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import arrow_rows, col, share_package
+from statloom.llm.common import arrow_rows, col, give_back, share_package
 
 BUCKETS = 1 << 18
 WIDTH = 8
@@ -177,7 +177,10 @@ def fit(
     ]
     labels_of = got.column("label").to_pylist()
     del got, buckets, counts
-    return train(documents, labels_of)
+    model = train(documents, labels_of)
+    del documents
+    give_back()
+    return model
 
 
 def scorer(df: DataFrame, model: Model):
