@@ -24,10 +24,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statloom.llm.common import col, settle, share_package, slices
+from statloom.llm.common import col, give_back, settle, share_package, slices
 from statloom.llm.doublearray import build
 from statloom.llm.tokens import Words, byte_set, words
 
@@ -204,39 +205,57 @@ def candidates(rows: DataFrame, frequent, bits, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, "lang string, phrase string, size long").distinct()
 
 
-def trie_counts(rows: DataFrame, phrases: pa.Table) -> DataFrame:
-    """``(lang, phrase, size, f)``: exact counts of the given phrases, those found at all."""
+def _digits(numbers: int) -> list[int]:
+    """The shifts of the bytes of numbers below ``numbers``, the highest first."""
+    return list(range(8 * ((max(1, numbers - 1).bit_length() + 7) // 8 - 1), -1, -8))
+
+
+def trie_counts(rows: DataFrame, phrases: pa.Table) -> tuple[DataFrame, Broadcast]:
+    """``(lang, phrase, size, f)``: exact counts of the given phrases, those found at all; and the broadcast trie."""
     languages = phrases.column("lang").combine_chunks().dictionary_encode()
     split = pc.split_pattern(phrases.column("phrase").combine_chunks(), " ")
-    coded = split.flatten().dictionary_encode()
+    flat = split.flatten()
+    counted = flat.value_counts()  # frequent words get small numbers: their digits are shared by many
+    vocabulary = counted.field("values").take(pc.sort_indices(counted.field("counts"), sort_keys=[("", "descending")]))
+    word_numbers = pc.index_in(flat, value_set=vocabulary).to_numpy()
     sizes = pc.list_value_length(split).to_numpy()
-    paths = np.full((len(split), LONGEST + 1), -1, dtype=np.int64)
-    paths[:, 0] = languages.indices.to_numpy() + len(coded.dictionary)
+    numbers = np.full((len(split), LONGEST + 1), -1, dtype=np.int64)
+    numbers[:, 0] = languages.indices.to_numpy() + len(vocabulary)
     row = np.repeat(np.arange(len(sizes)), sizes)
-    paths[row, 1 + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = coded.indices.to_numpy()
+    numbers[row, 1 + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = word_numbers
+    # a language or word is its number's digits, so that a state has few symbols and the array few gaps
+    digits = _digits(len(vocabulary) + len(languages.dictionary))
+    paths = np.stack([np.where(numbers < 0, -1, numbers >> shift & 0xFF) for shift in digits], axis=2).reshape(len(split), -1)
     listed = phrases.select(["lang", "phrase", "size"]).combine_chunks()
-    shared = rows.sparkSession.sparkContext.broadcast((build(paths), coded.dictionary, languages.dictionary, listed))
+    shared = rows.sparkSession.sparkContext.broadcast((build(paths), vocabulary, languages.dictionary, listed))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, vocabulary, known, listed = shared.value
+        digits = _digits(len(vocabulary) + len(known))
+
+        def further(state: np.ndarray, number: np.ndarray) -> np.ndarray:
+            for shift in digits:
+                state = np.where(state >= 0, trie.step(np.maximum(state, 0), np.where(number < 0, -1, number >> shift & 0xFF)), -1)
+            return state
+
         total = np.zeros(len(listed), dtype=np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
                 w, beside = _read(part)
                 if not len(w.number):
                     continue
-                symbols = pc.fill_null(pc.index_in(w.names.cast(pa.large_string()).cast(vocabulary.type), value_set=vocabulary), -1).to_numpy()[w.number]
+                symbols = pc.fill_null(pc.index_in(w.names.cast(pa.large_string()).cast(vocabulary.type), value_set=vocabulary), -1).to_numpy()[w.number].astype(np.int64)
                 own = pc.fill_null(pc.index_in(part.column("lang").cast(known.type), value_set=known), -1).to_numpy().astype(np.int64)
                 own[own >= 0] += len(vocabulary)
                 place = np.arange(len(symbols))
-                state = trie.step(np.zeros(len(symbols), dtype=np.int64), own[w.doc])
+                state = further(np.zeros(len(symbols), dtype=np.int64), own[w.doc])
                 for k in range(LONGEST):
                     alive = state >= 0
                     if k:  # the next word has to stand in the same piece
                         alive &= place + k < len(symbols)
                         alive &= beside[np.minimum(place + k - 1, len(symbols) - 1)]
                     place = place[alive]
-                    state = trie.step(state[alive], symbols[place + k])
+                    state = further(state[alive], symbols[place + k])
                     ended = trie.accept[state[state >= 0]]
                     total += np.bincount(ended[ended >= 0], minlength=len(total))
             pa.default_memory_pool().release_unused()
@@ -247,7 +266,7 @@ def trie_counts(rows: DataFrame, phrases: pa.Table) -> DataFrame:
             yield from found.to_batches()
 
     counts = rows.mapInArrow(count, "lang string, phrase string, size long, f long")
-    return counts.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+    return counts.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")), shared
 
 
 def frequent_phrases(rows: DataFrame, single: DataFrame, n_words: int, least: int, most: int = MOST) -> DataFrame:
@@ -262,7 +281,10 @@ def frequent_phrases(rows: DataFrame, single: DataFrame, n_words: int, least: in
     counted = []
     for trie in range(tries):
         own = found.where(F.expr(f"pmod(xxhash64(lang, phrase), {tries}) = {trie}")) if tries > 1 else found
-        counted.append(settle(trie_counts(rows, own.toArrow()).where(F.col("f") >= least), "counted"))
+        counts, shared = trie_counts(rows, own.toArrow())
+        counted.append(settle(counts.where(F.col("f") >= least), "counted"))
+        shared.destroy()  # the counts are written
+        give_back()
     return reduce(DataFrame.unionByName, counted)
 
 

@@ -1,6 +1,7 @@
 """A trie of word sequences as a double array, stepped for many states at once.
 
 A state ``s`` goes on with symbol ``c`` to ``base[s] + c`` if ``check`` there names ``s`` as its parent.
+Symbols are below ``SYMBOLS``; larger numbers are written as several of them.
 """
 
 from __future__ import annotations
@@ -9,8 +10,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
-_TRIES = 256  # places tested at once for a node's children
-_ROUNDS = 16  # of them, before its children go behind all others
+SYMBOLS = 1 << 8
+_TRIED = 1 << 10  # places tested at once for a node's children
+_ROUNDS = 64  # of them, before its children go behind all others
 
 
 @dataclass
@@ -32,34 +34,35 @@ def _places(symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple
     free = np.ones(1 << 16, dtype=bool)
     free[0] = False
     top = 1  # slots from here on are all free
-    lowest = 1
 
     def grown(size: int) -> None:
         nonlocal free
         if size > len(free):
             free = np.concatenate([free, np.ones(max(size - len(free), len(free)), dtype=bool)])
 
+    last: dict[int, int] = {}  # where the last node with so many children went
     for node in np.argsort(-sizes, kind="stable")[: int((sizes > 1).sum())].tolist():
         own = symbols[begins[node] : begins[node] + sizes[node]]
-        base, at = None, lowest
+        grown(top + 2 * SYMBOLS + _TRIED)
+        base, at = top - int(own[0]), last.get(len(own), 1)
+        offsets = own - own[0]
         for _ in range(_ROUNDS):
-            slots = np.flatnonzero(free[at : at + 4 * _TRIES])[:_TRIES] + at
-            if at >= top or not len(slots):
+            if at >= top:
                 break
-            grown(int(slots[-1] + own[-1] - own[0]) + 1)
-            fits = free[(slots - own[0])[:, None] + own].all(axis=1)
-            if fits.any():
-                base = int(slots[fits.argmax()] - own[0])
+            fits = free[at : at + _TRIED].copy()
+            for shift in offsets[1:].tolist():
+                fits &= free[at + shift : at + shift + _TRIED]
+                if not fits.any():
+                    break
+            first = int(fits.argmax())
+            if fits[first]:
+                base = at + first - int(own[0])
                 break
-            at = int(slots[-1]) + 1
-        if base is None:
-            base = top - int(own[0])
-        grown(base + int(own[-1]) + 1)
+            at += _TRIED
+        last[len(own)] = base + int(own[0])
         free[base + own] = False
         top = max(top, base + int(own[-1]) + 1)
         bases[node] = base
-        while lowest < top and not free[lowest]:
-            lowest += 1
     single = np.flatnonzero(sizes == 1)
     grown(top + len(single))
     slots = np.flatnonzero(free[:top])[: len(single)]

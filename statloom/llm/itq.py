@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statloom.llm.blocks import linked
+from statloom.llm.blocks import BLOCK, linked
 from statloom.llm.common import arrow_rows, col, settle
 from statloom.llm.graph import components
 
@@ -102,6 +102,8 @@ def plan(sample: np.ndarray, vectors: int, cosine: float, recall: float) -> tupl
     """Bits, tables, centre and matrix that have the wanted recall on pairs of the sample; no bits: all rows meet."""
     bits, tables = sizes(vectors, cosine, recall)
     centre, matrix = learn(sample, bits * tables)
+    if vectors <= BLOCK:  # one block: all pairs cost no more than a table
+        return 0, 1, centre, matrix[:, :0]
     tried = pairs(sample, centre, cosine)
     if not tried or measured(tried, centre, matrix, bits) >= recall:
         return bits, tables, centre, matrix

@@ -81,7 +81,7 @@ def test_products_beyond_64_bits(spark):
 @pytest.mark.parametrize("seed", range(6))
 def test_double_array(seed):
     rng = np.random.default_rng(seed)
-    symbols, n = [3, 50, 5000, 2, 400, 7][seed], [30, 400, 3000, 1, 2000, 0][seed]
+    symbols, n = [3, 50, 254, 2, 200, 7][seed], [30, 400, 3000, 1, 2000, 0][seed]
     rows = {tuple(rng.integers(0, symbols, rng.integers(1, 7)).tolist()) for _ in range(n)}
     listed = sorted(rows, key=lambda r: hash((seed, r)))
     paths = np.full((len(listed), 6), -1, dtype=np.int64)
