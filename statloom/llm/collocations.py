@@ -225,7 +225,7 @@ def trie_counts(rows: DataFrame, phrases: pa.Table) -> tuple[DataFrame, Broadcas
     numbers[row, 1 + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = word_numbers
     # a language or word is its number's digits, so that a state has few symbols and the array few gaps
     digits = _digits(len(vocabulary) + len(languages.dictionary))
-    paths = np.stack([np.where(numbers < 0, -1, numbers >> shift & 0xFF) for shift in digits], axis=2).reshape(len(split), -1)
+    paths = np.stack([np.where(numbers < 0, -1, numbers >> shift & 0xFF) for shift in digits], axis=2).reshape(len(split), (LONGEST + 1) * len(digits))
     listed = phrases.select(["lang", "phrase", "size"]).combine_chunks()
     shared = rows.sparkSession.sparkContext.broadcast((build(paths), vocabulary, languages.dictionary, listed))
 
