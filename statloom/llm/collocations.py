@@ -36,8 +36,9 @@ LONGEST = 5  # words of a phrase
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 WORD_BITS = 1 << 23  # of the filter of frequent words
-MOST_BUCKETS = 1 << 22
-SEGMENT = 1 << 14  # buckets that are summed together
+MOST_BUCKETS = 1 << 28  # of a length: 32 MB of bits
+SEGMENT = 1 << 16  # buckets that are summed together
+HELD = 1 << 22  # windows whose buckets a task holds before it hands their sums on
 MOST = 1 << 18  # phrases of a trie, by expectation
 SALTS = 64
 # exact: the products have up to 36 digits
@@ -144,23 +145,33 @@ def bucket_filters(rows: DataFrame, frequent, buckets: int, least: int) -> dict[
     wide = np.dtype("<u1" if least < 256 else "<u4")
     segment = min(SEGMENT, buckets)
 
+    def summed(held: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for k, parts in held.items():
+            place, n = np.unique(np.concatenate(parts), return_counts=True)
+            # sums above the limit tell no more than the limit itself
+            n = np.minimum(n, least).astype(wide)
+            starts = np.flatnonzero(np.diff(place // segment, prepend=-1))
+            ends = np.append(starts[1:], len(place))
+            low = (place % segment).astype("<u2")
+            packed = [low[i:j].tobytes() + n[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist())]
+            columns = [pa.array(np.full(len(starts), k)), pa.array(place[starts] // segment), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["k", "segment", "counts"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {k: np.zeros(buckets, dtype=np.int32) for k in range(2, LONGEST + 1)}
+        held: dict[int, list[np.ndarray]] = {}
+        size = 0
         for batch in batches:
             for part in slices(batch, "text"):
                 w, beside = _read(part)
                 _, hashes = _hashes(w, part)
                 for k, _, bucket in _windows(hashes, _linked(hashes, beside, frequent.value), buckets):
-                    place, n = np.unique(bucket, return_counts=True)
-                    # sums above the limit tell no more than the limit itself
-                    total[k][place] = np.minimum(total[k][place].astype(np.int64) + n, least)
+                    held.setdefault(k, []).append(bucket)
+                    size += len(bucket)
+                if size >= HELD:
+                    yield from summed(held)
+                    held, size = {}, 0
             pa.default_memory_pool().release_unused()
-        for k, counts in total.items():
-            for at in range(0, buckets, segment):
-                held = np.flatnonzero(counts[at : at + segment])
-                if len(held):
-                    packed = held.astype("<u2").tobytes() + counts[at + held].astype(wide).tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([at // segment]), pa.array([packed])], names=["k", "segment", "counts"])
+        yield from summed(held)
 
     def add(group: pa.Table) -> pa.Table:
         total = np.zeros(segment, dtype=np.int64)
