@@ -1,21 +1,26 @@
 """Running sums, ranks and fills over one global order without a one-task window.
 
 The order column is cut into value ranges; each range (per key) is scanned by its
-own task and receives the totals of the ranges before it. Range limits are plain
-literals, so a recomputed task always reproduces the same assignment.
+own task and receives the totals of the ranges before it. Range limits are
+constants, so a recomputed task always reproduces the same assignment.
 """
 
 from __future__ import annotations
 
+import base64
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statloom.functions.exprs import SEED, name_col
 
-MAX_RANGES = 4096
+MAX_RANGES = 1 << 16
 ROWS_PER_RANGE = 1_000_000
-SAMPLES_PER_RANGE = 50
+SAMPLES_PER_RANGE = 20
+LONGEST = 256  # characters or bytes of a limit
+IN_LINE = 64  # limits that are compared one by one, as a tree of conditions
 
 
 def range_count(rows: int) -> int:
@@ -23,6 +28,30 @@ def range_count(rows: int) -> int:
     return min(MAX_RANGES, int(rows) // ROWS_PER_RANGE + 1)
 
 
+def _sampled(df: DataFrame, names: list[str], ranges: int, rows: int) -> list[tuple]:
+    """Texts of the range limits, from about ``SAMPLES_PER_RANGE`` rows per range of the whole table.
+
+    A row is taken with the same chance wherever it is, so the sample is as large however many
+    partitions there are. Of long values the beginning decides: a limit needn't be a value that occurs.
+    """
+    cells = []
+    for i, n in enumerate(names):
+        dtype = df.schema[n].dataType
+        text = F.hex(F.substring(name_col(n), 1, LONGEST)) if isinstance(dtype, T.BinaryType) else name_col(n).cast("string")
+        short = F.substring(name_col(n), 1, LONGEST) if isinstance(dtype, (T.StringType, T.BinaryType)) else name_col(n)
+        cells += [short.alias(f"c{i}"), (F.substring(text, 1, LONGEST) if isinstance(dtype, T.StringType) else text).alias(f"t{i}")]
+    wanted = SAMPLES_PER_RANGE * ranges
+    sample = df.select(*cells)
+    if rows > wanted:
+        sample = sample.where(F.rand(SEED) < wanted / rows)
+    keys = [f"c{i}" for i in range(len(names))]
+    # bounded: one task orders the sample, and every so many rows one goes to the driver
+    placed = sample.withColumn("i", F.row_number().over(Window.orderBy(*keys))).withColumn("n", F.count("*").over(Window.partitionBy()))
+    picked = placed.where(F.floor(F.col("i") * ranges / F.col("n")) > F.floor((F.col("i") - 1) * ranges / F.col("n")))
+    rows_of = picked.where("i < n").orderBy("i").select(*[f"t{i}" for i in range(len(names))]).collect()
+    return list(dict.fromkeys(tuple(r) for r in rows_of))
+
+
 def _literal(value: str | None, dtype: T.DataType) -> Column:
     """A value of ``dtype`` from its text, the same in every session time zone."""
     if value is None:
@@ -30,20 +59,35 @@ def _literal(value: str | None, dtype: T.DataType) -> Column:
     return F.unhex(F.lit(value)) if isinstance(dtype, T.BinaryType) else F.lit(value).cast(dtype)
 
 
-def _limits(df: DataFrame, names: list[str], ranges: int) -> list[Column]:
-    """Range limits of the columns' own types, from a row sample of bounded size.
+def _listed(values: list[str | None], dtype: T.DataType) -> Column:
+    """An array of ``dtype`` from texts: one literal, whatever their number."""
+    if isinstance(dtype, T.BinaryType):  # JSON has binary values in base64
+        values = [None if v is None else base64.b64encode(bytes.fromhex(v)).decode() for v in values]
+        return F.from_json(F.lit(json.dumps(values)), T.ArrayType(T.BinaryType()))
+    return F.from_json(F.lit(json.dumps(values)), T.ArrayType(T.StringType())).cast(T.ArrayType(dtype))
 
-    They become literals, so a recomputed task assigns its rows as before whatever the sample was.
-    """
-    if ranges < 2:
-        return []
-    types = [df.schema[n].dataType for n in names]
-    cells = [name_col(n).alias(f"c{i}") for i, n in enumerate(names)]
-    sample = df.select(*cells).orderBy(F.rand(SEED)).limit(SAMPLES_PER_RANGE * ranges)
-    texts = [(F.hex if isinstance(t, T.BinaryType) else lambda c: c.cast("string"))(F.col(f"c{i}")).alias(f"t{i}") for i, t in enumerate(types)]
-    rows = [tuple(r) for r in sample.orderBy(*[f"c{i}" for i in range(len(names))]).select(*texts).collect()]
-    picked = dict.fromkeys(rows[len(rows) * i // ranges] for i in range(1, ranges)) if rows else {}
-    return [F.struct(*[_literal(v, t) for v, t in zip(row, types)]) for row in picked]
+
+def _range_of(place: Column, rows: list[tuple], types: list[T.DataType]) -> Column:
+    """How many limits are not above ``place``."""
+    if len(rows) <= IN_LINE:
+        limits = [F.struct(*[_literal(v, t) for v, t in zip(row, types)]) for row in rows]
+
+        def tree(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            middle = (low + high) // 2
+            return F.when(place < limits[middle], tree(low, middle)).otherwise(tree(middle + 1, high))
+
+        return tree(0, len(limits))
+    # binary search in constant arrays: from the highest power of two down, step on while the limit there isn't above
+    columns = [_listed([r[i] for r in rows], t) for i, t in enumerate(types)]
+    steps = F.array(*[F.lit(1 << k) for k in range(len(rows).bit_length() - 1, -1, -1)])
+
+    def further(at: Column, step: Column) -> Column:
+        limit = F.struct(*[F.get(c, at + step - 1) for c in columns])
+        return F.when((at + step <= len(rows)) & (place >= limit), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def with_range(
@@ -54,19 +98,16 @@ def with_range(
     Any type that has an order will do; NULL comes first. With a ``tie`` a single order value that
     many rows share is cut as well.
     """
+    rows = None
     if ranges is None:
-        ranges = range_count(df.count())
+        rows = df.count()
+        ranges = range_count(rows)
+    if ranges < 2:
+        return df.withColumn(out, F.lit(0))
     names = [c for c in (order, tie) if c]
-    limits = _limits(df, names, ranges)
+    limits = _sampled(df, names, ranges, df.count() if rows is None else rows)
     place = F.struct(*[name_col(n) for n in names])
-
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(place < limits[middle], tree(low, middle)).otherwise(tree(middle + 1, high))
-
-    return df.withColumn(out, tree(0, len(limits)))
+    return df.withColumn(out, _range_of(place, limits, [df.schema[n].dataType for n in names]))
 
 
 def _keyed(tagged: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:

@@ -126,7 +126,7 @@ def ensemble_leaves(fitted: Fitted, max_nodes: int = MAX_NODES) -> Leaves:
     for i, (conditions, _) in enumerate(leaves):
         for j, (f, (lo, hi, z)) in enumerate(conditions.items()):
             feature[i, j], low[i, j], high[i, j], share[i, j] = f, lo, hi, z
-    return Leaves(feature, low, high, share, [v for _, v in leaves], len(fitted.preparation.slots))
+    return Leaves(feature, low, high, share, [v for _, v in leaves], fitted.preparation.width)
 
 
 def tree_attribution(fitted: Fitted, df: DataFrame, key: list[str]) -> Attribution:

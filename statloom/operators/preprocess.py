@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.functions.exprs import SEED, name_col, number
-from statloom.functions.prefix import sequence_numbers
+from statloom.functions.prefix import range_count, sequence_numbers
 from statloom.functions.quantiles import column_quantiles
 from statloom.functions.roles import numeric_columns
+from statloom.functions.skew import HOT_SHARE
 from statloom.operators.profile import value_counts
+from statloom.session import settle
+
+NARROW = 1000  # slots up to which vectors carry an attribute per slot
+SMALL = 100_000  # levels of a column that are broadcast
+SPREAD = 4096  # places that the rows of hot levels are spread over
 
 
 def unit_hash(key: list[str], seed: int = SEED) -> Column:
@@ -88,30 +96,131 @@ def literal_map(entries: dict[str, float], c: Column) -> Column:
 
 @dataclass(frozen=True)
 class Preparation:
-    """Fitted preparation: a persistable pipeline model and the names of its slots."""
+    """Fitted preparation: numbers with their median, mean and deviation, and a table of all levels.
+
+    The levels of text columns are a table, ``levels(column, level, slot, rows)``: its size follows the
+    data, so it is joined, never collected. A vector has a slot per number and per level.
+    """
 
-    model: PipelineModel
     inputs: list[str]
-    slots: list[str]  # name of every vector slot
-    owners: list[str]  # source column of every vector slot
     statistics: dict[str, tuple[float, float, float]]  # numeric: median, mean, deviation
+    modes: dict[str, str]  # most frequent level of every text column with values
+    sizes: list[int]  # levels of those columns, in order
+    levels: DataFrame | None
+    rows: int
+    out: str
+
+    @property
+    def width(self) -> int:
+        """Slots of a vector."""
+        return len(self.statistics) + sum(self.sizes)
+
+    def slot_table(self) -> DataFrame:
+        """``(slot, name, owner)`` of the levels' slots; those of the numbers come before them."""
+        names = F.array(*[F.lit(c) for c in self.modes])
+        owner = names[F.col("column")]
+        return self.levels.select("slot", F.concat(owner, F.lit("_"), "level").alias("name"), owner.alias("owner"))
+
+    @cached_property
+    def _named(self) -> list[tuple[str, str]]:
+        names = [(n, n) for n in self.statistics]
+        if self.levels is not None:
+            names += [(r["name"], r["owner"]) for r in self.slot_table().orderBy("slot").collect()]
+        return names
+
+    @property
+    def slots(self) -> list[str]:
+        """The name of every slot, for reports that list them; it collects the levels."""
+        return [n for n, _ in self._named]
+
+    @property
+    def owners(self) -> list[str]:
+        """The source column of every slot; it collects the levels."""
+        return [o for _, o in self._named]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(df)
+        """``df`` with the vector column; unknown levels are all zeros."""
+        cells = {}
+        for i, (n, (median, mean, sd)) in enumerate(self.statistics.items()):
+            cells[f"_n_{i}"] = (F.coalesce(number(df, n), F.lit(median)) - F.lit(mean)) / F.lit(sd)
+        for i, (c, mode) in enumerate(self.modes.items()):
+            cells[f"_c_{i}"] = F.coalesce(name_col(c).cast("string"), F.lit(mode))
+        ready = df.select("*", *[c.alias(n) for n, c in cells.items()])
+        for i, size in enumerate(self.sizes):
+            ready = self._with_slot(ready, i, size)
+        numbers = [f"_n_{i}" for i in range(len(self.statistics))]
+        texts = range(len(self.sizes))
+        if self.width > NARROW:
+            vector = self._sparse(numbers)
+            return ready.select(*[name_col(c) for c in df.columns], vector.alias(self.out))
+        first = len(numbers)
+        for i, size in enumerate(self.sizes):  # one more category, for unknown levels, has no slot
+            index = F.coalesce(F.col(f"_s_{i}") - first, F.lit(size)).cast("double")
+            ready = ready.withColumn(f"_i_{i}", index.alias(f"_i_{i}", metadata={"ml_attr": {"type": "nominal", "num_vals": size + 1}}))
+            first += size
+        if self.sizes:
+            encoder = OneHotEncoder(inputCols=[f"_i_{i}" for i in texts], outputCols=[f"_o_{i}" for i in texts], dropLast=True)
+            ready = encoder.fit(ready).transform(ready)  # sizes come with the columns: nothing is read
+        assembled = VectorAssembler(inputCols=[*numbers, *[f"_o_{i}" for i in texts]], outputCol=self.out).transform(ready)
+        return assembled.select(*[name_col(c) for c in df.columns], self.out)
+
+    def _with_slot(self, ready: DataFrame, i: int, size: int) -> DataFrame:
+        """Add ``_s_<i>``, the slot of the level in ``_c_<i>``, NULL for an unknown one."""
+        own = self.levels.where(F.col("column") == i)
+        slot = F.col("slot").alias(f"_s_{i}")
+        if size <= SMALL:
+            return ready.join(F.broadcast(own.select(F.col("level").alias(f"_c_{i}"), slot)), f"_c_{i}", "left")
+        # at most HOT_SHARE levels can be hot: their slots are broadcast, and their rows go anywhere in the join
+        hot = own.where(F.col("rows") * HOT_SHARE > self.rows)
+        ready = ready.join(F.broadcast(hot.select(F.col("level").alias(f"_c_{i}"), F.col("slot").alias("_hot"))), f"_c_{i}", "left")
+        place = F.struct(
+            F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))).alias("k"),
+            F.when(F.col("_hot").isNull(), F.col(f"_c_{i}")).alias("level"),
+        )
+        cold = own.where(F.col("rows") * HOT_SHARE <= self.rows).select(F.struct(F.lit(0).cast("long").alias("k"), "level").alias("_at"), F.col("slot").alias("_cold"))
+        found = ready.withColumn("_at", place).join(cold, "_at", "left")
+        return found.withColumn(f"_s_{i}", F.coalesce("_hot", "_cold")).drop("_hot", "_cold", "_at")
 
+    def _sparse(self, numbers: list[str]) -> Column:
+        """The vector from its slots and values alone, whatever the number of slots."""
+        known = F.array_compact(F.array(*[F.col(f"_s_{i}") for i in range(len(self.sizes))]))
+        indices = F.concat(F.array(*[F.lit(i) for i in range(len(numbers))]).cast("array<int>"), known.cast("array<int>"))
+        ones = F.transform(known, lambda _: F.lit(1.0))
+        values = F.concat(F.array(*[F.col(n) for n in numbers]).cast("array<double>"), ones)
+        parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(self.width).alias("size"), indices.alias("indices"), values.alias("values"))
+        return F.from_json(F.to_json(F.struct(parts.alias("v"))), T.StructType([T.StructField("v", VectorUDT())]))["v"]
 
-def _sql_name(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
 
+def level_table(train: DataFrame, columns: list[str], first: int) -> tuple[DataFrame | None, dict[str, str], list[int]]:
+    """``(column, level, slot, rows)`` of all levels, the modes of the columns with values, and their sizes.
 
-def _sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    Slots count up from ``first``, column by column, along the levels' order. Levels are numbered range by
+    range; what reaches the driver is a row per column.
+    """
+    seen = settle(value_counts(train, columns).filter(F.col("value").isNotNull()), "levels")
+    facts = seen.groupBy("feature").agg(
+        F.count("*").alias("n"), F.min_by("value", F.struct((-F.col("count")).alias("c"), "value")).alias("mode")
+    )
+    of = {r["feature"]: r for r in facts.collect()}
+    columns = [c for c in columns if c in of]  # a column without values carries nothing
+    if not columns:
+        return None, {}, []
+    sizes = [of[c]["n"] for c in columns]
+    if first + sum(sizes) >= 2**31:
+        raise ValueError("vectors have at most 2^31 - 1 slots")
+    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature")) - 1
+    tagged = seen.select(place.cast("int").alias("column"), F.col("value").alias("level"), F.col("count").alias("rows"))
+    before = F.array(*[F.lit(first + sum(sizes[:i])) for i in range(len(sizes))])
+    numbered = sequence_numbers(tagged, ["column"], "level", "_seq", ranges=range_count(sum(sizes)))
+    slot = (before[F.col("column")] + F.col("_seq") - 1).cast("int")
+    table = settle(numbered.select("column", "level", slot.alias("slot"), "rows"), "slots")
+    return table, {c: of[c]["mode"] for c in columns}, sizes
 
 
 def fit_preparation(train: DataFrame, features: list[str], out: str = "features") -> Preparation:
     """Median-impute and standardise numbers, mode-impute and one-hot everything else.
 
-    Unknown levels become all zeros. Moments after imputation follow from the moments
+    Moments after imputation follow from the moments
     before it, so numbers need one aggregate besides their medians.
     """
     nums = [f for f in features if f in numeric_columns(train)]
@@ -135,53 +244,5 @@ def fit_preparation(train: DataFrame, features: list[str], out: str = "features"
         centre = (k * mean + (total - k) * medians[n]) / total
         spread = (k * (var + (mean - centre) ** 2) + (total - k) * (medians[n] - centre) ** 2) / total
         stats[n] = (float(medians[n]), centre, spread**0.5 or 1.0)
-    # one group-by for everything else: sorted levels and mode of every column
-    levels: dict[str, list[str]] = {}
-    modes: dict[str, str] = {}
-    if cats:
-        seen = value_counts(train, cats).filter(F.col("value").isNotNull())
-        for r in (
-            seen.groupBy("feature")
-            .agg(
-                F.array_sort(F.collect_list("value")).alias("levels"),
-                F.min_by("value", F.struct((-F.col("count")).alias("c"), "value")).alias("mode"),
-            )
-            .collect()
-        ):
-            levels[r["feature"]], modes[r["feature"]] = r["levels"], r["mode"]
-    cats = [c for c in cats if c in levels]  # a column without values carries nothing
-
-    cells = [
-        f"(coalesce(nanvl(CAST({_sql_name(n)} AS DOUBLE), NULL), {med!r}D) - {mean!r}D) / {sd!r}D AS {_sql_name('_n_' + str(i))}"
-        for i, (n, (med, mean, sd)) in enumerate(stats.items())
-    ]
-    cells += [
-        f"coalesce(CAST({_sql_name(c)} AS STRING), {_sql_text(modes[c])}) AS {_sql_name('_c_' + str(i))}"
-        for i, c in enumerate(cats)
-    ]
-    impute = SQLTransformer(statement=f"SELECT *, {', '.join(cells)} FROM __THIS__")
-    prepared = impute.transform(train)
-    stages = [impute]
-    slots, owners = list(stats), list(stats)
-    if cats:
-        indexers = [
-            StringIndexerModel.from_labels(levels[c], inputCol=f"_c_{i}", outputCol=f"_i_{i}", handleInvalid="keep")
-            for i, c in enumerate(cats)
-        ]
-        prepared = PipelineModel(indexers).transform(prepared)
-        # 'keep' adds one slot for unknown levels; dropLast then removes exactly that slot
-        encoder = OneHotEncoder(
-            inputCols=[f"_i_{i}" for i in range(len(cats))], outputCols=[f"_o_{i}" for i in range(len(cats))], dropLast=True
-        ).fit(prepared)
-        stages += [*indexers, encoder]
-        for c in cats:
-            slots += [f"{c}_{level}" for level in levels[c]]
-            owners += [c] * len(levels[c])
-    stages.append(
-        VectorAssembler(
-            inputCols=[f"_n_{i}" for i in range(len(stats))] + [f"_o_{i}" for i in range(len(cats))], outputCol=out
-        )
-    )
-    temporary = [f"_n_{i}" for i in range(len(stats))] + [f"_{t}_{i}" for i in range(len(cats)) for t in "cio"]
-    stages.append(SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(_sql_name(t) for t in temporary)}) FROM __THIS__"))
-    return Preparation(PipelineModel(stages), features, slots, owners, stats)
+    levels, modes, sizes = level_table(train, cats, len(stats)) if cats else (None, {}, [])
+    return Preparation(features, stats, modes, sizes, levels, total, out)

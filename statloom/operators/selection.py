@@ -115,7 +115,7 @@ def elimination_ranks(problem: Problem) -> DataFrame:
     columns = ["features", "_label"] + (["_weight"] if problem.task == "classification" else [])
     ready = ready.select(*columns).withColumnRenamed("features", "_all").persist()
     name = "Logistic Regression" if problem.task == "classification" else "Linear Regression"
-    alive = list(range(len(preparation.slots)))
+    alive = list(range(preparation.width))
     keep = max(1, len(alive) // 2)
     fallen: list[int] = []
     try:

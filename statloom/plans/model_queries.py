@@ -94,6 +94,15 @@ def _prepared(spark, sf):
     )
 
 
+def one_hot_totals(df, prep):
+    """Rows per slot, from the vectors' own slots and values."""
+    parts = F.unwrap_udt("features")
+    sparse = F.when(parts["type"] == 0, parts["indices"]).otherwise(F.sequence(F.lit(0), F.size(parts["values"]) - 1))
+    cells = prep.transform(df).select(F.explode(F.arrays_zip(sparse.alias("slot"), parts["values"].alias("v"))).alias("c"))
+    totals = cells.groupBy(F.col("c.slot").alias("slot")).agg(F.sum("c.v").alias("rows")).where("rows <> 0")
+    return totals.join(prep.slot_table(), "slot").select(F.col("name").alias("slot"), "rows")
+
+
 @query(
     "one_hot_totals",
     """SELECT 'p_type_' || p_type AS slot, CAST(count(*) AS DOUBLE) AS rows FROM part GROUP BY p_type
@@ -101,10 +110,19 @@ UNION ALL SELECT 'p_brand_' || p_brand, CAST(count(*) AS DOUBLE) FROM part GROUP
 )
 def _one_hot(spark, sf):
     df = table(spark, sf, "part")
-    prep = preprocess.fit_preparation(df, ["p_type", "p_brand"])
-    slots = F.array(*[F.lit(s) for s in prep.slots])
-    cells = prep.transform(df).select(F.posexplode(vector_to_array("features")).alias("i", "v"))
-    return cells.groupBy(slots[F.col("i")].alias("slot")).agg(F.sum("v").alias("rows"))
+    return one_hot_totals(df, preprocess.fit_preparation(df, ["p_type", "p_brand"]))
+
+
+@query(
+    "one_hot_totals_many_levels",
+    """WITH o AS (SELECT 'k' || (o_orderkey // 2) AS pair, o_orderpriority FROM orders)
+SELECT 'pair_' || pair AS slot, CAST(count(*) AS DOUBLE) AS rows FROM o GROUP BY pair
+UNION ALL SELECT 'o_orderpriority_' || o_orderpriority, CAST(count(*) AS DOUBLE) FROM o GROUP BY o_orderpriority""",
+)
+def _one_hot_many(spark, sf):
+    """A text column of which half the values are distinct: its levels never reach the driver."""
+    df = table(spark, sf, "orders").selectExpr("concat('k', o_orderkey div 2) AS pair", "o_orderpriority")
+    return one_hot_totals(df, preprocess.fit_preparation(df, ["pair", "o_orderpriority"]))
 
 
 def parts_sql(src: str, by: str, cuts: list[str], part: str) -> str:
