@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statloom.functions.exprs import any_of, name_col, present
+from statloom.sources import quoted
 
 # File extensions and the text encodings tried for delimited files.
 FORMATS = {
@@ -88,14 +89,19 @@ def read_with_rejected(
     """(rows, rows with too many fields); the latter have the first surplus field as ``_extra``.
 
     One pass over the lines finds out what isn't given: whether the bytes are UTF-8 (else Latin-1 is
-    taken), and whether a line has an odd number of quotes, that is whether fields hold line breaks. Only
-    then a file is read as a whole by one task; otherwise files stay splittable.
+    taken), and whether a line has an odd number of quotes, that is whether fields hold line breaks. Then
+    the quotes of the splits tell where records begin, and files stay splittable (``sources.quoted``).
+    Only a folder with a file whose quotes don't come out even is read file by file.
     """
+    parts = None
     if encoding is None or multiline is None:
-        lines = spark.read.text(path)
-        odd = F.length(F.regexp_replace("value", f"[^{_in_class(quote)}]", "")) % 2 == 1
-        facts = lines.agg(F.max(~F.is_valid_utf8("value")).alias("broken"), F.max(odd).alias("odd")).first()
+        lines = quoted.lines(spark, path)
+        parts = quoted.splits(lines, quote)
+        facts = parts.agg(F.max("broken").alias("broken"), F.max("odd").alias("odd"), F.max(F.col("whole") % 2 == 1).alias("uneven")).first()
         encoding = encoding or (ENCODINGS[1] if facts["broken"] else ENCODINGS[0])
+        if multiline is None and facts["odd"] and not facts["uneven"]:
+            decoded = lines if encoding == ENCODINGS[0] else lines.withColumn("line", F.decode(F.col("line").cast("binary"), encoding))
+            return _by_records(quoted.records(decoded, parts, quote), schema, sep, quote)
         multiline = bool(facts["odd"]) if multiline is None else multiline
     options = {"sep": sep, "encoding": encoding, "quote": quote, "escape": quote, "multiLine": multiline}
     if schema is None:
@@ -110,8 +116,25 @@ def read_with_rejected(
     return df.filter(F.col("_extra").isNull()).drop("_extra"), df.filter(F.col("_extra").isNotNull())
 
 
-def _in_class(char: str) -> str:
-    return "\\" + char if char in "\\]^-[&" else char
+def _by_records(found: DataFrame, schema: T.StructType | str | None, sep: str, quote: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of records; the first of every file is its header."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    rest = found.where("not first")
+    if schema is None:
+        header = found.where("first").orderBy("file").select("record").first()["record"]
+        # as many fields as separators would give; those that the header doesn't have are NULL
+        most = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(header.count(sep) + 1)])
+        cells = quoted.parsed(found.where("first").orderBy("file").limit(1), most, sep, quote).first()
+        names = list(cells)
+        while len(names) > 1 and names[-1] is None:
+            names.pop()
+        names = unique_names(["" if n is None else n for n in names])
+        texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        schema = quoted.inferred(quoted.parsed(rest, texts, sep, quote))
+    wide = T.StructType([*schema.fields, T.StructField("_extra", T.StringType())])
+    df = quoted.parsed(rest, wide, sep, quote)
+    return df.filter(F.col("_extra").isNull()).drop("_extra"), df.filter(F.col("_extra").isNotNull())
 
 
 def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
