@@ -6,21 +6,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from statloom.functions.exprs import SEED, name_col, rnd
-from statloom.functions.trees import Leaves
+from statloom.functions.trees import Forest
 from statloom.operators.models import Fitted
 from statloom.operators.preprocess import unit_hash
-from statloom.session import new_folder
+from statloom.session import new_folder, share_package
 
-ROWS_PER_STEP = 256
-MAX_NODES = 5_000_000
+MOST_NODES = 1_000_000  # of an ensemble that are broadcast at once
+WALKED = 2048  # nodes of small trees that are walked at once
 
 
 @dataclass(frozen=True)
@@ -70,85 +70,119 @@ def linear_attribution(fitted: Fitted, df: DataFrame, key: list[str]) -> Attribu
     return Attribution(_long(rows, key, fitted.preparation.slots, phi), key, base, "linear")
 
 
-def ensemble_leaves(fitted: Fitted, max_nodes: int = MAX_NODES) -> Leaves:
-    """Leaves of a fitted tree ensemble, read back from its saved node table.
+def forest_nodes(fitted: Fitted) -> pa.Table:
+    """``(tree, id, parent, feature, cut, left, share, value)``: the nodes of a fitted ensemble, parents first.
 
-    The table holds at most trees x 2^depth nodes whatever the data size; more than ``max_nodes``
-    are refused, since all of them pass through the driver.
+    They are read back from the saved node table and related to each other as columns. Their number
+    depends on trees and depth, not on the data; the model itself has them on the driver already.
     """
     m = fitted.model
     spark = fitted.problem.data.sparkSession
     path = new_folder(spark, "trees")
     m.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    if nodes.count() > max_nodes:
-        raise ValueError(f"ensemble has more than {max_nodes} nodes")
-    table = nodes.select("treeID", "nodeData.*").collect()
     forest = "RandomForest" in type(m).__name__
     classes = fitted.problem.task == "classification" and forest
-    weight = [1.0 / len(m.treeWeights)] * len(m.treeWeights) if forest else list(m.treeWeights)
-    by_tree: dict[int, dict[int, object]] = {}
-    for r in table:
-        by_tree.setdefault(r["treeID"], {})[r["id"]] = r
-
-    def cover(r) -> float:
-        return float(sum(r["impurityStats"])) if classes else float(r["impurityStats"][0])
-
-    def output(r) -> float:
-        if not classes:
-            return float(r["prediction"])
-        stats = r["impurityStats"]
-        return float(stats[1 if len(stats) == 2 else 0]) / max(sum(stats), 1e-300)
-
-    leaves = []
-    for tree, members in by_tree.items():
-        todo = [(members[0], {})]
-        while todo:
-            r, conditions = todo.pop()
-            if r["leftChild"] < 0:
-                leaves.append((conditions, weight[tree] * output(r)))
-                continue
-            s = r["split"]
-            left, right = members[r["leftChild"]], members[r["rightChild"]]
-            if s["numCategories"] == -1:
-                cut, flipped = s["leftCategoriesOrThreshold"][0], False
-            elif s["numCategories"] == 2:  # a 0/1 indicator
-                cut, flipped = 0.5, s["leftCategoriesOrThreshold"] == [1.0]
-            else:
-                raise ValueError("only numeric and 0/1 features are supported")
-            for child, lower in ((left, not flipped), (right, flipped)):
-                low, high, share = conditions.get(s["featureIndex"], (-np.inf, np.inf, 1.0))
-                bounds = (low, min(high, cut)) if lower else (max(low, cut), high)
-                todo.append((child, {**conditions, s["featureIndex"]: (*bounds, share * cover(child) / cover(r))}))
-    depth = max([len(c) for c, _ in leaves] + [1])
-    feature = np.full((len(leaves), depth), -1)
-    low, high, share = (np.full((len(leaves), depth), v) for v in (-np.inf, np.inf, 1.0))
-    for i, (conditions, _) in enumerate(leaves):
-        for j, (f, (lo, hi, z)) in enumerate(conditions.items()):
-            feature[i, j], low[i, j], high[i, j], share[i, j] = f, lo, hi, z
-    return Leaves(feature, low, high, share, [v for _, v in leaves], fitted.preparation.width)
-
-
-def tree_attribution(fitted: Fitted, df: DataFrame, key: list[str]) -> Attribution:
+    weights = [1.0 / len(m.treeWeights)] * len(m.treeWeights) if forest else list(m.treeWeights)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    stats = F.col("impurityStats")
+    cover = F.aggregate(stats, F.lit(0.0), lambda a, x: a + x) if classes else F.get(stats, F.lit(0))
+    output = F.when(F.size(stats) == 2, F.get(stats, F.lit(1))).otherwise(F.get(stats, F.lit(0))) / F.greatest(cover, F.lit(1e-300)) if classes else F.col("prediction")
+    kinds, cuts = F.col("split.numCategories"), F.col("split.leftCategoriesOrThreshold")
+    odd = nodes.where((F.col("leftChild") >= 0) & ~kinds.isin(-1, 2)).limit(1).count()
+    if odd:
+        raise ValueError("only numeric and 0/1 features are supported")
+    flipped = (kinds == 2) & (F.size(cuts) == 1) & (F.get(cuts, F.lit(0)) == 1.0)  # of a 0/1 indicator the value 1 goes left
+    facts = nodes.select(
+        F.col("treeID").alias("tree"),
+        "id",
+        F.col("split.featureIndex").alias("feature"),
+        F.when(kinds == -1, F.get(cuts, F.lit(0))).otherwise(0.5).alias("cut"),
+        flipped.alias("flipped"),
+        "leftChild",
+        "rightChild",
+        cover.alias("cover"),
+        output.alias("output"),
+    ).orderBy("tree", "id")
+    got = facts.toArrow()
+    column = lambda name: got.column(name).to_numpy()
+    tree, ids = column("tree"), column("id")
+    starts = np.searchsorted(tree, np.unique(tree))
+    first = np.repeat(starts, np.diff(np.append(starts, len(tree))))  # ids count up from 0 in a tree, parents first
+    parent, left = np.full(len(ids), -1), np.zeros(len(ids), dtype=bool)
+    inner = np.flatnonzero(column("leftChild") >= 0)
+    for side, lower in (("leftChild", True), ("rightChild", False)):
+        child = first[inner] + column(side)[inner]
+        parent[child] = inner
+        left[child] = column("flipped")[inner] != lower
+    cover_of = column("cover")
+    share = np.where(parent >= 0, cover_of / np.maximum(cover_of[np.maximum(parent, 0)], 1e-300), 1.0)
+    value = np.asarray(weights)[tree] * column("output")
+    columns = {"tree": tree, "parent": parent, "feature": column("feature"), "cut": column("cut"), "left": left, "share": share, "value": value}
+    return pa.table(columns)
+
+
+def _forests(nodes: pa.Table, width: int, most: int) -> list[tuple]:
+    """The arguments of ``Forest`` for groups of whole trees with about ``most`` nodes each."""
+    tree = nodes.column("tree").to_numpy()
+    starts = np.append(np.flatnonzero(np.diff(tree, prepend=-1)), len(tree))
+    groups, begin = [], 0
+    for end, following in zip(starts[1:].tolist(), [*starts[2:].tolist(), None]):
+        if following is None or following - begin > most:
+            part = nodes.slice(begin, end - begin)
+            columns = {n: part.column(n).to_numpy() for n in ("parent", "feature", "cut", "left", "share", "value")}
+            columns["parent"] = np.where(columns["parent"] >= 0, columns["parent"] - begin, -1)
+            groups.append((*columns.values(), width))
+            begin = end
+    return groups
+
+
+def tree_attribution(fitted: Fitted, df: DataFrame, key: list[str], most_nodes: int = MOST_NODES) -> Attribution:
     """Path-dependent attribution: probability of the second class for forests, margin
-    for boosted classifiers, prediction for regressions."""
-    leaves = ensemble_leaves(fitted)
-    # plain arrays: a broadcast is unpickled without this package on the workers
-    arrays = (leaves.feature, leaves.low, leaves.high, leaves.share, leaves.value, leaves.width)
-    shared = df.sparkSession.sparkContext.broadcast(arrays)
-    rows = _prepared(fitted, df, key)
+    for boosted classifiers, prediction for regressions.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = Leaves(*shared.value)
+    The nodes are broadcast in groups of trees with at most ``most_nodes`` nodes (one tree at least);
+    every further group is one more pass over the rows, which adds to their attributions.
+    """
+    width = fitted.preparation.width
+    groups = _forests(forest_nodes(fitted), width, most_nodes)
+    rows = _prepared(fitted, df, key).withColumn("phi", F.array_repeat(F.lit(0.0), width))
+    share_package(df.sparkSession)
+    base = 0.0
+    for group in groups:
+        base += sum(Forest(*part).base for part in _split(group))
+        rows = rows.mapInArrow(_adding(df.sparkSession.sparkContext.broadcast(group), width), rows.schema)
+    return Attribution(_long(rows, key, fitted.preparation.slots, F.col("phi")), key, base, "tree")
+
+
+def _split(group: tuple) -> list[tuple]:
+    """A group's trees in parts of about ``WALKED`` nodes, which are walked at once."""
+    *columns, width = group
+    heads = np.flatnonzero(columns[0] < 0)
+    cuts = [0]
+    for head, end in zip(heads.tolist(), [*heads[1:].tolist(), len(columns[0])]):
+        if end - cuts[-1] > WALKED and head > cuts[-1]:
+            cuts.append(head)
+    parts = []
+    for a, b in zip(cuts, [*cuts[1:], len(columns[0])]):
+        own = [c[a:b] for c in columns]
+        own[0] = np.where(own[0] >= 0, own[0] - a, -1)
+        parts.append((*own, width))
+    return parts
+
+
+def _adding(shared: Broadcast, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forests = [Forest(*part) for part in _split(shared.value)]
         for batch in batches:
-            for start in range(0, len(batch), ROWS_PER_STEP):
-                part = batch.iloc[start : start + ROWS_PER_STEP]
-                phi = table.attribute(np.stack(part["x"].to_numpy()))
-                yield part.assign(phi=list(phi))
-
-    schema = T.StructType([*rows.schema.fields, T.StructField("phi", T.ArrayType(T.DoubleType()))])
-    out = rows.mapInPandas(run, schema)
-    return Attribution(_long(out, key, fitted.preparation.slots, F.col("phi")), key, leaves.base, "tree")
+            at = batch.schema.get_field_index("phi")
+            x, phi = (batch.column(n).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) for n in ("x", "phi"))
+            for forest in forests:
+                phi = phi + forest.attribute(x)
+            offsets = np.arange(0, (len(phi) + 1) * width, width, dtype=np.int32) if width else np.zeros(len(phi) + 1, dtype=np.int32)
+            made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(phi.ravel()))
+            yield batch.set_column(at, pa.field("phi", made.type), made)
+
+    return run
 
 
 def sampling_attribution(

@@ -1,3 +1,4 @@
+import collections
 import math
 
 import numpy as np
@@ -6,6 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from statloom.functions.trees import Forest
 from statloom.operators import explain, fairness, metrics, models, preprocess, target, unsupervised
 from statloom.plans import bundles
 
@@ -111,18 +113,24 @@ def test_attributions_add_up(trained):
 
 
 def test_tree_attribution_matches_subset_enumeration(trained):
-    leaves = explain.ensemble_leaves(trained.fitted["Random Forest"])
     fitted = trained.fitted["Random Forest"]
+    nodes = explain.forest_nodes(fitted).to_pydict()
+    children = collections.defaultdict(list)
+    for i, p in enumerate(nodes["parent"]):
+        children[p].append(i)
     row = np.array(fitted.preparation.transform(trained.problem.data.limit(1)).select(vector_to_array("features")).first()[0])
     width = len(row)
 
-    def value(known: int) -> float:
-        used = leaves.feature >= 0
-        x = row[np.where(used, leaves.feature, 0)]
-        met = (x > leaves.low) & (x <= leaves.high)
-        has = (known >> np.where(used, leaves.feature, 0)) & 1
-        factor = np.where(used, np.where(has == 1, met, leaves.share), 1.0)
-        return float((leaves.value * factor.prod(axis=1)).sum())
+    def value(known: int, i: int = -1) -> float:
+        """The output with the known features: unknown ones go both ways by their shares."""
+        if i < 0:
+            return sum(value(known, root) for root in children[-1])
+        if not children[i]:
+            return nodes["value"][i]
+        f = nodes["feature"][i]
+        if known >> f & 1:
+            return sum(value(known, c) for c in children[i] if (row[f] <= nodes["cut"][i]) == nodes["left"][c])
+        return sum(nodes["share"][c] * value(known, c) for c in children[i])
 
     v = [value(s) for s in range(1 << width)]
     want = np.zeros(width)
@@ -132,7 +140,49 @@ def test_tree_attribution_matches_subset_enumeration(trained):
                 size = bin(s).count("1")
                 weight = math.factorial(size) * math.factorial(width - size - 1) / math.factorial(width)
                 want[j] += weight * (v[s | 1 << j] - v[s])
-    assert np.allclose(leaves.attribute(row[None, :])[0], want)
+    for most in (10**6, 10):
+        groups = explain._forests(explain.forest_nodes(fitted), width, most)
+        forests = [Forest(*part) for group in groups for part in explain._split(group)]
+        assert np.allclose(sum(f.attribute(np.stack([row, row]))[1] for f in forests), want)
+        assert np.isclose(sum(f.base for f in forests), v[0])
+    assert len(groups) == 10
+
+
+def test_deep_trees_over_one_feature():
+    """Paths that repeat features and single nodes, against all subsets."""
+    rng = np.random.default_rng(4)
+    parent, feature, cut, left, share = [-1], [0], [0.0], [True], [1.0]
+    open_nodes = [0]
+    for _ in range(60):
+        i = open_nodes.pop(rng.integers(len(open_nodes)))
+        feature[i], cut[i] = int(rng.integers(3)), float(rng.normal())
+        part = float(rng.uniform(0.05, 0.95))
+        for lower in (True, False):
+            open_nodes.append(len(parent))
+            parent.append(i), feature.append(-1), cut.append(0.0), left.append(lower), share.append(part if lower else 1 - part)
+    value = rng.normal(size=len(parent))
+    forest = Forest(parent, feature, cut, left, share, value, 3)
+    kids = collections.defaultdict(list)
+    for i, p in enumerate(parent):
+        kids[p].append(i)
+
+    def output(row, known, i=0):
+        if not kids[i]:
+            return value[i]
+        if known >> feature[i] & 1:
+            return sum(output(row, known, c) for c in kids[i] if (row[feature[i]] <= cut[i]) == left[c])
+        return sum(share[c] * output(row, known, c) for c in kids[i])
+
+    rows = rng.normal(size=(20, 3))
+    got = forest.attribute(rows)
+    for row, phi in zip(rows, got):
+        v = [output(row, s) for s in range(8)]
+        for j in range(3):
+            others = [s for s in range(8) if not s >> j & 1]
+            want = sum((1 / 3 if bin(s).count("1") in (0, 2) else 1 / 6) * (v[s | 1 << j] - v[s]) for s in others)
+            assert np.isclose(phi[j], want)
+    assert np.isclose(forest.base, output(rows[0], 0))
+    assert not Forest([-1], [-1], [0.0], [True], [1.0], [5.0], 2).attribute(np.zeros((3, 2))).any()
 
 
 def test_regression(staff):
