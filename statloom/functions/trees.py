@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CELLS = 1 << 21  # numbers per array: rows, nodes and points of a step are chosen by it
+CELLS = 1 << 18  # numbers per array, so that a step stays in a core's cache: the rows of a step follow from it
 
 
 class Forest:

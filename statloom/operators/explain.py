@@ -146,6 +146,9 @@ def tree_attribution(fitted: Fitted, df: DataFrame, key: list[str], most_nodes:
     width = fitted.preparation.width
     groups = _forests(forest_nodes(fitted), width, most_nodes)
     rows = _prepared(fitted, df, key).withColumn("phi", F.array_repeat(F.lit(0.0), width))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:  # the walks, not the rows, are what takes long
+        rows = rows.repartition(cores)
     share_package(df.sparkSession)
     base = 0.0
     for group in groups:

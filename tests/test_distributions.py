@@ -89,3 +89,20 @@ def test_normal_and_skewed_large_samples(spark):
     assert got["a"]["test"] == "D'Agostino-Pearson"
     assert got["a"]["p_value"] > 0.01
     assert got["b"]["p_value"] < 1e-6
+
+
+def test_normal_quantile_is_a_column_expression(spark):
+    from statistics import NormalDist
+
+    from pyspark.sql import functions as F
+
+    from statloom.functions import tails
+
+    points = [1e-300, 1e-20, 1e-12, 1e-6, 0.001, 0.02, 0.0749, 0.075, 0.2, 0.5, 0.7, 0.924, 0.926, 0.99, 1 - 1e-9]
+    frame = spark.createDataFrame([(p,) for p in [*points, 0.0, 1.0, -1.0]], "p double")
+    out = frame.select("p", tails.normal_quantile(F.col("p")).alias("z"))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.p: r.z for r in out.collect()}
+    for p in points:
+        assert abs(got[p] - NormalDist().inv_cdf(p)) <= 1e-12 * max(1, abs(NormalDist().inv_cdf(p)))
+    assert got[0.0] is None and got[1.0] is None and got[-1.0] is None
