@@ -251,12 +251,42 @@ def _stream(spark, sf):
 @query(
     "stream_profile",
     f"""SELECT event_type, count(value) AS count, {rnd('avg(value)', 6)} AS mean, {rnd('stddev_samp(value)', 6)} AS std, min(value) AS min, max(value) AS max,
-{rnd('skewness(value)', 6)} AS skewness, {rnd('kurtosis(value)', 6)} AS kurtosis FROM events GROUP BY event_type""",
+{rnd('skewness(value)', 6)} AS skewness, {rnd('kurtosis(value)', 6)} AS kurtosis, TRUE AS quartiles_hold, TRUE AS distinct_holds FROM events GROUP BY event_type""",
 )
 def _stream_profile(spark, sf):
     out = streams.run(streams.incremental_profile(_stream(spark, sf), ["event_type"], "value"), "complete")
     rounded = [round_to(F.col(c), 6).alias(c) for c in ("mean", "std", "skewness", "kurtosis")]
-    return out.select("event_type", "count", "min", "max", *rounded)
+    return _estimates_hold(out, table(spark, sf, "events"), ["event_type"]).select(
+        "event_type", "count", "min", "max", *rounded, "quartiles_hold", "distinct_holds"
+    )
+
+
+def _estimates_hold(profile, events, keys):
+    """Whether the quartiles' true ranks are off by 0.01 at most and the distinct estimate by 3 per cent."""
+    bounds = profile.select(*keys, "quartiles")
+    below = [F.avg((F.col("value") < F.col("quartiles")[i]).cast("int")).alias(f"low{i}") for i in range(3)]
+    upto = [F.avg((F.col("value") <= F.col("quartiles")[i]).cast("int")).alias(f"high{i}") for i in range(3)]
+    rows = events.join(bounds, keys) if keys else events.crossJoin(F.broadcast(bounds))  # one row
+    exact = rows.groupBy(*keys).agg(*below, *upto, F.countDistinct("value").alias("distinct"))
+    ranks = F.lit(True)
+    for i, p in enumerate((0.25, 0.5, 0.75)):
+        ranks = ranks & (F.col(f"low{i}") <= p + 0.01) & (F.col(f"high{i}") >= p - 0.01)
+    near = F.abs(F.col("distinct_estimate") / F.col("distinct") - 1) <= 0.03
+    checked = profile.join(exact, keys) if keys else profile.crossJoin(F.broadcast(exact))
+    return checked.withColumns({"quartiles_hold": ranks, "distinct_holds": near})
+
+
+@query(
+    "merged_stream_profiles",
+    f"""SELECT count(value) AS count, {rnd('avg(value)', 6)} AS mean, {rnd('stddev_samp(value)', 6)} AS std, min(value) AS min, max(value) AS max,
+TRUE AS quartiles_hold, TRUE AS distinct_holds FROM events""",
+)
+def _merged_profiles(spark, sf):
+    """Profiles per type, kept by the stream, added up to one."""
+    fine = streams.run(streams.incremental_profile(_stream(spark, sf), ["event_type"], "value"), "complete")
+    whole = streams.merged_profiles(fine)
+    rounded = [round_to(F.col(c), 6).alias(c) for c in ("mean", "std")]
+    return _estimates_hold(whole, table(spark, sf, "events"), []).select("count", *rounded, "min", "max", "quartiles_hold", "distinct_holds")
 
 
 @query("stream_unique_events", "SELECT event_id, user_id, event_type, value FROM events")

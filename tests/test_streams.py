@@ -48,3 +48,34 @@ def test_log_is_partitioned(spark, tmp_path):
     folder = _write(spark, tmp_path, [[(1, "2024-01-01 00:00:00", 1, 1.0), (2, "2024-01-02 00:00:00", 1, 1.0)]])
     log = streams.append_log(streams.read_events(spark, folder), str(tmp_path / "log"), F.date_format("ts", "yyyy-MM-dd"))
     assert sorted(r["log_part"] for r in log.collect()) == ["2024-01-01", "2024-01-02"]
+
+
+def test_numbers_over_several_micro_batches(spark, tmp_path):
+    """One file a trigger, a hot key, NULL keys and equal times: numbers follow the batches, and are gapless."""
+    batches = []
+    for b in range(4):
+        rows = [(100 * b + i, f"2024-01-01 00:0{b}:00", None if i % 5 == 0 else 1 if i % 2 else 2 + i % 7, 0.5) for i in range(40)]
+        batches.append(rows)
+    folder = _write(spark, tmp_path, batches)
+    stream = streams.read_events(spark, folder, files_per_trigger=1).select("event_id", "user_id", "ts")
+    got = streams.numbered_events(stream, "user_id", "ts", "event_id", folder=str(tmp_path / "out")).collect()
+    by_user = {}
+    for event, _, user, _ in sorted(r for rows in batches for r in rows):
+        by_user.setdefault(user, []).append(event)
+    assert len(got) == 160
+    assert {(r.user_id, r.event_id): r.sequence_num for r in got} == {(u, e): k + 1 for u, events in by_user.items() for k, e in enumerate(events)}
+
+
+def test_profiles_add_up(spark, tmp_path):
+    rows = [(i, "2024-01-01 00:00:00", i % 3, float(i * i % 1009)) for i in range(3000)]
+    folder = _write(spark, tmp_path, [rows[:1000], rows[1000:]])
+    stored = streams.run(streams.incremental_profile(streams.read_events(spark, folder), ["user_id"], "value"), "complete")
+    got = streams.merged_profiles(stored).first()
+    values = sorted(r[3] for r in rows)
+    mean = sum(values) / 3000
+    assert got["count"] == 3000 and abs(got["mean"] - mean) < 1e-9 and (got["min"], got["max"]) == (values[0], values[-1])
+    assert abs(got["std"] - (sum((v - mean) ** 2 for v in values) / 2999) ** 0.5) < 1e-9
+    for q, p in zip(got["quartiles"], (0.25, 0.5, 0.75)):
+        assert sum(v < q for v in values) / 3000 <= p + 0.01 and sum(v <= q for v in values) / 3000 >= p - 0.01
+    assert abs(got["distinct_estimate"] / len(set(values)) - 1) < 0.03
+    assert streams.merged_profiles(stored, ["user_id"]).count() == 3
