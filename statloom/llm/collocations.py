@@ -9,7 +9,8 @@ A phrase can be frequent only if all its parts are. Four passes over the texts u
 4. candidates are counted. They form double-array tries over (language, word, word, ...). A trie is
    broadcast; numpy takes the states of all text positions one level further at a time, a bincount
    counts the accepting ones, and the counts of all tasks are summed. A trie holds about ``MOST``
-   phrases; more of them are dealt to several tries, one pass each.
+   phrases; more of them are dealt to several tries, one pass each. A pass has a task per core of the
+   cluster, so that what is summed grows with the phrases and not with the splits as well.
 
 Filters that tasks hold have fixed sizes, whatever the corpus; with more frequent phrases they let more
 candidates through, never fewer. All counts that a result states come from passes 1 and 4.
@@ -276,7 +277,9 @@ def trie_counts(rows: DataFrame, phrases: pa.Table) -> tuple[DataFrame, Broadcas
             found = listed.take(pa.array(some)).combine_chunks().append_column("f", pa.array(total[some]))
             yield from found.to_batches()
 
-    counts = rows.mapInArrow(count, "lang string, phrase string, size long, f long")
+    # every task sends its counts of all phrases: as many tasks as there are cores, however many splits
+    counters = rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
+    counts = counters.mapInArrow(count, "lang string, phrase string, size long, f long")
     return counts.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")), shared
 
 
