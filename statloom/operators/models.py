@@ -34,6 +34,7 @@ from statloom.operators.preprocess import (
     with_folds,
 )
 from statloom.operators.target import column_facts, detect_task, looks_like_id, with_known_target
+from statloom.session import settle
 
 MIN_ROWS = 20
 PARALLEL_FITS = 4
@@ -173,16 +174,16 @@ def fit_model(
 def score(problem: Problem, predicted: DataFrame) -> float | None:
     """Headline score of predictions: weighted F1 or R squared."""
     if problem.task == "classification":
-        return _weighted_f1(metrics.confusion_counts(predicted, problem.target, "prediction"))
+        return _weighted_f1(metrics.confusion_counts(predicted, problem.target, "prediction").collect())
     return metrics.regression_metrics(predicted, problem.target, "prediction", 12).first()["r2"]
 
 
-def _weighted_f1(cells: DataFrame) -> float:
+def _weighted_f1(cells: list) -> float:
     """Weighted F1 from the confusion counts (a row per pair of classes)."""
     true: dict[str, int] = {}
     guessed: dict[str, int] = {}
     hits: dict[str, int] = {}
-    for r in cells.collect():
+    for r in cells:
         true[r["label"]] = true.get(r["label"], 0) + r["count"]
         guessed[r["prediction"]] = guessed.get(r["prediction"], 0) + r["count"]
         if r["label"] == r["prediction"]:
@@ -379,22 +380,49 @@ def shuffle_column(df: DataFrame, column: str, seed: int) -> DataFrame:
     )
 
 
-def permutation_importance(fitted: Fitted, test: DataFrame, repeats: int = 5) -> DataFrame:
-    """Mean drop of the score when one source column is shuffled on held-out rows."""
-    problem = fitted.problem
-    test = test.persist()  # read once per feature and repeat
+def shifted_variants(df: DataFrame, features: list[str], repeats: int, seed: int = SEED) -> DataFrame:
+    """Every row once per feature and repeat, with that feature's value taken from another row.
+
+    Rows are numbered once along a hash. In repeat r a row's partner stands ``r`` steps further on, round the
+    end; one join brings all partners. The values of a feature are thus permuted over the table.
+    """
+    keyed = df.withColumns({"_u": unit_hash(df.columns, seed), "_w": unit_hash(df.columns, seed + 1)})
+    numbered = settle(sequence_numbers(keyed, [], "_u", "_i", tie="_w").drop("_u", "_w"), "numbered")
+    n = numbered.count()
+    step = max(1, n // (repeats + 1))
+    places = F.array(*[F.struct(F.lit(r).alias("repeat"), (F.pmod(F.col("_i") - 1 - (r + 1) * step, F.lit(max(1, n))) + 1).alias("_i")) for r in range(repeats)])
+    partners = numbered.select(F.struct(*[name_col(f).alias(f"f{k}") for k, f in enumerate(features)]).alias("_d"), F.inline(places))
+    whose = F.explode(F.array(*[F.lit(k) for k in range(len(features))])).alias("_f")
+    rows = numbered.join(partners, "_i").select("*", whose)
+    place = {f: k for k, f in enumerate(features)}
+    cells = [
+        F.when(F.col("_f") == place[c], F.col("_d")[f"f{place[c]}"]).otherwise(name_col(c)).alias(c) if c in place else name_col(c) for c in df.columns
+    ]
+    return rows.select(*cells, F.col("_f").alias("_feature"), F.col("repeat").alias("_repeat"))
 
-    def drop(job: tuple[str, int]) -> float:
-        return base - score(problem, fitted.predict(shuffle_column(test, job[0], SEED + 10 * job[1])))
 
+def permutation_importance(fitted: Fitted, test: DataFrame, repeats: int = 5) -> DataFrame:
+    """Mean drop of the score when one source column is permuted on held-out rows.
+
+    All features and repeats are scored in one pass; the driver gets their confusion counts or sums.
+    """
+    problem = fitted.problem
+    base = score(problem, fitted.predict(test))
+    predicted = fitted.predict(shifted_variants(test, problem.features, repeats))
+    jobs = ["_feature", "_repeat"]
+    scores: dict[tuple[int, int], float | None] = {}
+    if problem.task == "classification":
+        label = name_col(problem.target).cast("string").alias("label")
+        cells: dict[tuple[int, int], list] = {}
+        for r in predicted.groupBy(*jobs, label, "prediction").count().collect():  # a row per pair of classes
+            cells.setdefault((r["_feature"], r["_repeat"]), []).append(r)
+        scores = {job: _weighted_f1(own) for job, own in cells.items()}
+    else:
+        y = name_col(problem.target).cast("double")
+        sums = predicted.groupBy(*jobs).agg(F.sum((y - F.col("prediction")) ** 2).alias("off"), (F.var_pop(y) * F.count(y)).alias("all"))
+        scores = {(r["_feature"], r["_repeat"]): 1 - r["off"] / r["all"] if r["all"] else None for r in sums.collect()}
+    drops = [base - scores[k, r] for k in range(len(problem.features)) for r in range(repeats)]
     jobs = [(c, r) for c in problem.features for r in range(repeats)]
-    inherit = inheritable_thread_target(test.sparkSession)
-    try:
-        base = score(problem, fitted.predict(test))
-        with ThreadPool(max(1, min(PARALLEL_FITS, len(jobs)))) as pool:
-            drops = pool.map(inherit(drop), jobs, chunksize=1)
-    finally:
-        test.unpersist()
     rows = []
     for c in problem.features:
         own = [d for (name, _), d in zip(jobs, drops) if name == c]

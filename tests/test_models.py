@@ -245,3 +245,26 @@ def test_contexts(spark):
     rows = {r["dataset"]: r for r in bundles.contexts_for(spark.createDataFrame([("Heart-Disease",), ("other",)], "dataset string")).collect()}
     assert rows["Heart-Disease"]["sensitive_column"] == "sex"
     assert rows["other"]["title"] == "Data Science Analysis" and rows["other"]["target_column"] is None
+
+
+def test_every_variant_permutes_one_feature(staff):
+    """All features and repeats: the other columns stay, the own one is the same values in another order."""
+    df = staff.select("emp_id", "age", "department", "salary")
+    out = models.shifted_variants(df, ["age", "department"], 3).toPandas()
+    old = df.toPandas().set_index("emp_id")
+    assert len(out) == 2 * 3 * len(old)
+    for (f, _), part in out.groupby(["_feature", "_repeat"]):
+        part = part.set_index("emp_id").loc[old.index]
+        own, other = [("age", "department"), ("department", "age")][f]
+        assert (part[other].fillna(-1) == old[other].fillna(-1)).all() and (part["salary"] == old["salary"]).all()
+        assert sorted(part[own].fillna(-1).astype(str)) == sorted(old[own].fillna(-1).astype(str))
+        assert (part[own] != old[own]).mean() > 0.3
+    assert models.shifted_variants(df.limit(0), ["age"], 2).count() == 0
+
+
+def test_importance_finds_the_feature_that_counts(staff):
+    problem = models.frame_problem(staff.select("department", "age", "promoted", "performance"), "promoted")
+    fitted = models.fit_model(problem, problem.data, "Logistic Regression")
+    rows = models.permutation_importance(fitted, problem.data, 3).collect()
+    assert [r["feature"] for r in rows][0] == "performance" and rows[0]["importance"] > 0.1
+    assert {r["feature"] for r in rows} == set(problem.features)
