@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statloom.llm.common import arrow_rows, col, settle, share_package, told_apart
+from statloom.llm.common import arrow_rows, col, free_name, settle, share_package, told_apart
 
 WINDOW = 16  # bytes the hash depends on
 SPREAD = 3  # words on either side that a cut's hash is compared with
@@ -121,9 +121,10 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     repeats across documents. Different texts with one doc_id are different documents, as are all rows
     with a NULL doc_id; they come behind all others, and their spans bear their doc_id.
     """
-    keyed = told_apart(df, KEY, id_col, text_col)
-    spans = _repeats(keyed, KEY, text_col, min_words)
-    names = keyed.where(~col(id_col).cast("long").eqNullSafe(F.col(KEY))).select(F.col(KEY).alias("doc_id"), col(id_col).cast("long").alias("own")).distinct()
+    key = free_name(df, KEY)
+    keyed = told_apart(df, key, id_col, text_col)
+    spans = _repeats(keyed, key, text_col, min_words)
+    names = keyed.where(~col(id_col).cast("long").eqNullSafe(F.col(key))).select(F.col(key).alias("doc_id"), col(id_col).cast("long").alias("own")).distinct()
     names = settle(names, "names")
     if names.isEmpty():
         return spans
@@ -173,11 +174,12 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Untouched texts stay as they are, NULL and empty ones included; a row whose words are all held
     elsewhere goes. Documents are told apart as in ``repeats``: a text loses its own spans only.
     """
-    keyed = told_apart(df, KEY, id_col, text_col)
-    spans = _repeats(keyed, KEY, text_col, min_words).where("not kept")
+    key = free_name(df, KEY)
+    keyed = told_apart(df, key, id_col, text_col)
+    spans = _repeats(keyed, key, text_col, min_words).where("not kept")
     listed = settle(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("spans")), "repeats")
     # names of our own: df may have columns called alike
-    own_id, own_spans = "_statloom_id", "_statloom_spans"
+    own_id, own_spans = free_name(df, "_statloom_id"), free_name(df, "_statloom_spans")
     share_package(df.sparkSession)
     listed = listed.select(F.col("doc_id").alias(own_id), F.col("spans").alias(own_spans))
 
@@ -186,7 +188,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pairs = zip(texts, lists)
         return pd.Series([cut_out(t, [(s["start"], s["length"]) for s in found]).decode() for t, found in pairs], dtype=object)
 
-    touched = keyed.join(listed, F.col(KEY) == F.col(own_id))
-    rest = keyed.join(listed, F.col(KEY) == F.col(own_id), "left_anti").select(*[col(c) for c in df.columns])
+    touched = keyed.join(listed, F.col(key) == F.col(own_id))
+    rest = keyed.join(listed, F.col(key) == F.col(own_id), "left_anti").select(*[col(c) for c in df.columns])
     changed = touched.withColumn(text_col, edited(col(text_col).cast("binary"), F.col(own_spans)))
     return rest.unionByName(changed.where(col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*[col(c) for c in df.columns]))

@@ -12,7 +12,7 @@ from statloom.session import settle, share_package, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-__all__ = ["arrow_rows", "checkpointed", "col", "give_back", "read", "settle", "share_package", "text_rows", "told_apart", "work_dir"]
+__all__ = ["arrow_rows", "checkpointed", "col", "free_name", "give_back", "read", "settle", "share_package", "text_rows", "told_apart", "work_dir"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -46,15 +46,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def told_apart(df: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with a long column ``name`` that tells documents apart, also where ids don't.
+    """``df`` with a long column ``name`` (a free one) that tells documents apart, also where ids don't.
 
     It is the id where one text bears it; rows equal in id and text are one document and share it. Where
     different texts bear an id, and where it is NULL, every row (every NULL) or every text (the others) gets a number
     of its own beyond all ids. Those rows are written first, so that their numbers stay.
     """
-    if name in df.columns:
-        raise ValueError(f"{name} is a column already")
     own = col(id_col).cast("long")
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     hashes = [F.xxhash64(text), F.xxhash64(F.lit(1), text)]  # with different seeds
@@ -63,16 +69,18 @@ def told_apart(df: DataFrame, name: str, id_col: str = "doc_id", text_col: str =
     several = settle(facts.where("i is null or min_x <> max_x or min_y <> max_y").select("i"), "shared-ids")
     if several.isEmpty():
         return df.withColumn(name, own)
-    shared = several.where("i is not null").withColumnRenamed("i", "_statloom_shared")
-    alone = df.join(shared, own == F.col("_statloom_shared"), "left_anti").where(own.isNotNull()).withColumn(name, own)
+    mark = free_name(df, "_statloom_shared")
+    shared = several.where("i is not null").withColumnRenamed("i", mark)
+    alone = df.join(shared, own == F.col(mark), "left_anti").where(own.isNotNull()).withColumn(name, own)
     last = ids.agg(F.max("i")).first()[0] or 0
-    unnamed = df.where(own.isNull()).withColumn("_statloom_text", F.monotonically_increasing_id())
-    named = df.join(shared, own == F.col("_statloom_shared"), "left_semi").withColumn("_statloom_text", F.lit(None).cast("long"))
-    rows = settle(unnamed.unionByName(named).withColumn("_statloom_x", hashes[0]).withColumn("_statloom_y", hashes[1]), "shared-id-rows")
-    key = [own.alias("i"), F.col("_statloom_x").alias("x"), F.col("_statloom_y").alias("y"), F.col("_statloom_text").alias("t")]
-    numbers = settle(rows.select(*key).distinct().withColumn("number", F.lit(last + 1) + F.monotonically_increasing_id()), "row-numbers")
-    same = own.eqNullSafe(F.col("i")) & (F.col("_statloom_x") == F.col("x")) & (F.col("_statloom_y") == F.col("y")) & F.col("_statloom_text").eqNullSafe(F.col("t"))
-    numbered = rows.join(numbers, same).select(*[col(c) for c in df.columns], F.col("number").alias(name))
+    # the row's number where the id is NULL, and what a document is known by otherwise
+    unnamed = df.where(own.isNull()).withColumn(mark, F.struct(F.monotonically_increasing_id().alias("t"), own.alias("i"), *[h.alias(n) for h, n in zip(hashes, "xy")]))
+    named = df.join(shared, own == F.col(mark), "left_semi")
+    named = named.withColumn(mark, F.struct(F.lit(-1).cast("long").alias("t"), own.alias("i"), *[h.alias(n) for h, n in zip(hashes, "xy")]))
+    rows = settle(unnamed.unionByName(named), "shared-id-rows")
+    numbers = rows.select(mark).distinct().withColumn(name, F.lit(last + 1) + F.monotonically_increasing_id())
+    numbers = settle(numbers, "row-numbers").withColumnRenamed(mark, "known")
+    numbered = rows.join(numbers, F.col(mark).eqNullSafe(F.col("known"))).select(*[col(c) for c in [*df.columns, name]])
     return alone.unionByName(numbered)
 
 
