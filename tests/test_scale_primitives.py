@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statloom.functions import quantiles
@@ -143,3 +144,39 @@ def test_one_order_value_is_spread_over_ranges(spark):
     df = spark.range(4000).selectExpr("id", "if(id % 2 = 0, 7, id) as o")
     sizes = [r["count"] for r in with_range(df, "o", ranges=8, tie="id").groupBy("_range").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 1200
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "timestamp", "date", "decimal(20,3)", "binary", "bigint", "boolean"])
+def test_searched_limits_are_the_compared_ones(spark, monkeypatch, kind):
+    """Beyond a few limits a binary search in constant arrays finds the range that the tree of conditions finds."""
+    from statloom.functions import prefix
+
+    base = spark.range(3000).selectExpr("id", "CASE WHEN id % 50 = 0 THEN NULL ELSE (id * 7919) % 3001 - 1500 END AS n")
+    value = {
+        "timestamp": "timestamp_micros(n * 1000003)",
+        "date": "date_add(date'2000-01-01', CAST(n AS INT))",
+        "binary": "CAST(CAST(n AS STRING) AS BINARY)",
+        "boolean": "n > 0",
+    }.get(kind, f"CAST(n / 4 AS {kind})")
+    df = base.selectExpr("id", f"{value} AS x")
+    monkeypatch.setattr(prefix, "IN_LINE", 1000)
+    tree = {r["id"]: r["_range"] for r in with_range(df, "x", ranges=100, tie="id").collect()}
+    monkeypatch.setattr(prefix, "IN_LINE", 1)
+    searched = with_range(df, "x", ranges=100, tie="id")
+    assert {r["id"]: r["_range"] for r in searched.collect()} == tree
+    assert max(tree.values()) == 99
+    spans = searched.groupBy("_range").agg(F.min(F.struct("x", "id")).alias("lo"), F.max(F.struct("x", "id")).alias("hi")).orderBy("_range")
+    joined = spans.withColumn("before", F.lag("hi").over(Window.orderBy("_range")))
+    assert joined.where("before >= lo").count() == 0
+    assert "TakeOrdered" not in searched._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sample_for_limits_is_bounded(spark, monkeypatch):
+    """About as many rows as wanted, whatever the partitions; long texts are cut."""
+    from statloom.functions import prefix
+
+    df = spark.range(200_000).selectExpr("concat(repeat('y', 300), id) AS x").repartition(50)
+    limits = prefix._sampled(df, ["x"], 8, 200_000)
+    assert all(len(v) <= prefix.LONGEST for (v,) in limits)
+    numbers = prefix._sampled(spark.range(200_000).repartition(50), ["id"], 8, 200_000)
+    assert len(numbers) == 7 and all(abs(int(v) - 25_000 * (i + 1)) < 30_000 for i, (v,) in enumerate(numbers))
