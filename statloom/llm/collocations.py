@@ -41,6 +41,7 @@ MOST_BUCKETS = 1 << 28  # of a length: 32 MB of bits
 SEGMENT = 1 << 16  # buckets that are summed together
 HELD = 1 << 22  # windows whose buckets a task holds before it hands their sums on
 MOST = 1 << 18  # phrases of a trie, by expectation
+REMEMBERED = 1 << 20  # phrases that a task doesn't name again
 SALTS = 64
 # exact: the products have up to 36 digits
 SCORE = "(1000 * cast(a as decimal(16, 0)) * cast(n as decimal(16, 0))) div (cast(l as decimal(16, 0)) * cast(r as decimal(16, 0)))"
@@ -194,6 +195,7 @@ def candidates(rows: DataFrame, frequent, bits, buckets: int) -> DataFrame:
     """``(lang, phrase, size)``: distinct windows that pass the filters of their words, parts and their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple[str, str]] = set()  # phrases that this task has named already
         for batch in batches:
             for part in slices(batch, "text"):
                 w, beside = _read(part)
@@ -209,12 +211,23 @@ def candidates(rows: DataFrame, frequent, bits, buckets: int) -> DataFrame:
                     rank[place] = again
                     at = place[first]
                     phrase = pc.binary_join_element_wise(*[names.take(pa.array(w.number[at + j])) for j in range(k)], pa.scalar(" ", pa.large_string()))
-                    yield pa.RecordBatch.from_arrays(
-                        [languages.take(pa.array(w.doc[at])), phrase.cast(pa.string()), pa.array(np.full(len(at), k))], names=["lang", "phrase", "size"]
-                    )
+                    named = zip(languages.take(pa.array(w.doc[at])).to_pylist(), phrase.to_pylist())
+                    fresh = [x for x in named if x not in sent]
+                    if len(sent) + len(fresh) > REMEMBERED:
+                        sent.clear()
+                    sent.update(fresh)
+                    if fresh:
+                        columns = [pa.array(c, pa.string()) for c in zip(*fresh)]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(fresh), k))], names=["lang", "phrase", "size"])
             pa.default_memory_pool().release_unused()
 
-    return rows.mapInArrow(run, "lang string, phrase string, size long").distinct()
+    found = _by_core(rows).mapInArrow(run, "lang string, phrase string, size long")
+    return found.distinct()
+
+
+def _by_core(rows: DataFrame) -> DataFrame:
+    """Rows in as many tasks as there are cores: each of them names or counts all phrases once, however many splits it reads."""
+    return rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def _digits(numbers: int) -> list[int]:
@@ -277,9 +290,7 @@ def trie_counts(rows: DataFrame, phrases: pa.Table) -> tuple[DataFrame, Broadcas
             found = listed.take(pa.array(some)).combine_chunks().append_column("f", pa.array(total[some]))
             yield from found.to_batches()
 
-    # every task sends its counts of all phrases: as many tasks as there are cores, however many splits
-    counters = rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
-    counts = counters.mapInArrow(count, "lang string, phrase string, size long, f long")
+    counts = _by_core(rows).mapInArrow(count, "lang string, phrase string, size long, f long")
     return counts.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")), shared
 
 
