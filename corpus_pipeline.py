@@ -35,6 +35,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of every group of near copies, that with the smallest doc_id.
 
+    Texts meet by their SimHash fingerprints within two bits, found by the ring, and where copies are further
+    apart by their least shingle hashes; whoever meets is decided by the exact shingle sets.
     NULL and empty texts are one group. Rows equal in doc_id and text are one document, of which a row
     stays. Different texts that share a doc_id, and rows without one, are documents of their own behind
     all others: they go only if their own text is like one that stays.

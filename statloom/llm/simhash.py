@@ -215,12 +215,16 @@ def shingles(text: bytes, words: int) -> tuple[list[bytes], list[bytes]]:
     return parts, [joined[a:b] for a, b in zip([0, *stops[:-words].tolist()], ends)]
 
 
-def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_groups(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, tables: int = TABLES
+) -> DataFrame:
     """``(doc_id, component_id)``: groups of texts whose shingle sets are at least so similar.
 
-    Texts meet whose least shingle hashes agree in one of ``TABLES`` tables, which depends on the
+    Texts meet whose fingerprints over their distinct shingles hang together by ``links``, that is
+    within two bits, found by the ring. Others at the threshold are further apart than any ring could look
+    up; they meet if their least shingle hashes agree in one of ``tables`` tables, which depends on the
     similarity alone, not on where a text was changed. Of pairs at the threshold 1 in 13,000 doesn't
-    meet, of closer ones fewer. Pairs that meet are linked if the sets of their shingles are alike
+    meet there, of closer ones fewer. Pairs that meet are linked if the sets of their shingles are alike
     enough, exactly; only texts that share a key are read again for their sets. Texts without words are
     one group, as are texts with equal shingles. Rows with a NULL doc_id are left out. Repeated rows
     keep a row each.
@@ -229,9 +233,11 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.where("doc_id is not null")
 
     def step(batch):
-        out = {"doc_id": batch.column("doc_id"), "digest": [], "codes": []}
+        out = {"doc_id": batch.column("doc_id"), "digest": [], "fp": [], "codes": []}
         for text in batch.column("text").to_pylist():
-            out["codes"].append(minima(shingle_set(text, words)))
+            hashes = shingle_set(text, words)
+            out["fp"].append(signed(majority(hashes)))
+            out["codes"].append(minima(hashes)[:tables])
             out["digest"].append(xxhash.xxh3_128_digest(b" ".join(text.lower().split())))
         return out
 
@@ -240,8 +246,14 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         digests = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
         return {"doc_id": batch.column("doc_id"), "digest": digests, "payload": [shingle_set(t, words).tobytes() for t in texts]}
 
-    prints = settle(arrow_rows(rows, "doc_id long, digest binary, codes array<long>", step, "text"), "prints")
-    distinct = prints.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("codes").alias("codes"))
+    prints = settle(arrow_rows(rows, "doc_id long, digest binary, fp long, codes array<long>", step, "text"), "prints")
+    distinct = prints.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("fp").alias("fp"), F.first("codes").alias("codes"))
+    distinct = settle(distinct, "distinct")
+    # the first key is the group of fingerprints that a text's own one belongs to
+    ring = components(links(distinct.select("fp").distinct())).withColumnRenamed("node", "fp")
+    distinct = distinct.join(ring, "fp", "left").select(
+        "digest", "rep", F.concat(F.array(F.coalesce("component", "fp")), "codes").alias("codes")
+    )
     keyed = distinct.select("rep", F.posexplode("codes").alias("t", "key"))
     # the least and the greatest differ: a key of several texts
     met = keyed.groupBy("t", "key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("t", "key")

@@ -151,3 +151,27 @@ def test_whoever_goes_is_alike_by_the_threshold(stages):
     assert gone
     for i in gone:
         assert any(len(sets[i] & s) / len(sets[i] | s) >= 0.8 for k, s in sets.items() if k != i)
+
+
+def test_fingerprints_within_two_bits_meet_by_the_ring(spark):
+    """Without any other table all pairs alike whose fingerprints are within two bits hang together, no others."""
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for _ in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(200, 600))]
+        for n in (0, 1, 1, 2, 30):  # words changed at the end
+            rows.append((len(rows), " ".join([*words[: len(words) - n], *[f"x{rng.randrange(10**9)}" for _ in range(n)]])))
+    sets = [simhash.shingle_set(t.encode(), 5) for _, t in rows]
+    prints = [simhash.majority(s) for s in sets]
+    parent = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 2 and len({*sets[i]} & {*sets[j]}) >= 0.8 * len({*sets[i]} | {*sets[j]}):
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if x == high else x for x in parent]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(frame, tables=0).collect()}
+    assert [got[i] for i in range(len(rows))] == parent
+    assert 0 < sum(parent[i] != i for i in range(len(rows))) < 4 * 60
