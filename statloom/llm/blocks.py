@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import settle, share_package
+from statloom.llm.common import settle, share_package, tidy
 
 BLOCK = 512
 SQUARE, LED, CROSS = 0, 1, 2  # units: two blocks of a bucket, a leader and a block, rows apart from it and a block
@@ -139,13 +139,16 @@ def _compared(units: DataFrame, decide: Decide, varied: bool) -> DataFrame:
     units = units.repartition(ranges, *unit).sortWithinPartitions(*unit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         rest: pa.Table | None = None
         for batch in batches:
             got = pa.Table.from_batches([batch])
             rest = got if rest is None else pa.concat_tables([rest, got])
+            del batch, got
             out, rest = work(rest, False)
             if out is not None:
                 yield out
+            tidy()
         if rest is not None and rest.num_rows:
             out, _ = work(rest, True)
             if out is not None:

@@ -22,7 +22,7 @@ import unicodedata
 import numpy as np
 from pyspark.sql import DataFrame
 
-from statloom.llm.common import arrow_rows, text_rows
+from statloom.llm.common import KEPT, arrow_rows, text_rows
 
 SHORT = 48  # bytes of a word that goes through the rank arrays
 KNOWN = 400_000  # words kept per worker, about 40 bytes each
@@ -364,7 +364,8 @@ def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return hashes[order], np.concatenate([a[1], b[1]])[order]
 
 
-_LOADED: dict[int, Bpe] = {}
+OWNER = "bpe"
+_LOADED: dict[int, Bpe] = KEPT.setdefault(OWNER, {})
 
 
 def loaded(content: bytes) -> Bpe:
@@ -395,7 +396,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         parts = np.split(flat, np.cumsum(counts)[:-1]) if len(counts) else []
         return {"doc_id": batch.column("doc_id"), "ids": parts}
 
-    return arrow_rows(text_rows(df, id_col, text_col), "doc_id long, ids array<int>", step, "text")
+    return arrow_rows(text_rows(df, id_col, text_col), "doc_id long, ids array<int>", step, "text", owner=OWNER)
 
 
 def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -418,4 +419,4 @@ def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         return out
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return arrow_rows(text_rows(df, id_col, text_col), schema, step, "text")
+    return arrow_rows(text_rows(df, id_col, text_col), schema, step, "text", owner=OWNER)

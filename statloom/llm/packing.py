@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm import bpe
-from statloom.llm.common import settle, share_package, slices, text_rows
+from statloom.llm.common import settle, share_package, slices, text_rows, tidy
 
 SIZE = 4096
 WINDOWS = 32  # open windows of a partition
@@ -125,7 +125,9 @@ def pack(
                 for window in [w for w in held if w not in state.fill]:  # emitted with a gap
                     rows += held.pop(window)
                 yield table(rows)
-            pa.default_memory_pool().release_unused()
+                del some, rows, flat
+            del batch  # before the next one is read
+            tidy(bpe.OWNER)
         yield table([(*piece[:-1], True) for pieces in held.values() for piece in pieces])
 
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]

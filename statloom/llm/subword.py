@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import arrow_rows, col, give_back, share_package
+from statloom.llm.common import arrow_rows, col, give_back, share_package, tidy
 
 BUCKETS = 1 << 18
 WIDTH = 8
@@ -190,6 +190,7 @@ def scorer(df: DataFrame, model: Model):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        tidy()  # what the batch before has left
         model = shared.value
         return pd.Series([model.score(t) for t in texts], dtype="float64")
 

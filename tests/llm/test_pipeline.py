@@ -7,8 +7,8 @@ import pytest
 
 pytest.importorskip("statloom.llm.queries")
 import corpus_pipeline  # noqa: E402
-from statloom.llm import queries, simhash, subword  # noqa: E402
-from statloom.llm.common import read  # noqa: E402
+from statloom.llm import bpe, packing, queries, simhash, subword  # noqa: E402
+from statloom.llm.common import arrow_rows, read  # noqa: E402
 
 
 def shingles(text, k=5):
@@ -175,3 +175,15 @@ def test_fingerprints_within_two_bits_meet_by_the_ring(spark):
     got = {r.doc_id: r.component_id for r in simhash.similar_groups(frame, tables=0).collect()}
     assert [got[i] for i in range(len(rows))] == parent
     assert 0 < sum(parent[i] != i for i in range(len(rows))) < 4 * 60
+
+
+def test_workers_give_the_vocabulary_back(spark):
+    """A worker that has tokenised doesn't hold the tables beside the next stage's work."""
+    docs = spark.range(64).selectExpr("id as doc_id", "'some words of a text' as text").repartition(8)
+    assert packing.pack(docs, queries.vocabulary_path()).count() == 64
+
+    def step(batch):
+        return {"doc_id": batch.column("doc_id"), "kept": [len(bpe._LOADED)] * batch.num_rows}
+
+    kept = [r.kept for r in arrow_rows(docs, "doc_id long, kept int", step, "text").collect()]
+    assert kept == [0] * 64
