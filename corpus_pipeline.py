@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.llm import chunks, packing, simhash, subword
-from statloom.llm.common import col, free_name, read, told_apart
+from statloom.llm.common import col, free_name, maybe_among, read, settle, told_apart
 from statloom.llm.queries import vocabulary_path
 from statloom.session import new_folder
 
@@ -44,13 +44,15 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key = free_name(docs, "_statloom_document")
     keyed = told_apart(docs, key)
     groups = simhash.similar_groups(keyed, key)
-    leave = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
-    kept = keyed.join(leave, key, "left_anti")
+    facts = groups.groupBy("doc_id").agg(F.max(F.expr("doc_id <> component_id")).alias("leaves"), F.count("*").alias("n"))
+    facts = settle(facts.where("leaves or n > 1").select(F.col("doc_id").alias(key), "leaves"), "leaving")
+    # texts that are surely in no group stay where they are
+    mark = free_name(docs, "_statloom_maybe")
+    marked = maybe_among(keyed, key, facts.select(key), mark)
+    kept = marked.where(F.col(mark)).join(facts.where("leaves"), key, "left_anti")
     # rows of one document are equal in id and text: one stays
-    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias(key))
-    once = kept.join(repeated, key, "left_anti")
-    again = kept.join(repeated, key, "left_semi").dropDuplicates([key])
-    return once.unionByName(again).select(*[col(c) for c in docs.columns])
+    out = marked.where(~F.col(mark)).unionByName(kept.dropDuplicates([key]))
+    return out.select(*[col(c) for c in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,9 +6,10 @@ more than two blocks and no pair of rows is missed. What leaves a unit grows wit
 its pairs: for every row the number of rows it is linked with (each pair counted in the first table
 that brings it together), and one link to the smallest row that it hangs together with in the unit.
 
-Where only the links' components matter, a crowded bucket begins with its smallest row, the leader: every
-row is compared with it, and of two rows that are linked with it nothing is left to find. Pairs are
-compared only where one of the two isn't, so a bucket of one template costs as much as it has rows.
+Where only the links' components matter, a bucket begins with its smallest row, the leader: every
+row is compared with it, once for all the tables in which the two meet, and of two rows that are linked
+with it nothing is left to find. A bucket is compared further only if a row of it isn't, a crowded one
+only in pairs of which one isn't, so a bucket of one template costs as much as it has rows.
 """
 
 from __future__ import annotations
@@ -89,39 +90,45 @@ def joined(rows: DataFrame, decide: Decide, block: int = BLOCK) -> DataFrame:
     """``(rep, root)`` links that join whatever is linked, from ``rows`` as in ``linked``.
 
     Payloads may differ in length; ``decide`` gets arrays of bytes objects. Rows alone under a key stay
-    where they are.
+    where they are. A row and a leader are compared once, in however many tables they meet; a bucket
+    whose rows are all linked with its leader moves no payload beyond that.
     """
     share_package(rows.sparkSession)
     keyed = rows.select("rep", F.posexplode("codes").alias("t", "key"))
     # payloads may be large, and most rows meet others in few tables
     shared = keyed.groupBy("t", "key").agg(F.min("rep").alias("leader"), F.max("rep").alias("high"), F.count("*").alias("n"))
-    shared = settle(shared.where("leader <> high").drop("high"), "shared-keys")
-    meets = keyed.join(shared, ["t", "key"]).groupBy("rep").agg(F.collect_list(F.struct("t", "key", "leader", "n")).alias("keys"))
-    whole = rows.join(settle(meets, "meets"), "rep").select("rep", "mult", "payload", "codes", F.expr("inline(keys)"))
-    calm = _compared(_squared(whole.where(F.col("n") <= block).withColumn("blocks", F.lit(1))), decide, varied=True).select("rep", "root")
-    crowds = shared.where(F.col("n") > block)
-    if crowds.isEmpty():
-        return calm
-    members = whole.where(F.col("n") > block).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    leads = F.col("rep") == F.col("leader")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    places = F.when(leads, F.expr("sequence(0, blocks - 1)")).otherwise(F.array(own))
-    led = members.withColumn("low", F.explode(places)).select("t", "key", F.lit(LED).alias("kind"), "low", F.lit(-1).alias("high"), leads.alias("first"), *ROW)
+    shared = shared.where("leader <> high").drop("high")
+    within = settle(keyed.join(shared, ["t", "key"]).where("rep <> leader"), "within")
+    pairs = settle(within.select("leader", "rep").distinct(), "leaders")
+    long = pairs.groupBy("leader").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
+    dealt = pairs.join(settle(long, "long-leaders"), "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    followers = dealt.select("rep", F.col("leader").alias("key"), F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("low"), F.lit(False).alias("first"))
+    leaders = dealt.select("leader", "blocks").distinct()
+    leaders = leaders.select(F.col("leader").alias("rep"), F.col("leader").alias("key"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("low"), F.lit(True).alias("first"))
+    led = rows.join(followers.unionByName(leaders), "rep")
+    led = led.select(F.lit(0).alias("t"), "key", F.lit(LED).alias("kind"), "low", F.lit(-1).alias("high"), "first", *ROW)
     led = settle(_compared(led, decide, varied=True).select("rep", "root"), "led")
-    within = keyed.join(crowds, ["t", "key"]).where("rep <> leader")
-    found = led.select("rep", F.col("root").alias("leader"), F.lit(True).alias("found"))
+    found = led.select("rep", F.col("root").alias("leader"))
     apart = settle(within.join(found, ["rep", "leader"], "left_anti").select("t", "key", "rep"), "apart")
-    sizes = settle(apart.groupBy("t", "key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts")), "apart-sizes")
+    # in a bucket of two nothing is left to compare
+    sizes = within.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
+    parts = apart.groupBy("t", "key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    sizes = settle(sizes.join(parts, ["t", "key"]), "open-buckets")
     if sizes.isEmpty():
-        return calm.unionByName(led)
-    left = members.join(sizes, ["t", "key"]).join(apart.withColumn("apart", F.lit(True)), ["t", "key", "rep"], "left")
-    out, rest = left.where("apart"), left.where("apart is null")
+        return led
+    left = within.select("t", "key", "rep").join(sizes, ["t", "key"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    calm = _squared(rows.join(left.where("blocks = 1"), "rep"))
+    crowds = left.where("blocks > 1")
+    if sizes.where(F.col("n") > block).isEmpty():
+        return led.unionByName(_compared(calm, decide, varied=True).select("rep", "root"))
+    members = rows.join(crowds.join(apart.withColumn("apart", F.lit(True)), ["t", "key", "rep"], "left"), "rep")
+    out, rest = members.where("apart"), members.where("apart is null")
     among = _squared(out.withColumn("blocks", F.col("parts")))
-    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    part, own = (F.pmod(F.xxhash64("rep"), F.col(c)).cast("int") for c in ("parts", "blocks"))
     sent = out.withColumn("high", F.explode(F.expr("sequence(0, blocks - 1)"))).select("t", "key", F.lit(CROSS).alias("kind"), part.alias("low"), "high", F.lit(True).alias("first"), *ROW)
     met = rest.withColumn("low", F.explode(F.expr("sequence(0, parts - 1)"))).select("t", "key", F.lit(CROSS).alias("kind"), "low", own.alias("high"), F.lit(False).alias("first"), *ROW)
-    more = _compared(among.unionByName(sent).unionByName(met), decide, varied=True).select("rep", "root")
-    return calm.unionByName(led).unionByName(more)
+    units = calm.unionByName(among).unionByName(sent).unionByName(met)
+    return led.unionByName(_compared(units, decide, varied=True).select("rep", "root"))
 
 
 def _squared(dealt: DataFrame) -> DataFrame:

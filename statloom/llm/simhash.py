@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm.blocks import joined
-from statloom.llm.common import arrow_rows, col, settle
+from statloom.llm.common import arrow_rows, col, maybe_among, settle
 from statloom.llm.graph import components
 
 SEED = 42
@@ -258,7 +258,8 @@ def similar_groups(
     # the least and the greatest differ: a key of several texts
     met = keyed.groupBy("t", "key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("t", "key")
     meeting = settle(keyed.join(met, ["t", "key"], "left_semi").groupBy("rep").agg(F.count("*").alias("n")).drop("n"), "meeting")
-    texts = rows.join(meeting, F.col("doc_id") == F.col("rep"), "left_semi")
+    # texts stay where they are; the few too many share no key, so they are compared with none
+    texts = maybe_among(rows, "doc_id", meeting, "meets").where("meets").drop("meets")
     held = arrow_rows(texts, "doc_id long, digest binary, payload binary", sets, "text")
     held = held.groupBy("doc_id", "digest").agg(F.first("payload").alias("payload")).withColumnRenamed("doc_id", "rep")
     candidates = settle(distinct.join(held, ["rep", "digest"]).select("rep", F.lit(1).cast("long").alias("mult"), "payload", "codes"), "candidates")

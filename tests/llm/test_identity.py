@@ -9,7 +9,7 @@ import pytest
 pytest.importorskip("statloom.llm.queries")
 import corpus_pipeline  # noqa: E402
 from statloom.llm import blocks, chunks, graph, itq, simhash  # noqa: E402
-from statloom.llm.common import told_apart  # noqa: E402
+from statloom.llm.common import maybe_among, told_apart  # noqa: E402
 
 
 def prose(seed, n):
@@ -117,6 +117,71 @@ def test_one_template_costs_its_rows(spark):
     assert seen.value < 4 * 3000
 
 
+def test_a_row_and_its_leader_meet_once(spark):
+    """However many tables bring rows together, what is alike is sent and decided once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def decide(a, b):
+        seen.add(len(a) + len(b))
+        return np.ones((len(a), len(b)), dtype=bool)
+
+    df = spark.range(300).selectExpr("id as rep", "1L as mult", "binary(cast(id as string)) as payload", "array_repeat(id div 3, 18) as codes")
+    got = {(r.rep, r.root) for r in blocks.joined(df, decide).collect()}
+    assert got == {(i, i - i % 3) for i in range(300)}
+    assert seen.value == 300
+
+
+def test_rows_apart_from_their_leader_meet_each_other(spark):
+    """A leader unlike the rest of its buckets: the others are compared, also in buckets of three."""
+    rows = [(0, b"x", [1, 5, 9]), (1, b"y", [1, 6, 8]), (2, b"y", [1, 7, 9]), (3, b"z", [2, 5, 8]), (4, b"z", [3, 5, 9]), (5, b"y", [4, 4, 9])]
+    df = spark.createDataFrame([(i, 1, p, c) for i, p, c in rows], "rep long, mult long, payload binary, codes array<int>")
+    links = blocks.joined(df, lambda a, b: np.array(a)[:, None] == np.array(b)[None, :])
+    got = {r.node: r.component for r in graph.components(links.selectExpr("rep as a", "root as b")).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 3: 3, 4: 3}
+
+
+def test_rows_that_are_surely_not_meant(spark):
+    ids = spark.range(0, 30000, 3).selectExpr("id * 1000003 - 9000000 as i")
+    df = spark.range(30000).selectExpr("id * 1000003 - 9000000 as `a.b`", "id % 3 = 0 as meant")
+    got = maybe_among(df, "a.b", ids, "maybe")
+    counts = {(r.meant, r.maybe): r["count"] for r in got.groupBy("meant", "maybe").count().collect()}
+    assert counts[True, True] == 10000 and (True, False) not in counts
+    assert counts.get((False, True), 0) < 100
+    assert maybe_among(df, "a.b", ids.limit(0), "maybe").where("maybe").count() == 0
+
+
+def moved(df, column):
+    """Rows that the exchanges of a finished plan have written with this column."""
+    df.collect()
+    total, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        if kind == "ShuffleExchangeExec" and column in names:
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_texts_in_no_group_are_not_shuffled(spark):
+    """Where no table of a join is small enough to be broadcast, only what may go is moved with its text."""
+    rows = [(i, prose(i, 80)) for i in range(300)] + [(1000 + i, prose(i, 80)) for i in range(20)] + [(7, prose(7, 80))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.near_copies(spark, frame(spark, rows), "")
+        n = moved(kept, "text")
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 0 < n < 2 * 40
+
+
 def test_hub_of_a_component(spark):
     star = spark.range(1, 5000).selectExpr("id as a", "0L as b").unionByName(spark.range(5000, 5010).selectExpr("id as a", "id - 1 as b"))
     got = graph.components(star).collect()
