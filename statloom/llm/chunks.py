@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statloom.llm.common import arrow_rows, col, free_name, settle, share_package, told_apart
+from statloom.llm.common import arrow_rows, col, free_name, maybe_among, settle, share_package, told_apart
 
 WINDOW = 16  # bytes the hash depends on
 SPREAD = 3  # words on either side that a cut's hash is compared with
@@ -181,6 +181,10 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # names of our own: df may have columns called alike
     own_id, own_spans = free_name(df, "_statloom_id"), free_name(df, "_statloom_spans")
     share_package(df.sparkSession)
+    # texts that surely hold no repeat stay where they are
+    mark = free_name(df, "_statloom_maybe")
+    marked = maybe_among(keyed, key, listed.select("doc_id"), mark)
+    met, untouched = marked.where(F.col(mark)), marked.where(~F.col(mark))
     listed = listed.select(F.col("doc_id").alias(own_id), F.col("spans").alias(own_spans))
 
     @F.pandas_udf("string")
@@ -188,7 +192,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pairs = zip(texts, lists)
         return pd.Series([cut_out(t, [(s["start"], s["length"]) for s in found]).decode() for t, found in pairs], dtype=object)
 
-    touched = keyed.join(listed, F.col(key) == F.col(own_id))
-    rest = keyed.join(listed, F.col(key) == F.col(own_id), "left_anti").select(*[col(c) for c in df.columns])
+    touched = met.join(listed, F.col(key) == F.col(own_id))
+    rest = untouched.unionByName(met.join(listed, F.col(key) == F.col(own_id), "left_anti")).select(*[col(c) for c in df.columns])
     changed = touched.withColumn(text_col, edited(col(text_col).cast("binary"), F.col(own_spans)))
     return rest.unionByName(changed.where(col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*[col(c) for c in df.columns]))

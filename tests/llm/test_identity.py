@@ -182,6 +182,20 @@ def test_texts_in_no_group_are_not_shuffled(spark):
     assert 0 < n < 2 * 40
 
 
+def test_texts_without_a_repeat_are_not_shuffled(spark):
+    shared = prose(1, 120)
+    rows = [(i, prose(100 + i, 80)) for i in range(300)] + [(1000 + i, f"{prose(500 + i, 60)} {shared}") for i in range(10)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        after = chunks.without_repeats(frame(spark, rows))
+        n = moved(after, "text")
+        assert sum(shared in r.text for r in after.collect()) == 1 and after.count() == 310
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 0 < n < 40
+
+
 def test_hub_of_a_component(spark):
     star = spark.range(1, 5000).selectExpr("id as a", "0L as b").unionByName(spark.range(5000, 5010).selectExpr("id as a", "id - 1 as b"))
     got = graph.components(star).collect()
