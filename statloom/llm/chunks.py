@@ -192,6 +192,8 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pairs = zip(texts, lists)
         return pd.Series([cut_out(t, [(s["start"], s["length"]) for s in found]).decode() for t, found in pairs], dtype=object)
 
+    # a deterministic function would be run again for the filter below, by a second worker beside every task's own
+    edited = edited.asNondeterministic()
     touched = met.join(listed, F.col(key) == F.col(own_id))
     rest = untouched.unionByName(met.join(listed, F.col(key) == F.col(own_id), "left_anti")).select(*[col(c) for c in df.columns])
     changed = touched.withColumn(text_col, edited(col(text_col).cast("binary"), F.col(own_spans)))

@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm import bpe
-from statloom.llm.common import settle, share_package, slices, text_rows, tidy
+from statloom.llm.common import batches_of, settle, share_package, slices, text_rows, tidy
 
 SIZE = 4096
 WINDOWS = 32  # open windows of a partition
 CUT = 32  # a gap of so many tokens is filled by cutting the next document
 MERGED = 32  # partitions whose last windows are merged by one task
+BATCH = 4 << 20  # bytes of texts that a worker is sent at once
 
 PIECES = "doc_id long, start long, ids binary, length long, doc_tokens long, part long, window long, offset long, open boolean"
 
@@ -138,7 +139,8 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=names)
 
     # written once: which windows stay open depends on the order in which a task saw its rows
-    placed = settle(text_rows(df, id_col, text_col).mapInArrow(run, PIECES), "packed")
+    with batches_of(df.sparkSession, BATCH):
+        placed = settle(text_rows(df, id_col, text_col).mapInArrow(run, PIECES), "packed")
     last = placed.where("open").groupBy("part", "window").agg(F.sum("length").alias("fill"))
     merged = last.groupBy(F.expr(f"part div {MERGED}").alias("group")).applyInPandas(
         lambda frame: merge(frame, size), "part long, window long, host_part long, host_window long, base long"

@@ -3,12 +3,13 @@
 import collections
 import re
 
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("statloom.llm.queries")
 import corpus_pipeline  # noqa: E402
 from statloom.llm import bpe, packing, queries, simhash, subword  # noqa: E402
-from statloom.llm.common import arrow_rows, read  # noqa: E402
+from statloom.llm.common import BATCH_KEY, arrow_rows, batches_of, read  # noqa: E402
 
 
 def shingles(text, k=5):
@@ -187,3 +188,37 @@ def test_workers_give_the_vocabulary_back(spark):
 
     kept = [r.kept for r in arrow_rows(docs, "doc_id long, kept int", step, "text").collect()]
     assert kept == [0] * 64
+
+
+def test_passages_are_cut_out_once(spark, sf):
+    """One worker per task: run for the filter as well, the function would take two, which stay for the next stage."""
+    out = corpus_pipeline.repeated_passages(spark, read(spark, sf, "documents"), sf)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_batches_of_long_texts_are_bounded_by_bytes(spark):
+    docs = spark.range(0, 512, 1, 1).selectExpr("id as doc_id", "repeat('word ', 4000) as text")  # 10 MB in a task
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    def sizes():
+        return docs.mapInArrow(run, "n long, size long").collect()
+
+    assert len(sizes()) == 1 and spark.conf.get(BATCH_KEY, None) is None
+    with batches_of(spark, 1 << 20):
+        got = sizes()
+    assert sum(r.n for r in got) == 512 and max(r.size for r in got) <= 2 << 20
+    with pytest.raises(ZeroDivisionError), batches_of(spark, 1 << 20):
+        1 / 0  # noqa: B018
+    assert spark.conf.get(BATCH_KEY, None) is None and len(sizes()) == 1
+
+
+def test_packing_is_sent_small_batches(spark, monkeypatch):
+    sent = []
+    settle = packing.settle
+    monkeypatch.setattr(packing, "settle", lambda df, label: sent.append(spark.conf.get(BATCH_KEY, None)) or settle(df, label))
+    docs = spark.range(8).selectExpr("id as doc_id", "'some words of a text' as text")
+    assert packing.pack(docs, queries.vocabulary_path()).count() == 8
+    assert sent == [str(packing.BATCH)] and spark.conf.get(BATCH_KEY, None) is None
