@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
+from pyspark.mllib.common import _py2java
+from pyspark.mllib.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statloom.functions import lloyd
 from statloom.functions.exprs import SEED, name_col, number, rnd
 from statloom.functions.roles import numeric_columns
 from statloom.operators.preprocess import Preparation, fit_preparation
@@ -102,14 +106,18 @@ class Clusters:
     profiles: DataFrame
 
 
-def _fit(vectors: DataFrame, k: int, starts: int):
-    """Best of several seeded starts by training cost."""
-    best = None
-    for s in range(starts):
-        model = KMeans(k=k, seed=SEED + s, featuresCol="features", predictionCol="cluster").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+def _model(vectors: DataFrame, centers: np.ndarray) -> KMeansModel:
+    """MLlib's model with these centres."""
+    sc = vectors.sparkSession.sparkContext
+    parent = sc._jvm.org.apache.spark.mllib.clustering.KMeansModel(_py2java(sc, [Vectors.dense(c) for c in centers]))
+    model = KMeansModel(sc._jvm.org.apache.spark.ml.clustering.KMeansModel(f"KMeans_{uuid.uuid4().hex[:12]}", parent))
+    return model.setFeaturesCol("features").setPredictionCol("cluster")
+
+
+def _fits(vectors: DataFrame, ks: list[int], starts: int) -> dict[int, lloyd.Fit]:
+    """Per k the best of several seeded starts by training cost; all are fitted in the same passes."""
+    fits = lloyd.fit_all(vectors, [(k, SEED + s) for k in ks for s in range(starts)])
+    return {k: min((fits[k, SEED + s] for s in range(starts)), key=lambda fit: fit.cost) for k in ks}
 
 
 def run_clustering(
@@ -127,10 +135,11 @@ def run_clustering(
     """
     matrix = numeric_matrix(df, names)
     vectors = matrix.df.select("features").persist()
+    arrays = vectors.select(vector_to_array("features").alias("x")).persist()
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette")
 
-    def quality(model) -> float:
-        if sum(1 for n in model.summary.clusterSizes if n) < 2:
+    def quality(model: KMeansModel, sizes: np.ndarray) -> float:
+        if np.count_nonzero(sizes) < 2:
             return 0.0
         return float(evaluator.evaluate(model.transform(vectors)))
 
@@ -139,13 +148,16 @@ def run_clustering(
         if n < 4:
             raise ValueError("need at least 4 rows to cluster")
         rows, best, best_quality = [], None, -1.0
-        for kk in [k] if k else range(k_min, min(k_max, n - 1) + 1):
-            model = _fit(vectors, kk, starts)
-            q = quality(model)
-            rows.append((kk, round(float(model.summary.trainingCost), 2), round(q, 4)))
+        fits = _fits(arrays, [k] if k else list(range(k_min, min(k_max, n - 1) + 1)), starts)
+        sizes = lloyd.cluster_sizes(arrays, [fit.centers for fit in fits.values()])
+        for (kk, fit), own in zip(fits.items(), sizes):
+            model = _model(vectors, fit.centers)
+            q = quality(model, own)
+            rows.append((kk, round(fit.cost, 2), round(q, 4)))
             if best is None or q > best_quality:
                 best, best_quality, best_k = model, q, kk
     finally:
+        arrays.unpersist()
         vectors.unpersist()
     assigned = best.transform(matrix.df).drop("features")
     selection = df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
