@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from statloom.operators import models
+from statloom.plans import bundles
 
 
 @pytest.fixture(scope="module")
@@ -48,11 +49,10 @@ def test_fits_side_by_side():
     assert models.side_by_side(20_000, 3) == 3
 
 
-def test_a_boosters_levels_run_in_one_task(spark, ready, monkeypatch):
-    rows = spark.range(400).select(*[F.rand(i).alias(f"x{i}") for i in range(2)], (F.col("id") % 2).alias("y")).repartition(8)
-    problem = models.frame_problem(rows, "y")
-    seen = []
-    plain = models.make_estimator
+@pytest.fixture
+def watched(monkeypatch):
+    """Partitions of every table that an estimator is fitted on."""
+    seen, plain = [], models.make_estimator
 
     class Watched:
         def __init__(self, estimator):
@@ -63,5 +63,20 @@ def test_a_boosters_levels_run_in_one_task(spark, ready, monkeypatch):
             return self.estimator.fit(df)
 
     monkeypatch.setattr(models, "make_estimator", lambda *a: Watched(plain(*a)))
+    return seen
+
+
+def _rows(spark):
+    return spark.range(400).select(*[F.rand(i).alias(f"x{i}") for i in range(2)], (F.col("id") % 2).alias("y")).repartition(8)
+
+
+def test_a_boosters_levels_run_in_one_task(spark, watched):
+    problem = models.frame_problem(_rows(spark), "y")
     models.fit_model(problem, problem.data, "Gradient Boosting", settings={"trees": 2})
-    assert seen == [1]
+    assert watched == [1]
+
+
+def test_an_analysis_trains_boosters_in_one_task(spark, watched):
+    name = "Gradient Boosting"
+    found = bundles.analyze(_rows(spark), "y", models=[name], settings={name: {"trees": 2}}, cv_folds=2)
+    assert "leaderboard" in found and watched == [1, 1, 1]
